@@ -6,7 +6,7 @@ import importlib
 
 from opslog.catalog.base import REGISTRY, Entry
 
-MODULES = ["uniques"]
+MODULES = ["uniques", "gauges"]
 
 
 def load() -> dict[str, Entry]:
