@@ -6,7 +6,7 @@ import importlib
 
 from opslog.catalog.base import REGISTRY, Entry
 
-MODULES = ["uniques", "gauges"]
+MODULES = ["uniques", "gauges", "pairs", "outcomes"]
 
 
 def load() -> dict[str, Entry]:
