@@ -6,7 +6,7 @@ import importlib
 
 from opslog.catalog.base import REGISTRY, Entry
 
-MODULES = ["uniques", "gauges", "pairs", "outcomes"]
+MODULES = ["uniques", "gauges", "pairs", "outcomes", "concurrent"]
 
 
 def load() -> dict[str, Entry]:

@@ -11,10 +11,12 @@ from opslog.functions.measures import mbps
 from opslog.functions.text import pair_value, port_number
 from opslog.operators.dims import by_levels, calendar, level_frame, span, zero_fill
 from opslog.operators.gauge import (
-    by_category, finish_columns, finish_gauge, gauge_parts, gauge_zeros, port_gauge,
+    by_category, finish_columns, finish_gauge, gauge_parts, gauge_zeros, merge_port_parts,
+    port_gauge, port_parts,
 )
 from opslog.operators.last_sample import EMPTY, last_sample
 from opslog.operators.rollup import rollup_entity
+from opslog.operators.sequence import newest
 from opslog.spec import DAY, ENTITY_LEVELS, HOUR, gauge_rules
 
 IDS = ["app_id", "site_id", "server_id"]
@@ -151,27 +153,18 @@ def memory_gauge(spark, sf_dir):
     return show(filled, DAY, ["used"], digits=None)
 
 
-def site_events(spark, sf_dir):
-    """Events with their site; the lookup side is one row per user."""
-    return table(spark, sf_dir, "events").join(places(spark, sf_dir), "user_id")
-
-
 def disk_stats(spark, sf_dir, grain=HOUR):
     events = table(spark, sf_dir, "events")
-    samples = site_events(spark, sf_dir).select(
-        grain.bucket("ts").alias("bucket"),
-        "app_id",
-        "site_id",
-        F.element_at(F.split("server_id", ":"), 2).alias("mount"),
-        "event_type",
-        "value",
-        "ts",
-        "event_id",
+    names = {"view": "free", "click": "used"}
+    wanted = events.filter(F.col("event_type").isin(*names)).withColumn("bucket", grain.bucket("ts"))
+    per_user = newest(
+        wanted, ["bucket", "user_id", "event_type"], ["ts", "event_id"], ["value", "ts", "event_id"]
     )
-    stats = last_sample(
-        samples, ["bucket", "app_id", "site_id", "mount"], "event_type", "value",
-        ["ts", "event_id"], {"view": "free", "click": "used"},
+    samples = per_user.join(places(spark, sf_dir), "user_id").withColumn(
+        "mount", F.element_at(F.split("server_id", ":"), 2)
     )
+    keys = ["bucket", "app_id", "site_id", "mount"]
+    stats = last_sample(samples, keys, "event_type", "value", ["ts", "event_id"], names)
     hosts = servers(spark, sf_dir).select("app_id", "site_id").distinct()
     frame = calendar(hosts, *span(events, "ts", grain), grain)
     return frame.join(stats, ["bucket", "app_id", "site_id"], "left").select(
@@ -217,7 +210,7 @@ LABEL = """CASE k % 3 WHEN 0 THEN 'Port ' || (k % 8) || ' up'
              WHEN 1 THEN 'GigabitEthernet1_0_' || (k % 8) ELSE 'Vlan' || k END"""
 
 
-def port_samples(spark, sf_dir):
+def port_readings(spark, sf_dir):
     k = prop_k()
     label = (
         F.when(k % 3 == 0, F.concat(F.lit("Port "), (k % 8).cast("string"), F.lit(" up")))
@@ -225,13 +218,17 @@ def port_samples(spark, sf_dir):
         .otherwise(F.concat(F.lit("Vlan"), k.cast("string")))
     )
     values = F.concat_ws(",", F.floor(F.col("value") * 100).cast("string"), (k * 1000).cast("string"))
-    return site_events(spark, sf_dir).select(
+    samples = table(spark, sf_dir, "events").select(
         DAY.bucket("ts").alias("bucket"),
-        "site_id",
+        "user_id",
         port_number(label).alias("port_id"),
         pair_value(values, 0).alias("rx"),
         pair_value(values, 1).alias("tx"),
     )
+    per_user = port_parts(samples, ["bucket", "user_id", "port_id"])
+    return merge_port_parts(
+        per_user.join(places(spark, sf_dir), "user_id"), ["bucket", "site_id", "port_id"]
+    )
 
 
 def port_calendar(spark, sf_dir, uplink: bool):
@@ -267,7 +264,7 @@ FROM x WHERE port_id >= 2 GROUP BY bucket, site_id, port_id""",
 )
 def port_traffic(spark, sf_dir):
     keys = ["bucket", "site_id", "port_id"]
-    out = port_gauge(port_samples(spark, sf_dir), keys, port_calendar(spark, sf_dir, False), keys)
+    out = port_gauge(port_readings(spark, sf_dir), keys, port_calendar(spark, sf_dir, False), keys)
     return out.select(DAY.key("bucket").alias("stat_key"), *out.columns[1:])
 
 
@@ -280,5 +277,5 @@ FROM x WHERE port_id < 2 GROUP BY bucket, site_id""",
 def uplink_traffic(spark, sf_dir):
     keys = ["bucket", "site_id", "port_id"]
     frame = port_calendar(spark, sf_dir, True)
-    out = port_gauge(port_samples(spark, sf_dir), keys, frame, keys[:2])
+    out = port_gauge(port_readings(spark, sf_dir), keys, frame, keys[:2])
     return out.select(DAY.key("bucket").alias("stat_key"), *out.columns[1:])

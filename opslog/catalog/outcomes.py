@@ -132,8 +132,13 @@ FROM z GROUP BY bucket, app_id""",
 )
 def rate_two_level(spark, sf_dir):
     """Rows per hour of a day: average over all hours, minimum only for full days."""
-    located = table(spark, sf_dir, "events").select("ts", "user_id").join(places(spark, sf_dir), "user_id")
-    stats = rate_per_slot(located, "ts", ["app_id", "site_id"], HOUR, DAY)
+    per_user = (
+        table(spark, sf_dir, "events")
+        .groupBy(HOUR.bucket("ts").alias("ts"), "user_id")
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+    )
+    located = per_user.join(places(spark, sf_dir), "user_id")
+    stats = rate_per_slot(located, "ts", ["app_id", "site_id"], HOUR, DAY, count=F.col("n_rows"))
     sites = servers(spark, sf_dir).select("app_id", "site_id").distinct()
     frame = calendar(sites, *span(table(spark, sf_dir, "events"), "ts", DAY), DAY)
     zeros = {"avg_tps": 0, "min_tps": 0, "max_tps": 0}

@@ -67,30 +67,47 @@ def gauge_zeros(names: Sequence[str]) -> dict[str, object]:
     return {f"{kind}_{name}": 0 for name in names for kind in ("avg", "min", "max")}
 
 
-def port_gauge(samples: DataFrame, keys: Sequence[str], frame: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Integer gauges of ``rx`` and ``tx``; a silent port counts as one sample of 0.
+SIDES = ("rx", "tx")
 
-    Samples are reduced per (bucket, switch, port) before they meet the frame, and
-    the average is taken over samples, so grouping by switch averages over the
-    ports and samples together.
-    """
-    sides = ("rx", "tx")
-    aggs = []
-    for s in sides:
+
+def port_parts(samples: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Count, sum, minimum and maximum of ``rx`` and ``tx``; a bad number counts as 0."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for s in SIDES:
         known = F.coalesce(F.col(s), F.lit(0))
         aggs += [
             F.sum(known).alias(f"sum_{s}"),
             F.min(known).alias(f"low_{s}"),
             F.max(known).alias(f"high_{s}"),
         ]
-    per_port = samples.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *aggs)
+    return samples.groupBy(*keys).agg(*aggs)
+
+
+def merge_port_parts(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    aggs = [F.sum("n").alias("n")]
+    for s in SIDES:
+        aggs += [
+            F.sum(f"sum_{s}").alias(f"sum_{s}"),
+            F.min(f"low_{s}").alias(f"low_{s}"),
+            F.max(f"high_{s}").alias(f"high_{s}"),
+        ]
+    return parts.groupBy(*keys).agg(*aggs)
+
+
+def port_gauge(
+    per_port: DataFrame, keys: Sequence[str], frame: DataFrame, by: Sequence[str]
+) -> DataFrame:
+    """Integer gauges from one row of parts per port; a silent port is one sample of 0.
+
+    The average is taken over samples, so grouping by switch averages over its
+    ports and samples together.
+    """
     filled = frame.join(per_port, list(keys), "left")
-    n = F.coalesce(F.col("n"), F.lit(1))
+    n, zero = F.sum(F.coalesce(F.col("n"), F.lit(1))), F.lit(0).cast("bigint")
     out = []
-    for s in sides:
-        zero = F.lit(0).cast("bigint")
+    for s in SIDES:
         out += [
-            _whole_mean(F.sum(F.coalesce(f"sum_{s}", zero)), F.sum(n)).alias(f"avg_{s}_bps"),
+            _whole_mean(F.sum(F.coalesce(f"sum_{s}", zero)), n).alias(f"avg_{s}_bps"),
             F.min(F.coalesce(f"low_{s}", zero)).alias(f"min_{s}_bps"),
             F.max(F.coalesce(f"high_{s}", zero)).alias(f"max_{s}_bps"),
         ]
