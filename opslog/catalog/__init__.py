@@ -6,7 +6,7 @@ import importlib
 
 from opslog.catalog.base import REGISTRY, Entry
 
-MODULES = ["uniques", "gauges", "pairs", "outcomes", "concurrent"]
+MODULES = ["uniques", "gauges", "pairs", "outcomes", "concurrent", "rollups", "dashboards"]
 
 
 def load() -> dict[str, Entry]:

@@ -105,3 +105,18 @@ def leveled(select: str, source: str) -> str:
    FROM {source} GROUP BY bucket, app_id, site_id
    UNION ALL SELECT 'app', bucket, app_id, '*', '*', {select}
    FROM {source} GROUP BY bucket, app_id)"""
+
+
+# Averages of averages in whole units of 1e-12, so that both sides round alike.
+
+
+def units(x: str) -> str:
+    return f"CAST(round({x} * 1000000000000) AS HUGEINT)"
+
+
+def mean_units(u: str) -> str:
+    return f"((2 * sum({u}) + count(*)) // (2 * count(*)))"
+
+
+def six_digits(u: str) -> str:
+    return f"CAST(({u} + 500000) // 1000000 AS DOUBLE) / 1000000"

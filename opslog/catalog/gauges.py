@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opslog.catalog.base import (
-    PLACES, VALUE, K, buckets, leveled, places, prop_k, query, servers, table, value_dec,
+    PLACES, VALUE, K, buckets, leveled, mean_units, places, prop_k, query, servers, six_digits, table,
+    units, value_dec,
 )
 from opslog.functions.measures import mbps
 from opslog.functions.text import pair_value, port_number
@@ -35,23 +36,18 @@ def server_gauge(spark, sf_dir, samples, values, events, grain=HOUR):
     return zero_fill(stats, frame, KEYS, gauge_zeros(list(values)))
 
 
-def show(df, grain, names, digits=6):
+def show(df, grain, names):
     """Key as text, gauges as doubles."""
-    cols = [
-        F.round(F.col(f"avg_{n}"), digits).alias(f"avg_{n}") if digits else F.col(f"avg_{n}")
-        for n in names
-    ]
-    for n in names:
-        cols += [F.col(f"{m}_{n}").cast("double").alias(f"{m}_{n}") for m in ("min", "max")]
+    cols = [F.col(f"{m}_{n}").cast("double").alias(f"{m}_{n}") for n in names for m in ("avg", "min", "max")]
     rest = [c for c in df.columns if c != "bucket" and not c.startswith(("avg_", "min_", "max_"))]
     return df.select(grain.key("bucket").alias("stat_key"), *rest, *cols)
 
 
-def click_gauge(spark, sf_dir):
+def click_gauge(spark, sf_dir, digits=None):
     events = table(spark, sf_dir, "events")
     clicks = events.filter("event_type = 'click'")
     filled = server_gauge(spark, sf_dir, clicks, {"session": value_dec()}, events)
-    return rollup_entity(filled, ENTITY_LEVELS, gauge_rules("session"))
+    return rollup_entity(filled, ENTITY_LEVELS, gauge_rules("session", digits=digits))
 
 
 @query(
@@ -62,12 +58,12 @@ s AS (SELECT date_trunc('hour', ts) AS bucket, app_id, site_id, server_id,
       FROM events JOIN places USING (user_id) WHERE event_type = 'click' GROUP BY ALL),
 z AS (SELECT cal.bucket, dim.*, coalesce(a, 0) AS a, coalesce(lo, 0) AS lo, coalesce(hi, 0) AS hi
       FROM cal CROSS JOIN dim LEFT JOIN s USING (bucket, app_id, site_id, server_id)),
-l AS {leveled('avg(a) AS a, min(lo) AS lo, max(hi) AS hi', 'z')}
+l AS {leveled(f'{mean_units(units("a"))} AS a, min(lo) AS lo, max(hi) AS hi', 'z')}
 SELECT strftime(bucket, '%Y%m%d%H') AS stat_key, level, app_id, site_id, server_id,
-       round(a, 6) AS avg_session, lo AS min_session, hi AS max_session FROM l""",
+       {six_digits('a')} AS avg_session, lo AS min_session, hi AS max_session FROM l""",
 )
 def session_gauge(spark, sf_dir):
-    return show(click_gauge(spark, sf_dir), HOUR, ["session"])
+    return show(click_gauge(spark, sf_dir, digits=6), HOUR, ["session"])
 
 
 MBPS = "CAST(round(value * 1000000 * 8 / 60 / 1024 / 1024, 2) AS DECIMAL(18,2))"
@@ -105,8 +101,7 @@ SELECT strftime(bucket, '%Y%m%d%H') AS stat_key, level, app_id, site_id, server_
        CAST(max_mbps AS DOUBLE) AS max_mbps FROM bw""",
 )
 def bandwidth(spark, sf_dir):
-    out = bandwidth_stats(spark, sf_dir)
-    return show(out.withColumn("avg_mbps", F.col("avg_mbps").cast("double")), HOUR, ["mbps"], digits=None)
+    return show(bandwidth_stats(spark, sf_dir), HOUR, ["mbps"])
 
 
 CATEGORIES = {"view": "user", "click": "system", "error": "idle"}
@@ -132,7 +127,7 @@ def category_pivot(spark, sf_dir):
     wanted = events.filter(F.col("event_type").isin(*CATEGORIES))
     values = by_category("event_type", value_dec(), CATEGORIES)
     filled = server_gauge(spark, sf_dir, wanted, values, events)
-    return show(filled, HOUR, list(CATEGORIES.values()), digits=None)
+    return show(filled, HOUR, list(CATEGORIES.values()))
 
 
 @query(
@@ -150,7 +145,7 @@ def memory_gauge(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     used = events.filter("event_type = 'purchase'")
     filled = server_gauge(spark, sf_dir, used, {"used": value_dec()}, events, DAY)
-    return show(filled, DAY, ["used"], digits=None)
+    return show(filled, DAY, ["used"])
 
 
 def disk_stats(spark, sf_dir, grain=HOUR):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opslog.catalog.base import PLACES, K, buckets, leveled, places, prop_k, query, servers, table
+from opslog.catalog.base import (
+    PLACES, K, buckets, leveled, mean_units, places, prop_k, query, servers, six_digits, table, units,
+)
 from opslog.catalog.pairs import minute_of
 from opslog.operators.dims import attach_dim, calendar, span, zero_fill
 from opslog.operators.histogram import (
@@ -125,9 +127,10 @@ z AS (SELECT cal.bucket, d.app_id, d.site_id, coalesce(avg_tps, 0) AS avg_tps,
       FROM cal CROSS JOIN (SELECT DISTINCT app_id, site_id FROM dim) d
       LEFT JOIN s USING (bucket, app_id, site_id))
 SELECT 'site' AS level, strftime(bucket, '%Y%m%d') AS stat_key, app_id, site_id,
-       round(avg_tps, 6) AS avg_tps, min_tps, max_tps FROM z
+       {six_digits(units('avg_tps'))} AS avg_tps, min_tps, max_tps FROM z
 UNION ALL
-SELECT 'app', strftime(bucket, '%Y%m%d'), app_id, '*', round(avg(avg_tps), 6), min(min_tps), max(max_tps)
+SELECT 'app', strftime(bucket, '%Y%m%d'), app_id, '*', {six_digits(mean_units(units('avg_tps')))},
+       min(min_tps), max(max_tps)
 FROM z GROUP BY bucket, app_id""",
 )
 def rate_two_level(spark, sf_dir):

@@ -85,6 +85,10 @@ SITE = Level("site", ("app_id", "site_id"))
 APP = Level("app", ("app_id",))
 ENTITY_LEVELS = (SERVER, SITE, APP)
 
+# Averages are averaged as decimals: the sum of doubles depends on the order in which
+# tasks finish, and a re-run must give the same table.
+EXACT = "decimal(28,12)"
+
 UNKNOWN = "999"  # id of a device the dimension does not know
 ALL = "*"  # id of a column a coarser level has summed over
 
@@ -107,7 +111,8 @@ class Rule:
         elif self.kind == "max":
             out = F.max(src[0])
         elif self.kind == "mean":
-            out = F.avg(src[0])
+            exact = F.sum(F.col(src[0]).cast(EXACT))
+            out = exact / F.nullif(F.count(src[0]), F.lit(0))
         elif self.kind == "ratio":
             out = percent(F.sum(src[0]), F.sum(src[1]))
         elif self.kind == "weighted":
@@ -118,6 +123,8 @@ class Rule:
             raise ValueError(f"unknown rule kind {self.kind}")
         if self.digits is not None:
             out = F.round(out, self.digits)
+        if self.kind == "mean":
+            out = out.cast("double")
         return out.alias(self.name)
 
 
@@ -152,9 +159,9 @@ def weighted(name: str, sum_col: str, count_col: str) -> Rule:
     return Rule(name, "weighted", (sum_col, count_col))
 
 
-def gauge_rules(*names: str) -> list[Rule]:
+def gauge_rules(*names: str, digits: int | None = None) -> list[Rule]:
     """avg/min/max rules for each gauge name."""
     rules: list[Rule] = []
     for name in names:
-        rules += [mean(f"avg_{name}"), low(f"min_{name}"), high(f"max_{name}")]
+        rules += [mean(f"avg_{name}", digits), low(f"min_{name}"), high(f"max_{name}")]
     return rules
