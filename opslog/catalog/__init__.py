@@ -6,7 +6,9 @@ import importlib
 
 from opslog.catalog.base import REGISTRY, Entry
 
-MODULES = ["uniques", "gauges", "pairs", "outcomes", "concurrent", "rollups", "dashboards"]
+MODULES = [
+    "uniques", "gauges", "pairs", "outcomes", "concurrent", "rollups", "dashboards", "ingests", "basics",
+]
 
 
 def load() -> dict[str, Entry]:

@@ -51,12 +51,12 @@ u AS (SELECT app_id, site_id, max_ccu AS ccu, 0 AS uv, 0 AS pv, 0 AS traffic
       UNION ALL SELECT app_id, site_id, 0, uv, pv, 0 FROM v JOIN lst USING (bucket)
       UNION ALL SELECT app_id, site_id, 0, 0, 0, CAST(floor(max_mbps) AS BIGINT)
       FROM bw JOIN lst USING (bucket) WHERE level = 'site'),
-s AS (SELECT app_id, site_id, sum(ccu) AS ccu, sum(uv) AS uv, sum(pv) AS pv, sum(traffic) AS traffic
+snap AS (SELECT app_id, site_id, sum(ccu) AS ccu, sum(uv) AS uv, sum(pv) AS pv, sum(traffic) AS traffic
       FROM u GROUP BY ALL)
 SELECT 'site' AS level, app_id, site_id, CAST(ccu AS BIGINT) AS ccu, CAST(uv AS BIGINT) AS uv,
-  CAST(pv AS BIGINT) AS pv, CAST(traffic AS BIGINT) AS traffic FROM s
+  CAST(pv AS BIGINT) AS pv, CAST(traffic AS BIGINT) AS traffic FROM snap
 UNION ALL SELECT 'app', app_id, '*', CAST(sum(ccu) AS BIGINT), CAST(sum(uv) AS BIGINT),
-  CAST(sum(pv) AS BIGINT), CAST(sum(traffic) AS BIGINT) FROM s GROUP BY app_id""",
+  CAST(sum(pv) AS BIGINT), CAST(sum(traffic) AS BIGINT) FROM snap GROUP BY app_id""",
 )
 def dashboard_union(spark, sf_dir):
     """The latest hour of three metrics side by side, per site and per app."""
