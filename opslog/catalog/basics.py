@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opslog.catalog.base import K, VALUE, prop_k, query, table, value_dec
-from opslog.catalog.pairs import minute_of
 from opslog.functions.measures import count_when, exact_mean, mbps, percent
 from opslog.functions.text import client_mark, pair_value, part, port_number, unwrap
 from opslog.functions.timekeys import (
     day_part, from_epoch_text, hour_part, minute_key, parts_from_key, seconds_between,
 )
-from opslog.operators.sequence import newest, next_row, oldest, previous_row
+from opslog.operators.sequence import minute_chunk, newest, next_row, oldest, previous_row
 
 
 @query(
@@ -87,7 +86,7 @@ FROM e GROUP BY 1""",
 def filter_counts(spark, sf_dir):
     """How many rows each kind of predicate keeps, per day."""
     events = table(spark, sf_dir, "events")
-    linked = next_row(events, ["user_id"], ["ts", "event_id"], minute_of("ts"), ["event_type"], "nxt")
+    linked = next_row(events, ["user_id"], ["ts", "event_id"], minute_chunk("ts"), ["event_type"], "nxt")
     kind, ts = F.col("event_type"), F.col("ts")
     return linked.groupBy(day_part("ts")).agg(
         count_when((ts >= F.lit("2024-01-10").cast("timestamp_ntz")) & (ts < F.lit("2024-01-20").cast("timestamp_ntz"))).alias("in_range"),
@@ -150,7 +149,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 def neighbours(spark, sf_dir):
     """Next and previous event of each event's user."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    args = (["user_id"], ["ts", "event_id"], minute_of("ts"), ["event_id", "event_type"])
+    args = (["user_id"], ["ts", "event_id"], minute_chunk("ts"), ["event_id", "event_type"])
     out = previous_row(next_row(events, *args, "nxt"), *args, "prev")
     return out.select(
         "event_id",

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opslog.catalog.base import PLACES, K, buckets, places, prop_k, query, servers, table
-from opslog.catalog.pairs import minute_of
 from opslog.operators.concurrency import concurrency, concurrency_vector, sessions_from_marks
 from opslog.operators.dims import calendar, level_frame, span, zero_fill
-from opslog.operators.sequence import next_row
+from opslog.operators.sequence import minute_chunk, next_row
 from opslog.spec import DAY, ENTITY_LEVELS, HOUR, MINUTE, SITE, APP
 
 IDS = ["app_id", "site_id", "server_id"]
@@ -19,7 +18,7 @@ CAP = 1800
 def capped_sessions(spark, sf_dir, cap=CAP):
     """From each event to the user's next one, at most ``cap`` seconds."""
     events = table(spark, sf_dir, "events").select("ts", "event_id", "user_id")
-    linked = next_row(events, ["user_id"], ["ts", "event_id"], minute_of("ts"), ["ts"], "following")
+    linked = next_row(events, ["user_id"], ["ts", "event_id"], minute_chunk("ts"), ["ts"], "following")
     limit = F.col("ts") + F.expr(f"interval {cap} seconds")
     return linked.select(
         "user_id", F.col("ts").alias("on_at"), F.least(F.col("following.ts"), limit).alias("off_at")
@@ -195,7 +194,7 @@ def concurrency_from_onoff(spark, sf_dir):
     marks = table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "error"))
     sessions = sessions_from_marks(
         marks.select("ts", "event_id", "user_id", "event_type"), ["user_id"], "ts", ["ts", "event_id"],
-        minute_of("ts"), F.col("event_type") == "signup", timeout=7200,
+        minute_chunk("ts"), F.col("event_type") == "signup", timeout=7200,
     )
     placed = sessions.join(places(spark, sf_dir), "user_id")
     out = ccu_levels(placed, "user_id", HOUR, [SITE, APP]).filter("max_ccu > 0")

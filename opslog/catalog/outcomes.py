@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from opslog.catalog.base import (
     PLACES, K, buckets, leveled, mean_units, places, prop_k, query, servers, six_digits, table, units,
 )
-from opslog.catalog.pairs import minute_of
 from opslog.operators.dims import attach_dim, calendar, span, zero_fill
 from opslog.operators.histogram import (
     closed_durations, duration_histogram, long_bins, next_event_durations, short_bins,
@@ -15,6 +14,7 @@ from opslog.operators.histogram import (
 from opslog.operators.outcomes import WEB_RULES, probe_outcome, probe_rules, web_outcome
 from opslog.operators.rate import rate_per_slot
 from opslog.operators.rollup import rollup_entity, shares
+from opslog.operators.sequence import minute_chunk
 from opslog.spec import (
     APP, DAY, ENTITY_LEVELS, HOUR, MONTH, SECOND, SITE, high, low, mean, total,
 )
@@ -252,7 +252,7 @@ def usetime_hist(spark, sf_dir):
     """From a sign-up to the user's next event, in quarter hours."""
     events = table(spark, sf_dir, "events").select("ts", "event_id", "user_id", "event_type")
     gaps = next_event_durations(
-        events, ["user_id"], "ts", ["ts", "event_id"], minute_of("ts"), F.col("event_type") == "signup"
+        events, ["user_id"], "ts", ["ts", "event_id"], minute_chunk("ts"), F.col("event_type") == "signup"
     ).select(
         DAY.bucket("ts").alias("bucket"),
         "user_id",

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opslog.catalog.base import PLACES, K, buckets, places, prop_k, query, servers, table
-from opslog.functions.timekeys import epoch
 from opslog.operators.dims import calendar, span, zero_fill
 from opslog.operators.pairing import PAIR_ZEROS, REQUEST, pair_rate, pair_requests
 from opslog.operators.rollup import rollup_entity
+from opslog.operators.sequence import minute_chunk
 from opslog.spec import APP, HOUR, SITE, ratio, total
 
 PAIR_RULES = [
@@ -25,11 +25,6 @@ ZEROED = """coalesce(req_cnt, 0) AS req_cnt, coalesce(success_cnt, 0) AS success
   coalesce(fail_cnt, 0) AS fail_cnt, coalesce(success_rate, 0) AS success_rate"""
 
 
-def minute_of(ts: str):
-    """Chunk of the pairing: one minute of a session's log."""
-    return F.call_function("div", epoch(ts), F.lit(60))
-
-
 def route_log(spark, sf_dir):
     """Events as a router log: a view asks, the user's next event answers.
 
@@ -51,7 +46,7 @@ def route_log(spark, sf_dir):
 
 def route_pairs(spark, sf_dir, **options):
     log = route_log(spark, sf_dir)
-    return pair_requests(log, ["user_id"], ["ts", "event_id"], minute_of("ts"), **options)
+    return pair_requests(log, ["user_id"], ["ts", "event_id"], minute_chunk("ts"), **options)
 
 
 ROUTE = f"""log AS (SELECT ts, event_id, user_id, event_type,

@@ -14,6 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opslog.functions.timekeys import epoch
+
+
+def minute_chunk(ts: str) -> Column:
+    """The usual chunk of a log: one minute."""
+    return F.call_function("div", epoch(ts), F.lit(60))
+
 
 def next_row(
     df: DataFrame,
