@@ -7,7 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from opslog.operators.dims import lookup_side
 from opslog.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,8 +38,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the file once, not once per mention."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,9 +54,9 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    where = (
+        customer.join(lookup_side(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(lookup_side(region), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             F.col("c_custkey").alias("user_id"),
             F.col("r_name").alias("app_id"),
@@ -55,6 +64,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat_ws(":", "n_name", "c_mktsegment").alias("server_id"),
         )
     )
+    return lookup_side(where, customer)
 
 
 def servers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opslog.catalog.base import PLACES, buckets, leveled, places, query, servers, table
-from opslog.operators.dims import attach_dim, calendar, level_frame, span, zero_fill
+from opslog.operators.dims import attach_dim, calendar, level_frame, lookup_side, span, zero_fill
 from opslog.operators.uniques import client_visits, unique_total
 from opslog.spec import DAY, ENTITY_LEVELS, HOUR, MINUTE, MONTH, SERVER
 
@@ -78,10 +78,10 @@ SUPPLIERS = """dim AS (
 
 def supplier_dim(spark, sf_dir):
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    where = (
+        supplier.join(lookup_side(nation), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(lookup_side(region), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             "s_suppkey",
             F.col("s_suppkey").cast("string").alias("server_id"),
@@ -89,6 +89,7 @@ def supplier_dim(spark, sf_dir):
             F.col("r_name").alias("app_id"),
         )
     )
+    return lookup_side(where, supplier)
 
 
 @query(

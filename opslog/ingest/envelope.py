@@ -21,9 +21,17 @@ BAD_CLIENT = "client"
 def open_envelope(lines: DataFrame, *fields: str) -> DataFrame:
     """Add the envelope's text fields; they are null where the line is not JSON."""
     schema = ", ".join(f"{f} STRING" for f in fields)
-    return lines.withColumn("_e", F.from_json("value", schema)).select(
-        "value", *[F.col(f"_e.{f}").alias(f) for f in fields]
-    )
+    return compute_once(lines.select("value"), F.from_json("value", schema))
+
+
+def compute_once(df: DataFrame, row: Column) -> DataFrame:
+    """Add the fields of struct ``row`` as columns.
+
+    As rows of a generator they are computed once.  Plain columns would be copied
+    by the optimizer into every filter and column that uses them, a regular
+    expression a dozen times per line.
+    """
+    return df.select("*", F.inline_outer(F.array(row)))
 
 
 def first_reason(*checks: tuple[Column, str]) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from opslog.functions.text import after_colon, client_mark, looks_like_mac, part, unwrap
 from opslog.functions.timekeys import parse_time
 from opslog.ingest.envelope import (
-    BAD_CLIENT, BAD_JSON, BAD_LINE, BAD_TIME, FEW_ARGUMENTS, finish, first_reason, open_envelope,
+    BAD_CLIENT, BAD_JSON, BAD_LINE, BAD_TIME, FEW_ARGUMENTS, compute_once, finish, first_reason, open_envelope,
 )
 
 # A line is `[level] time [origin]  -  Request|Response Route|Status Msg : (arguments)`.
@@ -41,8 +41,7 @@ def router_lines(lines: DataFrame, kind: str) -> DataFrame:
     opened = open_envelope(lines, "message", "type", "host")
     parts = opened.withColumn("_p", split_line(F.col("message")))
     known = F.size("_p") == 5
-    shown = parts.select(
-        "value",
+    shown = F.struct(
         F.upper("host").alias("router"),
         after_colon(F.coalesce(F.col("type"), F.lit(""))).alias("router_port"),
         F.col("message").isNotNull().alias("is_json"),
@@ -53,7 +52,8 @@ def router_lines(lines: DataFrame, kind: str) -> DataFrame:
         F.get("_p", F.lit(3)).alias("kind"),
         F.get("_p", F.lit(4)).alias("args"),
     )
-    return shown.filter(~F.coalesce("is_line", F.lit(False)) | (F.col("kind") == kind))
+    named = compute_once(parts, shown).drop("message", "type", "host", "_p")
+    return named.filter(~F.coalesce("is_line", F.lit(False)) | (F.col("kind") == kind))
 
 
 def _enough(counts: dict[str, int]) -> Column:
@@ -88,15 +88,12 @@ def parse_route(lines: DataFrame, debug: bool = False) -> DataFrame:
         (F.lit(debug) | looks_like_mac(mac), BAD_CLIENT),
         (_enough(ROUTE_ARGUMENTS), FEW_ARGUMENTS),
     )
-    parsed = raw.select(
+    parsed = F.struct(
         F.col("router").alias("router_id"),
-        "router_port",
-        "log_time",
         part(F.col("origin"), "_", 0).alias("session_id"),
         mac.alias("client_mac"),
         _base(address).alias("client_ip"),
         _bracketed(address).alias("client_port"),
-        "mode",
         unwrap(_arg("Response", 2), "{").alias("server_ip"),
         _arg("Request", 2).alias("app_id"),
         _arg("Request", 3).alias("site_id"),
@@ -108,10 +105,9 @@ def parse_route(lines: DataFrame, debug: bool = False) -> DataFrame:
         _arg("Response", 5).try_cast("int").alias("height"),
         _arg("Response", 6).alias("va"),
         _arg("Response", 7).alias("loading"),
-        "value",
         reason,
     )
-    return finish(parsed, "log_time", ROUTE_COLUMNS)
+    return finish(compute_once(raw, parsed), "log_time", ROUTE_COLUMNS)
 
 
 def parse_status(lines: DataFrame, debug: bool = False) -> DataFrame:
@@ -125,20 +121,16 @@ def parse_status(lines: DataFrame, debug: bool = False) -> DataFrame:
         (_enough(STATUS_ARGUMENTS), FEW_ARGUMENTS),
         (F.lit(debug) | (F.col("mode") == "Response") | looks_like_mac(mac), BAD_CLIENT),
     )
-    parsed = raw.select(
+    parsed = F.struct(
         F.col("router").alias("router_host"),
-        "router_port",
-        "log_time",
         mac.alias("client_mac"),
         unwrap(_arg("Request", 0), "{").alias("server_ip"),
         _bracketed(F.col("origin")).alias("router_session"),
-        "mode",
         _arg("Request", 1).try_cast("int").alias("users"),
         _arg("Request", 2).alias("session_id"),
         _arg("Request", 3).alias("session_status"),
         _arg("Response", 0).alias("result"),
         _arg("Response", 1).alias("result_text"),
-        "value",
         reason,
     )
-    return finish(parsed, "log_time", STATUS_COLUMNS)
+    return finish(compute_once(raw, parsed), "log_time", STATUS_COLUMNS)

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from opslog.functions.text import client_mark, looks_like_mac, unwrap
 from opslog.functions.timekeys import parse_time
 from opslog.ingest.envelope import (
-    BAD_CLIENT, BAD_JSON, BAD_LINE, BAD_TIME, FEW_ARGUMENTS, finish, first_reason, open_envelope,
+    BAD_CLIENT, BAD_JSON, BAD_LINE, BAD_TIME, FEW_ARGUMENTS, compute_once, finish, first_reason, open_envelope,
 )
 
 # Motions that are not sessions, and the order of the values in a line.
 IGNORED_MOTIONS = ["20", "SESSION_USE"]
+PAIR = "(^|,)[^=,]*(=([^=,]*))?[^,]*"
 SESSION_COLUMNS = [
     "registered_at", "session_id", "log_type", "server_ip", "menu_path", "motion", "motion_value",
     "client_id", "site_id", "off_at",
@@ -25,16 +26,14 @@ PROBE_COLUMNS = [
 
 def pair_values(text: Column) -> Column:
     """Values of ``k=v,k=v,...`` by position, the empty text where ``v`` is missing."""
-    return F.transform(
-        F.split(text, ","), lambda kv: F.trim(F.coalesce(F.get(F.split(kv, "="), F.lit(1)), F.lit("")))
-    )
+    return F.split(F.regexp_replace(text, PAIR, "$1$3"), ",")
 
 
 def parse_session(lines: DataFrame, debug: bool = False) -> DataFrame:
     opened = open_envelope(lines, "message").withColumn("_v", pair_values(F.col("message")))
 
     def at(i: int) -> Column:
-        return F.get("_v", F.lit(i))
+        return F.trim(F.get("_v", F.lit(i)))
 
     client = client_mark(at(7))
     when = parse_time(at(0))
@@ -44,8 +43,7 @@ def parse_session(lines: DataFrame, debug: bool = False) -> DataFrame:
         (when.isNotNull(), BAD_TIME),
         (F.lit(debug) | looks_like_mac(client), BAD_CLIENT),
     )
-    wanted = opened.filter(~F.coalesce(at(5), F.lit("")).isin(IGNORED_MOTIONS))
-    parsed = wanted.select(
+    parsed = F.struct(
         when.alias("registered_at"),
         at(1).alias("session_id"),
         at(2).alias("log_type"),
@@ -56,20 +54,18 @@ def parse_session(lines: DataFrame, debug: bool = False) -> DataFrame:
         client.alias("client_id"),
         at(8).alias("site_id"),
         F.when(at(5) == "OFF", parse_time(at(9))).alias("off_at"),
-        "value",
         reason,
     )
-    return finish(parsed, "registered_at", SESSION_COLUMNS)
+    wanted = compute_once(opened, parsed).filter(~F.coalesce("motion", F.lit("")).isin(IGNORED_MOTIONS))
+    return finish(wanted, "registered_at", SESSION_COLUMNS)
 
 
 def parse_probe(lines: DataFrame) -> DataFrame:
     """Comma-separated probe results; the time may be quoted, the client braced."""
-    opened = open_envelope(lines, "message").withColumn(
-        "_v", F.transform(F.split("message", ","), lambda text: F.trim(text))
-    )
+    opened = open_envelope(lines, "message").withColumn("_v", F.split("message", ","))
 
     def at(i: int) -> Column:
-        return F.get("_v", F.lit(i))
+        return F.trim(F.get("_v", F.lit(i)))
 
     when = parse_time(unwrap(at(1), '"'))
     reason = first_reason(
@@ -77,7 +73,7 @@ def parse_probe(lines: DataFrame) -> DataFrame:
         (F.size("_v") >= 10, BAD_LINE),
         (when.isNotNull(), BAD_TIME),
     )
-    parsed = opened.select(
+    parsed = F.struct(
         at(0).alias("test_no"),
         when.alias("test_time"),
         at(2).alias("probe_id"),
@@ -89,7 +85,6 @@ def parse_probe(lines: DataFrame) -> DataFrame:
         at(8).try_cast("int").alias("nv_err_cnt"),
         at(9).alias("detail"),
         at(10).alias("sub_app_id"),
-        "value",
         reason,
     )
-    return finish(parsed, "test_time", PROBE_COLUMNS)
+    return finish(compute_once(opened, parsed), "test_time", PROBE_COLUMNS)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from opslog.functions.text import after_colon
 from opslog.functions.timekeys import parse_web_time
-from opslog.ingest.envelope import BAD_JSON, BAD_TIME, finish, first_reason, open_envelope
+from opslog.ingest.envelope import (
+    BAD_JSON, BAD_TIME, compute_once, finish, first_reason, open_envelope,
+)
 
 # Which envelope field feeds which column; the time comes from the line.
 WEB_FIELDS = {"host": "host", "server_ip": "css_ip", "ret_code": "ret_code", "bytes": "bytes"}
@@ -24,7 +26,9 @@ def parse_web(lines: DataFrame, fields: dict[str, str] | None = None) -> DataFra
     """Web requests; ``fields`` maps columns to envelope fields, a missing one is empty."""
     fields = WEB_FIELDS if fields is None else fields
     names = list(dict.fromkeys(fields.values()))
-    opened = open_envelope(lines, "message", *names).withColumn("log_time", bracket_time(F.col("message")))
+    opened = compute_once(
+        open_envelope(lines, "message", *names), F.struct(bracket_time(F.col("message")).alias("log_time"))
+    )
     shown = {}
     for column, field in fields.items():
         text = F.coalesce(F.col(field), F.lit(""))
@@ -44,8 +48,9 @@ def parse_web(lines: DataFrame, fields: dict[str, str] | None = None) -> DataFra
 
 def parse_router_web(lines: DataFrame) -> DataFrame:
     opened = open_envelope(lines, "message", "host", "type")
-    parsed = opened.select(
-        bracket_time(F.col("message")).alias("log_time"),
+    shown = F.struct(bracket_time(F.col("message")).alias("log_time"))
+    parsed = compute_once(opened, shown).select(
+        "log_time",
         F.upper("host").alias("host"),
         after_colon(F.col("type")).alias("port"),
         "value",

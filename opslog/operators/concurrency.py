@@ -106,8 +106,9 @@ def concurrency(
     else:
         parts = parts.withColumn("slot", F.col("chunk"))
     covered = F.sum("len")
+    # With the chunk among the keys, the rows are already where the running sum put them.
     return (
-        parts.groupBy(*entity, "slot")
+        parts.groupBy(*entity, "chunk", "slot")
         .agg(
             (F.sum(F.col("users") * F.col("len")).cast("double") / grain.seconds).alias(f"avg_{name}"),
             F.when(covered < grain.seconds, F.lit(0)).otherwise(F.min("users")).alias(f"min_{name}"),
@@ -129,7 +130,7 @@ def concurrency_vector(
     """Per (minute, entity) with any session: the 60 counts and their avg, min, max."""
     parts = _split(segments(sessions, entity, client, on, off), 60)
     offset = F.col("sec") - F.col("slot") * 60
-    rows = parts.groupBy(*entity, "slot").agg(
+    rows = parts.groupBy(*entity, "chunk", "slot").agg(
         F.sort_array(F.collect_list(F.struct(offset.alias("at"), "len", "users"))).alias("runs")
     )
     # A chunk's first segment may start late; later ones follow without a gap.

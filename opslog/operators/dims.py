@@ -1,9 +1,8 @@
 """Dimensions: builds, lookup, calendar and zero fill.
 
-No join here carries a broadcast hint.  Spark broadcasts a side by itself where
-its size is below ``spark.sql.autoBroadcastJoinThreshold`` and, with adaptive
-execution, where the measured size turns out to be; anything larger is joined by
-a shuffle whose hot partitions are split at run time.
+A dimension is broadcast only after a look at the size of the files it comes from
+(:func:`lookup_side`).  Above the bound it is joined by a shuffle, whose hot
+partitions adaptive execution splits at run time.
 """
 
 from __future__ import annotations
@@ -73,6 +72,24 @@ def router_dimension(
     )
 
 
+BROADCAST_BYTES = 16 * 1024 * 1024  # of files; a few times that in memory
+
+
+def scan_bytes(df: DataFrame) -> int:
+    """Size the optimizer gives a plan; for a plain scan, that of its files and columns."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def lookup_side(dim: DataFrame, source: DataFrame | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``dim`` marked for broadcast if its ``source`` scan is small enough.
+
+    ``source`` is the scan that bounds the rows of ``dim`` (``dim`` itself if it
+    is one).  The optimizer's own estimate for a dimension joined from several
+    tables is the product of their sizes, which says nothing.
+    """
+    return F.broadcast(dim) if scan_bytes(dim if source is None else source) <= limit else dim
+
+
 def attach_dim(
     facts: DataFrame,
     dim: DataFrame,
