@@ -29,9 +29,11 @@ def compute_once(df: DataFrame, row: Column) -> DataFrame:
 
     As rows of a generator they are computed once.  Plain columns would be copied
     by the optimizer into every filter and column that uses them, a regular
-    expression a dozen times per line.
+    expression a dozen times per line.  The struct is built one step earlier, in a
+    projection, where common parts of its fields are shared.
     """
-    return df.select("*", F.inline_outer(F.array(row)))
+    built = df.withColumn("_row", row)
+    return built.select(*df.columns, F.inline_outer(F.array("_row")))
 
 
 def first_reason(*checks: tuple[Column, str]) -> Column:

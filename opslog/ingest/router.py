@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslog.functions.text import after_colon, client_mark, looks_like_mac, part, unwrap
+from opslog.functions.text import after_colon, client_mark, looks_like_mac, unwrap
 from opslog.functions.timekeys import parse_time
 from opslog.ingest.envelope import (
     BAD_CLIENT, BAD_JSON, BAD_LINE, BAD_TIME, FEW_ARGUMENTS, compute_once, finish, first_reason, open_envelope,
@@ -53,17 +53,18 @@ def router_lines(lines: DataFrame, kind: str) -> DataFrame:
         F.get("_p", F.lit(4)).alias("args"),
     )
     named = compute_once(parts, shown).drop("message", "type", "host", "_p")
-    return named.filter(~F.coalesce("is_line", F.lit(False)) | (F.col("kind") == kind))
+    wanted = named.filter(~F.coalesce("is_line", F.lit(False)) | (F.col("kind") == kind))
+    return wanted.withColumns({"_args": F.split("args", ","), "_from": F.split("origin", "_")})
 
 
 def _enough(counts: dict[str, int]) -> Column:
-    n = F.size(F.split("args", ","))
+    n = F.size("_args")
     return F.when(F.col("mode") == "Request", n >= counts["Request"]).otherwise(n >= counts["Response"])
 
 
 def _arg(mode: str, index: int) -> Column:
     """An argument of one mode; the empty text for the other."""
-    return F.when(F.col("mode") == mode, part(F.col("args"), ",", index)).otherwise(F.lit(""))
+    return F.when(F.col("mode") == mode, F.trim(F.get("_args", F.lit(index)))).otherwise(F.lit(""))
 
 
 def _base(text: Column) -> Column:
@@ -79,8 +80,8 @@ def _bracketed(text: Column) -> Column:
 def parse_route(lines: DataFrame, debug: bool = False) -> DataFrame:
     """Routing requests and responses.  ``debug`` lets malformed client ids pass."""
     raw = router_lines(lines, "Route")
-    address = part(F.col("origin"), "_", 2)
-    mac = client_mark(part(F.col("origin"), "_", 1))
+    address = F.trim(F.get("_from", F.lit(2)))
+    mac = client_mark(F.trim(F.get("_from", F.lit(1))))
     reason = first_reason(
         (F.col("is_json"), BAD_JSON),
         (F.col("is_line") & mac.isNotNull() & address.isNotNull(), BAD_LINE),
@@ -90,7 +91,7 @@ def parse_route(lines: DataFrame, debug: bool = False) -> DataFrame:
     )
     parsed = F.struct(
         F.col("router").alias("router_id"),
-        part(F.col("origin"), "_", 0).alias("session_id"),
+        F.trim(F.get("_from", F.lit(0))).alias("session_id"),
         mac.alias("client_mac"),
         _base(address).alias("client_ip"),
         _bracketed(address).alias("client_port"),
