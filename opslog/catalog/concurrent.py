@@ -47,7 +47,7 @@ def ccu_levels(sessions, client, grain, levels=ENTITY_LEVELS):
 def fill(stats, dim, events, grain, levels=ENTITY_LEVELS):
     frame = calendar(level_frame(dim, levels), *span(events, "ts", grain), grain)
     ids = [c for c in IDS if c in frame.columns]
-    return zero_fill(stats, frame, ["level", "bucket", *ids], ZEROS)
+    return zero_fill(stats, frame, ["bucket", "level", *ids], ZEROS)
 
 
 # Steps, running sums and bucket cuts in plain SQL.  ``iv(level, app_id, site_id,

@@ -80,7 +80,7 @@ def bandwidth_stats(spark, sf_dir, grain=HOUR):
     frame = calendar(
         level_frame(servers(spark, sf_dir), ENTITY_LEVELS), *span(events, "ts", grain), grain
     )
-    return zero_fill(stats, frame, ["level", *KEYS], gauge_zeros(["mbps"]))
+    return zero_fill(stats, frame, [*KEYS, "level"], gauge_zeros(["mbps"]))
 
 
 BANDWIDTH = f"""f AS (SELECT date_trunc('hour', ts) AS bucket, app_id, site_id, server_id,

@@ -21,7 +21,7 @@ def event_levels(spark, sf_dir, grain):
     frame = calendar(
         level_frame(servers(spark, sf_dir), ENTITY_LEVELS), *span(events, "ts", grain), grain
     )
-    return zero_fill(stats, frame, ["level", "bucket", *IDS], {"uv": 0, "pv": 0})
+    return zero_fill(stats, frame, ["bucket", "level", *IDS], {"uv": 0, "pv": 0})
 
 
 def level_sql(unit, fmt):
@@ -116,7 +116,7 @@ def uvpv_month_parts(spark, sf_dir):
     placed = visits.join(dim, F.col("l_suppkey") == F.col("s_suppkey"))
     stats = unique_total(placed, ENTITY_LEVELS, "l_partkey")
     frame = calendar(level_frame(dim, ENTITY_LEVELS), *span(lines, "l_shipdate", MONTH), MONTH)
-    return keyed(zero_fill(stats, frame, ["level", "bucket", *IDS], {"uv": 0, "pv": 0}), MONTH)
+    return keyed(zero_fill(stats, frame, ["bucket", "level", *IDS], {"uv": 0, "pv": 0}), MONTH)
 
 
 @query(

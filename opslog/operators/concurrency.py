@@ -44,11 +44,11 @@ def segments(
         .withColumn("chunk", F.explode(F.sequence(_div(start, chunk_seconds), _div(stop - 1, chunk_seconds))))
         .withColumn("sec", F.greatest(start, F.col("chunk") * chunk_seconds))
         .withColumn("_end", F.least(stop, (F.col("chunk") + 1) * chunk_seconds))
-        .groupBy(*entity, *client, "chunk", "sec")
+        .groupBy("sec", "chunk", *entity, *client)
         .agg(F.max("_end").alias("_end"))
     )
     earlier = (
-        Window.partitionBy(*entity, *client, "chunk")
+        Window.partitionBy("chunk", *entity, *client)
         .orderBy("sec")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -68,10 +68,11 @@ def segments(
                 )
             ).alias("_s"),
         )
-        .groupBy(*entity, "chunk", F.col("_s.sec").alias("sec"))
+        .groupBy(F.col("_s.sec").alias("sec"), "chunk", *entity)
         .agg(F.sum("_s.step").alias("step"))
     )
-    in_order = Window.partitionBy(*entity, "chunk").orderBy("sec")
+    in_order = Window.partitionBy("chunk", *entity).orderBy("sec")
+    # Windows name the chunk first: sorts compare it as a number before any text.
     chunk_end = (F.col("chunk") + 1) * chunk_seconds
     return (
         steps.withColumns(

@@ -37,7 +37,7 @@ def next_row(
     inside a key, so that the result is the same on every run.
     """
     direction = F.desc if backward else F.asc
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*[direction(c) for c in order_by])
+    inside = Window.partitionBy("_chunk", *keys).orderBy(*[direction(c) for c in order_by])
     across = Window.partitionBy(*keys).orderBy(direction("_chunk"))
     payload_row = F.struct(*payload)
     linked = df.withColumn("_chunk", chunk).withColumns(

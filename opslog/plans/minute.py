@@ -135,7 +135,7 @@ def uvpv(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     visits = client_visits(_closed(lake, window), "registered_at", grain, "client_id", ["server_ip"])
     stats = unique_total(visits.join(servers, "server_ip"), LEVELS, "client_id")
     frame = window_frame(level_frame(servers, LEVELS), window, grain)
-    return {"uvpv": zero_fill(stats, frame, ["level", *KEYS], {"uv": 0, "pv": 0})}
+    return {"uvpv": zero_fill(stats, frame, [*KEYS, "level"], {"uv": 0, "pv": 0})}
 
 
 def ccu(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
@@ -162,7 +162,7 @@ def ccu(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     stats = concurrency(sessions, ["level", *IDS], ["client_id"], "on_at", "off_at", grain)
     frame = window_frame(level_frame(servers, LEVELS), window, grain)
     zeros = {"avg_ccu": 0, "min_ccu": 0, "max_ccu": 0}
-    return {"ccu": zero_fill(stats, frame, ["level", *KEYS], zeros)}
+    return {"ccu": zero_fill(stats, frame, [*KEYS, "level"], zeros)}
 
 
 def _histogram(lake: Lake, window: Window, grain: Grain, bins: list[Bin]) -> tuple[DataFrame, list[Rule]]:
@@ -204,7 +204,7 @@ def bandwidth(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     ]
     stats = by_levels(speed, LEVELS, measures, also=["bucket"])
     frame = window_frame(level_frame(servers, LEVELS), window, grain)
-    out = zero_fill(stats, frame, ["level", *KEYS], gauge_zeros(["mbps"]))
+    out = zero_fill(stats, frame, [*KEYS, "level"], gauge_zeros(["mbps"]))
     return {"bandwidth": out.withColumns({c: F.col(c).cast("double") for c in gauge_zeros(["mbps"])})}
 
 
