@@ -176,8 +176,8 @@ def dim_lookup(spark, sf_dir):
 @query(
     "dim_server_build",
     """WITH hosts AS (SELECT s_suppkey, s_name, s_nationkey, s_acctbal >= 1000 AS in_use,
-    s_suppkey % 7 AS app_key, CASE WHEN s_suppkey % 2 = 0 THEN 'CSS' ELSE 'WEB' END AS role FROM supplier),
-addr AS (SELECT DISTINCT l_suppkey, 'net-' || (l_partkey % 3) AS server_ip FROM lineitem)
+    s_nationkey AS app_key, CASE WHEN s_acctbal >= 5000 THEN 'CSS' ELSE 'WEB' END AS role FROM supplier),
+addr AS (SELECT DISTINCT l_suppkey, 'net-' || l_returnflag AS server_ip FROM lineitem)
 SELECT coalesce(CAST(a.r_name AS VARCHAR), '999') AS app_id, s.r_name AS site_id,
   CAST(s_suppkey AS VARCHAR) AS host_id, s_name AS host_name, server_ip, role
 FROM hosts JOIN nation ON s_nationkey = n_nationkey JOIN region s ON n_regionkey = s.r_regionkey
@@ -190,19 +190,19 @@ def dim_server_build(spark, sf_dir):
         F.col("s_suppkey").alias("host_id"),
         F.col("s_name").alias("host_name"),
         F.col("s_nationkey").alias("group_id"),
-        (F.col("s_suppkey") % 7).alias("app_key"),
-        F.when(F.col("s_suppkey") % 2 == 0, F.lit("CSS")).otherwise(F.lit("WEB")).alias("role"),
+        F.col("s_nationkey").alias("app_key"),
+        F.when(F.col("s_acctbal") >= 5000, F.lit("CSS")).otherwise(F.lit("WEB")).alias("role"),
         (F.col("s_acctbal") >= 1000).alias("in_use"),
     )
     addresses = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("host_id"),
-        F.concat(F.lit("net-"), (F.col("l_partkey") % 3).cast("string")).alias("server_ip"),
+        F.concat(F.lit("net-"), "l_returnflag").alias("server_ip"),
     )
     return server_dimension(
         hosts,
         nation_groups(spark, sf_dir),
         region.select(F.col("r_regionkey").alias("site_key"), F.col("r_name").alias("site_id")),
-        region.select(F.col("r_regionkey").cast("bigint").alias("app_key"), F.col("r_name").alias("app_id")),
+        region.select(F.col("r_regionkey").alias("app_key"), F.col("r_name").alias("app_id")),
         addresses,
     )
 
@@ -222,16 +222,16 @@ def region_sites(spark, sf_dir):
 @query(
     "dim_port_build",
     """SELECT r_name AS site_id, CAST(s_suppkey AS VARCHAR) AS switch_id, s_name AS switch_name,
-  CAST(p_size AS VARCHAR) AS port_id, CASE WHEN p_partkey % 5 = 0 THEN 'U' ELSE 'D' END AS port_type
-FROM part JOIN supplier ON p_partkey % 64 = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+  CAST(p_partkey AS VARCHAR) AS port_id, CASE WHEN p_retailprice >= 1000 THEN 'U' ELSE 'D' END AS port_type
+FROM part JOIN supplier ON p_size = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey""",
 )
 def dim_port_build(spark, sf_dir):
     """Parts as ports of supplier switches."""
     ports = table(spark, sf_dir, "part").select(
-        (F.col("p_partkey") % 64).alias("switch_id"),
-        F.col("p_size").alias("port_id"),
-        F.when(F.col("p_partkey") % 5 == 0, F.lit("U")).otherwise(F.lit("D")).alias("port_type"),
+        F.col("p_size").cast("bigint").alias("switch_id"),
+        F.col("p_partkey").alias("port_id"),
+        F.when(F.col("p_retailprice") >= 1000, F.lit("U")).otherwise(F.lit("D")).alias("port_type"),
     )
     switches = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("switch_id"),
@@ -278,11 +278,11 @@ def calendar_server(spark, sf_dir):
     "calendar_role",
     f"""WITH {buckets('month', 'orders', 'o_orderdate')}
 SELECT strftime(bucket, '%Y%m') AS stat_key, s_suppkey, 'CSS' AS role
-FROM cal CROSS JOIN supplier WHERE s_suppkey % 2 = 0""",
+FROM cal CROSS JOIN supplier WHERE s_acctbal >= 5000""",
 )
 def calendar_role(spark, sf_dir):
     """Months of the orders times the suppliers of one role."""
-    role = F.when(F.col("s_suppkey") % 2 == 0, F.lit("CSS")).otherwise(F.lit("WEB"))
+    role = F.when(F.col("s_acctbal") >= 5000, F.lit("CSS")).otherwise(F.lit("WEB"))
     hosts = table(spark, sf_dir, "supplier").select("s_suppkey", role.alias("role"))
     window = span(table(spark, sf_dir, "orders"), "o_orderdate", MONTH)
     out = calendar(hosts, *window, MONTH, role="CSS")

@@ -1,7 +1,7 @@
 """Parsers on the given tables: every event is rendered as a log line and parsed back.
 
 The SQL side never sees the lines; it states the columns the parser must recover.
-Every tenth value of ``k`` makes a line that the parser must refuse.
+Events with ``k`` of 90 and more make lines that the parser must refuse.
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ def route_lines(spark, sf_dir):
     mode = F.when(F.col("event_type") == "view", F.lit("Request")).otherwise(F.lit("Response"))
     line = F.format_string(
         "[ INFO ] %s [%06d_#{%s}_192.0.2.%d[5000]]  -  %s Route Msg : ( %s )",
-        "stamp", "event_id", "mac", "k", mode, F.when(F.col("k") % 10 == 9, F.lit("x")).otherwise(arguments),
+        "stamp", "event_id", "mac", "k", mode, F.when(F.col("k") >= 90, F.lit("x")).otherwise(arguments),
     )
     return source(spark, sf_dir).select(envelope(line, host=F.lit("router01"), type=F.lit("csr: 8080")))
 
@@ -70,7 +70,7 @@ SELECT {ROUTE_COLS}, CASE WHEN q THEN 'Request' ELSE 'Response' END AS mode,
   CASE WHEN q THEN '' ELSE 'TEXT' END AS result_text, CASE WHEN q THEN NULL ELSE 3390 END AS server_port,
   CASE WHEN q THEN NULL ELSE 960 END AS width, CASE WHEN q THEN NULL ELSE 540 END AS height,
   CASE WHEN q THEN '' ELSE '0' END AS va, CASE WHEN q THEN '' ELSE '0' END AS loading, {SQL_PARTS}
-FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k % 10 <> 9)""",
+FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k < 90)""",
 )
 def parse_route_query(spark, sf_dir):
     return text_time(accepted(parse_route(route_lines(spark, sf_dir))), "log_time")
@@ -78,7 +78,7 @@ def parse_route_query(spark, sf_dir):
 
 @query(
     "parse_rejects",
-    f"""WITH {E} SELECT 'arguments' AS reject, count(*) AS n FROM e WHERE k % 10 = 9""",
+    f"""WITH {E} SELECT 'arguments' AS reject, count(*) AS n FROM e WHERE k >= 90""",
 )
 def parse_rejects(spark, sf_dir):
     """The quarantine keeps the line and says what is wrong with it."""
@@ -95,7 +95,7 @@ def status_lines(spark, sf_dir):
     line = F.format_string(
         "[ INFO ] %s [198.51.100.%d[77]]  -  %s Status Msg : ( %s )",
         "stamp", "k", F.when(asks, F.lit("Request")).otherwise(F.lit("Response")),
-        F.when(F.col("k") % 10 == 9, F.lit("x")).when(asks, request).otherwise(response),
+        F.when(F.col("k") >= 90, F.lit("x")).when(asks, request).otherwise(response),
     )
     return source(spark, sf_dir).select(envelope(line, host=F.lit("router01"), type=F.lit("csr:8080")))
 
@@ -109,7 +109,7 @@ SELECT 'ROUTER01' AS router_host, '8080' AS router_port, {SQL_STAMP} AS log_time
   CASE WHEN q THEN k END AS users, CASE WHEN q THEN 'S' || event_id ELSE '' END AS session_id,
   CASE WHEN q THEN 'OPEN' ELSE '' END AS session_status, CASE WHEN q THEN '' ELSE CAST(k % 2 AS VARCHAR) END AS result,
   CASE WHEN q THEN '' ELSE 'TEXT' END AS result_text, {SQL_PARTS}
-FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k % 10 <> 9)""",
+FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k < 90)""",
 )
 def parse_status_query(spark, sf_dir):
     return text_time(accepted(parse_status(status_lines(spark, sf_dir))), "log_time")
@@ -123,7 +123,7 @@ def session_lines(spark, sf_dir):
     for kind, name in MOTIONS.items():
         motion = F.when(F.col("event_type") == kind, F.lit(name)).otherwise(motion)
     off = F.date_format(F.col("ts") + F.make_dt_interval(secs=F.col("k")), "yyyy-MM-dd HH:mm:ss")
-    client = F.when(F.col("k") % 10 == 9, F.lit("short")).otherwise(F.col("mac"))
+    client = F.when(F.col("k") >= 90, F.lit("short")).otherwise(F.col("mac"))
     line = F.format_string(
         "registered_date=%s,css_session_id=%d,log_type=info,css_ip=198.51.100.%d,menu_tree=21,motion=%s,"
         "motion_value=%d,stb_id=#{%s},so=%d,off_date=%s",
@@ -138,7 +138,7 @@ SESSION_SQL = f"""SELECT {SQL_SECOND} AS registered_at, CAST(event_id AS VARCHAR
   CAST(k AS DOUBLE) AS motion_value, mac AS client_id, CAST(k % 25 AS VARCHAR) AS site_id,
   CASE WHEN event_type = 'error' THEN strftime(ts + k * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') END AS off_at,
   {SQL_PARTS}
-FROM e WHERE k % 10 <> 9 AND event_type IN ('signup', 'error', 'view')"""
+FROM e WHERE k < 90 AND event_type IN ('signup', 'error', 'view')"""
 
 
 @query("parse_session", f"WITH {E} {SESSION_SQL}")
@@ -152,7 +152,7 @@ def parse_session_query(spark, sf_dir):
     f"""WITH {E}
 SELECT CAST(event_id AS VARCHAR) AS test_no, {SQL_SECOND} AS test_time, '9' AS probe_id,
   '198.51.100.' || k AS server_ip, mac AS client_id, CASE WHEN event_type = 'error' THEN 'FAIL' ELSE 'OK' END AS result,
-  CASE WHEN k % 10 = 9 THEN NULL ELSE value END AS psnr, k AS err_cnt, 0 AS nv_err_cnt,
+  CASE WHEN k >= 90 THEN NULL ELSE value END AS psnr, k AS err_cnt, 0 AS nv_err_cnt,
   CASE WHEN event_type = 'error' THEN 'Low PSNR' ELSE '' END AS detail, '5' AS sub_app_id, {SQL_PARTS}
 FROM e""",
 )
@@ -163,7 +163,7 @@ def parse_probe_query(spark, sf_dir):
         '%d,"%s",9, 198.51.100.%d ,{%s},%s,%s,%d,0,%s,5',
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "k", "mac",
         F.when(bad, F.lit("FAIL")).otherwise(F.lit("OK")),
-        F.when(F.col("k") % 10 == 9, F.lit("n/a")).otherwise(F.col("value").cast("string")),
+        F.when(F.col("k") >= 90, F.lit("n/a")).otherwise(F.col("value").cast("string")),
         "k", F.when(bad, F.lit("Low PSNR")).otherwise(F.lit("")),
     )
     lines = source(spark, sf_dir).select(envelope(line))
@@ -219,10 +219,10 @@ def parse_agent(spark, sf_dir):
     f"""WITH {E}
 SELECT k || ',' || (k * 2) AS "values", 'rx,tx' AS ds_names, {SQL_SECOND} AS sample_time, 'H' || k AS host,
   'Port ' || (k % 8) AS type_instance, {SQL_PARTS}
-FROM e WHERE k % 10 <> 9""",
+FROM e WHERE k < 90""",
 )
 def parse_snmp(spark, sf_dir):
-    label = F.when(F.col("k") % 10 == 9, F.lit("Link aggregate")).otherwise(
+    label = F.when(F.col("k") >= 90, F.lit("Link aggregate")).otherwise(
         F.concat(F.lit("Port "), (F.col("k") % 8).cast("string"))
     )
     values = F.concat_ws(",", F.col("k").cast("string"), (F.col("k") * 2).cast("string"))
@@ -239,7 +239,7 @@ def web_lines(spark, sf_dir):
     )
     return source(spark, sf_dir).select(
         envelope(
-            F.when(F.col("k") % 10 == 9, F.lit("no time here")).otherwise(line),
+            F.when(F.col("k") >= 90, F.lit("no time here")).otherwise(line),
             host=F.lit("web01"),
             type=F.lit("web: 80"),
             css_ip=F.concat(F.lit("198.51.100."), F.col("k").cast("string")),
@@ -254,7 +254,7 @@ def web_lines(spark, sf_dir):
     f"""WITH {E}
 SELECT {SQL_SECOND} AS log_time, 'WEB01' AS host, '198.51.100.' || k AS server_ip,
   CASE WHEN k < 60 THEN '200' ELSE '' END AS ret_code, CAST(k * 100 AS BIGINT) AS bytes, {SQL_PARTS}
-FROM e WHERE k % 10 <> 9""",
+FROM e WHERE k < 90""",
 )
 def parse_web_query(spark, sf_dir):
     parsed = accepted(parse_web(web_lines(spark, sf_dir)))
@@ -264,7 +264,7 @@ def parse_web_query(spark, sf_dir):
 @query(
     "parse_router_web",
     f"""WITH {E}
-SELECT {SQL_SECOND} AS log_time, 'WEB01' AS host, '80' AS port, {SQL_PARTS} FROM e WHERE k % 10 <> 9""",
+SELECT {SQL_SECOND} AS log_time, 'WEB01' AS host, '80' AS port, {SQL_PARTS} FROM e WHERE k < 90""",
 )
 def parse_router_web_query(spark, sf_dir):
     parsed = accepted(parse_router_web(web_lines(spark, sf_dir)))

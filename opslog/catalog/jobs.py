@@ -290,7 +290,7 @@ SELECT 'par' AS router_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS log_time, '#{
   '192.0.2.' || k || '[5000]' AS client_ip, CASE WHEN q THEN 'Request' ELSE 'Response' END AS mode, 'Route' AS kind,
   CASE WHEN q THEN '' ELSE '198.51.100.' || k END AS server_ip, CASE WHEN q THEN 'A' || (k % 5) ELSE '' END AS app_id,
   CASE WHEN q THEN 'S' || (k % 25) ELSE '' END AS site_id
-FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k % 10 <> 9)""",
+FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k < 90)""",
 )
 def import_router_log_query(spark, sf_dir):
     """Plain router log files; the file name gives the router id (here Spark's own)."""

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opslog.spec import ALL, UNKNOWN, Grain, Level
+from opslog.spec import ALL, DAY, UNKNOWN, Grain, Level
 
 
 def server_dimension(
@@ -109,16 +109,23 @@ def calendar(
     grain: Grain,
     role: str | None = None,
     bucket: str = "bucket",
+    spread: int = 1,
 ) -> DataFrame:
     """One copy of the dimension per bucket of ``[begin, end)``.
 
     Each dimension row generates its own buckets, so there is no join at all.
+    ``spread`` lets that many tasks share the days of a long range.
     """
     if role is not None:
         dim = dim.filter(F.col("role") == role)
     first = grain.bucket(_ts(begin))
-    buckets = F.sequence(first, grain.bucket(_ts(end) - F.expr("interval 1 microsecond")), grain.step)
-    return dim.withColumn(bucket, F.explode(buckets))
+    last = grain.bucket(_ts(end) - F.expr("interval 1 microsecond"))
+    if spread > 1 and grain.seconds is not None and grain.seconds < DAY.seconds:
+        days = dim.withColumn("_day", F.explode(F.sequence(DAY.bucket(first), last, DAY.step)))
+        dim = days.repartition(spread, "_day", *dim.columns)
+        first = F.greatest(first, "_day")
+        last = F.least(last, F.col("_day") + DAY.step - grain.step)
+    return dim.withColumn(bucket, F.explode(F.sequence(first, last, grain.step))).drop("_day")
 
 
 def _ts(value: datetime | Column) -> Column:

@@ -84,4 +84,5 @@ def with_partitions(df: DataFrame, grain: Grain) -> DataFrame:
 
 def window_frame(dim: DataFrame, window: Window, grain: Grain, role: str | None = None) -> DataFrame:
     """Calendar of a job's window over a dimension."""
-    return calendar(dim, window.begin, window.end, grain, role)
+    days = (window.end - window.begin).days
+    return calendar(dim, window.begin, window.end, grain, role, spread=max(1, days))

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from opslog.functions.measures import mbps
 from opslog.functions.text import pair_value, port_number
 from opslog.operators.concurrency import concurrency
-from opslog.operators.dims import attach_dim, by_levels, level_frame, zero_fill
-from opslog.operators.gauge import by_category, gauge, gauge_zeros, port_gauge, port_parts
+from opslog.operators.dims import attach_dim, by_levels, level_frame, lookup_side, zero_fill
+from opslog.operators.gauge import (
+    by_category, finish_columns, gauge, gauge_parts, gauge_zeros, port_gauge, port_parts,
+)
 from opslog.operators.histogram import (
     Bin, closed_durations, duration_histogram, long_bins, short_bins,
 )
@@ -60,7 +62,7 @@ Tables = dict[str, DataFrame]
 def _servers(lake: Lake, role: str | None = CSS) -> DataFrame:
     servers = lake.dim("servers")
     kept = servers if role is None else servers.filter(F.col("role") == role)
-    return kept.select(*IDS).distinct()
+    return lookup_side(kept.select(*IDS).distinct(), servers)
 
 
 def _zeros(rules: list[Rule]) -> dict[str, object]:
@@ -193,16 +195,11 @@ def bandwidth(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     """Mbit/s over samples at every level."""
     log = lake.raw("session_log", window.begin, window.end).filter(F.col("motion") == BANDWIDTH)
     servers = _servers(lake)
-    speed = log.select(
-        grain.bucket("registered_at").alias("bucket"), "server_ip", mbps(F.col("motion_value")).alias("mbps")
-    ).join(servers, "server_ip")
-    value = F.col("mbps")
-    measures = [
-        F.round(F.sum(value) / F.nullif(F.count(value), F.lit(0)), 2).alias("avg_mbps"),
-        F.min(value).alias("min_mbps"),
-        F.max(value).alias("max_mbps"),
-    ]
-    stats = by_levels(speed, LEVELS, measures, also=["bucket"])
+    parts = gauge_parts(
+        log, [grain.bucket("registered_at").alias("bucket"), "server_ip"], {"mbps": mbps(F.col("motion_value"))}
+    )
+    placed = parts.join(servers, "server_ip")
+    stats = by_levels(placed, LEVELS, finish_columns(["mbps"], digits=2), also=["bucket"])
     frame = window_frame(level_frame(servers, LEVELS), window, grain)
     out = zero_fill(stats, frame, [*KEYS, "level"], gauge_zeros(["mbps"]))
     return {"bandwidth": out.withColumns({c: F.col(c).cast("double") for c in gauge_zeros(["mbps"])})}

@@ -37,8 +37,12 @@ def save(
 
 
 def save_snapshot(df: DataFrame, path: str) -> None:
-    """A small table as one ``|``-separated file, e.g. a dimension or the dashboard."""
-    df.coalesce(1).write.mode("overwrite").csv(path, sep="|")
+    """A dimension or the dashboard as ``|``-separated text.
+
+    The number of files is Spark's choice: a small table ends as one, and none is
+    forced through a single task.
+    """
+    df.write.mode("overwrite").csv(path, sep="|")
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -227,6 +227,9 @@ def test_calendar_and_zero_fill(spark):
     cal = calendar(dim, datetime(2024, 1, 1, 9, 58), datetime(2024, 1, 1, 10, 3), MINUTE)
     assert cal.count() == 5 * 2  # crosses the hour without minutes 60, 61, ...
     assert calendar(dim, T0, at(60), MINUTE, role="WEB").count() == 1
+    long = (datetime(2024, 1, 1, 22, 30), datetime(2024, 1, 3, 1, 15))
+    spread = calendar(dim, *long, MINUTE, spread=3)
+    assert rows(spread) == rows(calendar(dim, *long, MINUTE)) and spread.count() == 2 * 1605
     stats = frame(spark, [(T0, "x", 3, 1.5), (T0, "z", 9, 9.0)], "bucket TIMESTAMP, d STRING, n INT, v DOUBLE")
     keys = ["bucket", "d"]
     filled = zero_fill(stats, cal.drop("role"), keys, {"n": 0, "v": 0})
