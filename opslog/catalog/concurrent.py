@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opslog.catalog.base import PLACES, K, buckets, places, prop_k, query, servers, table
+from opslog.catalog.base import (
+    PLACES, K, buckets, leveled, mean_units, places, prop_k, query, servers, six_digits, table, units,
+)
 from opslog.operators.concurrency import concurrency, concurrency_vector, sessions_from_marks
 from opslog.operators.dims import calendar, level_frame, span, zero_fill
+from opslog.operators.rollup import rollup_entity
 from opslog.operators.sequence import minute_chunk, next_row
-from opslog.spec import DAY, ENTITY_LEVELS, HOUR, MINUTE, SITE, APP
+from opslog.spec import APP, DAY, ENTITY_LEVELS, HOUR, MINUTE, SITE, gauge_rules
 
 IDS = ["app_id", "site_id", "server_id"]
 ZEROS = {"avg_ccu": 0, "min_ccu": 0, "max_ccu": 0}
@@ -142,6 +145,26 @@ def concurrency_day(spark, sf_dir):
     return out.select(DAY.key("bucket").alias("stat_key"), "level", *IDS, *ZEROS)
 
 
+@query(
+    "concurrency_from_servers",
+    f"""WITH {PLACES}, {buckets('day')}, {CAPPED.format(cap=CAP)},
+{sweep(86400, leveled_iv('sess', 'user_id'))},
+z AS (SELECT cal.bucket, dim.*, coalesce(avg_ccu, 0) AS a, coalesce(min_ccu, 0) AS lo, coalesce(max_ccu, 0) AS hi
+      FROM cal CROSS JOIN dim LEFT JOIN (SELECT * FROM ccu WHERE level = 'server')
+      USING (bucket, app_id, site_id, server_id)),
+l AS {leveled(f'{six_digits(mean_units(units("a")))} AS avg_ccu, min(lo) AS min_ccu, max(hi) AS max_ccu', 'z')}
+SELECT strftime(bucket, '%Y%m%d') AS stat_key, * EXCLUDE (bucket) FROM l""",
+)
+def concurrency_from_servers(spark, sf_dir):
+    """Site and app as average, minimum and maximum of their servers' rows."""
+    placed = capped_sessions(spark, sf_dir).join(places(spark, sf_dir), "user_id")
+    stats = concurrency(placed, IDS, ["user_id"], "on_at", "off_at", DAY)
+    frame = calendar(servers(spark, sf_dir), *span(table(spark, sf_dir, "events"), "ts", DAY), DAY)
+    filled = zero_fill(stats, frame, ["bucket", *IDS], ZEROS)
+    out = rollup_entity(filled, ENTITY_LEVELS, gauge_rules("ccu", digits=6))
+    return out.select(DAY.key("bucket").alias("stat_key"), "level", *IDS, *ZEROS)
+
+
 @query(
     "concurrency_minute_vector",
     f"""WITH {PLACES}, {CAPPED.format(cap=90)},

@@ -64,6 +64,26 @@ def probe_outcome_query(spark, sf_dir):
     return out.select(MONTH.key("bucket").alias("stat_key"), *[c for c in out.columns if c != "bucket"])
 
 
+@query(
+    "probe_outcome_strict",
+    """SELECT strftime(date_trunc('month', o_orderdate), '%Y%m') AS stat_key, count(*) AS test_cnt,
+  count(*) FILTER (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS success_cnt,
+  count(*) FILTER (NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')) AS fail_cnt,
+  CAST(count(*) FILTER (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') AS DOUBLE) * 100 / count(*) AS success_rate
+FROM orders GROUP BY 1""",
+)
+def probe_outcome_strict(spark, sf_dir):
+    """Strict form: a success also has an empty detail (here: urgent orders have none)."""
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    tests = table(spark, sf_dir, "orders").select(
+        MONTH.bucket("o_orderdate").alias("bucket"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("OK")).otherwise(F.lit("FAIL")).alias("result"),
+        F.when(urgent, F.lit("")).otherwise(F.col("o_orderpriority")).alias("detail"),
+    )
+    out = probe_outcome(tests, ["bucket"], causes={}, strict=True)
+    return out.select(MONTH.key("bucket").alias("stat_key"), *out.columns[1:])
+
+
 CODE = f"CASE WHEN {K} < 60 THEN '200' WHEN {K} < 80 THEN '304' WHEN {K} < 95 THEN '404' END"
 
 

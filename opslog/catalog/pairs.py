@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from opslog.catalog.base import PLACES, K, buckets, places, prop_k, query, servers, table
 from opslog.operators.dims import calendar, span, zero_fill
-from opslog.operators.pairing import PAIR_ZEROS, REQUEST, pair_rate, pair_requests
+from opslog.operators.pairing import PAIR_ZEROS, REQUEST, assume_answered, pair_rate, pair_requests
 from opslog.operators.rollup import rollup_entity
 from opslog.operators.sequence import minute_chunk
 from opslog.spec import APP, HOUR, SITE, ratio, total
@@ -129,6 +129,21 @@ def pair_status_user(spark, sf_dir):
     return out.select(HOUR.key("bucket").alias("stat_key"), "app_id", "site_id", *COLUMNS)
 
 
+@query(
+    "pair_assumed",
+    f"""WITH {PLACES}
+SELECT strftime(ts, '%Y%m%d%H') AS stat_key, app_id, count(*) AS req_cnt, count(*) AS success_cnt,
+  CAST(0 AS BIGINT) AS fail_cnt, CAST(100 AS DOUBLE) AS success_rate
+FROM events JOIN places USING (user_id) WHERE event_type = 'view' GROUP BY 1, 2""",
+)
+def pair_assumed(spark, sf_dir):
+    """Requests counted as answered, for logs without answers."""
+    asked = assume_answered(route_log(spark, sf_dir)).withColumn("bucket", HOUR.bucket("ts"))
+    placed = pair_rate(asked, ["bucket", "user_id"]).join(places(spark, sf_dir), "user_id")
+    out = placed.groupBy("bucket", "app_id").agg(*[r.column() for r in PAIR_RULES])
+    return out.select(HOUR.key("bucket").alias("stat_key"), "app_id", *COLUMNS)
+
+
 @query(
     "pair_rate_conv",
     f"""WITH nxt AS (SELECT *, lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS answer

@@ -44,6 +44,14 @@ def pair_requests(
     return kept.drop("answer")
 
 
+def assume_answered(log: DataFrame, end: Column | None = None, ts: str = "log_time") -> DataFrame:
+    """Every request as a success, for logs whose answers are not kept."""
+    asked = F.col("mode") == REQUEST
+    if end is not None:
+        asked = asked & (F.col(ts) < end)
+    return log.filter(asked).withColumn("success", F.lit(1))
+
+
 def pair_rate(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Counts and success rate of paired requests."""
     n, s = F.count("success"), F.sum("success")

@@ -63,8 +63,9 @@ class Lake:
         return rows.where(F.col("dt").cast("string").between(begin.strftime("%Y%m%d"), end.strftime("%Y%m%d")))
 
     def write_stat(self, df: DataFrame, name: str, grain: Grain) -> None:
-        """Replace the folders ``df`` has rows for."""
-        save(with_partitions(df, grain), self.stat_path(name, grain), PARTITIONS[grain])
+        """Replace the folders ``df`` has rows for; every row gets the load stamp."""
+        stamped = with_partitions(df, grain).withColumn("chg_date", F.current_timestamp())
+        save(stamped, self.stat_path(name, grain), PARTITIONS[grain])
 
 
 def with_partitions(df: DataFrame, grain: Grain) -> DataFrame:

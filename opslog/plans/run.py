@@ -19,13 +19,16 @@ from opslog.spec import DAY, HOUR, MINUTE, MONTH, Grain, Window
 WINDOW_OF = {"switches": "hosts"}
 
 
-def run_window(lake: Lake, job: str, window: Window) -> list[str]:
-    """Write the tables of one job for one window; a re-run replaces the same folders."""
+def run_window(lake: Lake, job: str, window: Window, drop_first: bool = False) -> list[str]:
+    """Write the tables of one job for one window; a re-run replaces the same folders.
+
+    ``drop_first`` also clears folders of the window that will get no rows.
+    """
     if not aligned(window):
         raise ValueError("a written window must start and end on slot borders")
     written = []
     for name, table in JOBS[job](lake, window).items():
-        if name in SPARSE_TABLES:
+        if drop_first or name in SPARSE_TABLES:
             drop_slots(lake, name, window)
         lake.write_stat(table, name, MINUTE)
         written.append(name)
@@ -38,12 +41,17 @@ def run_at(lake: Lake, job: str, fire: datetime) -> list[str]:
 
 
 def backfill(
-    lake: Lake, job: str, begin: datetime, end: datetime, step: timedelta = timedelta(days=1)
+    lake: Lake,
+    job: str,
+    begin: datetime,
+    end: datetime,
+    step: timedelta = timedelta(days=1),
+    drop_first: bool = False,
 ) -> int:
     """Recompute ``[begin, end)``, one Spark job per ``step``."""
     done = 0
     for window in pieces(WINDOWS[WINDOW_OF.get(job, job)], begin, end, step):
-        run_window(lake, job, window)
+        run_window(lake, job, window, drop_first)
         done += 1
     return done
 

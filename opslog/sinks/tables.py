@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.spec import ALL
-
 
 def balanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of one table partition together, large partitions split at run time.
@@ -78,11 +76,3 @@ def merge_snapshot(old: DataFrame | None, new: DataFrame, id_columns: Sequence[s
     rest = [c for c in new.columns if c not in id_columns]
     pick = F.max_by(F.struct(*rest), F.struct(F.col(stamp), F.struct(*rest))).alias("_r")
     return both.groupBy(*id_columns).agg(pick).select(*id_columns, "_r.*").select(*new.columns)
-
-
-def without_totals(df: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Rows whose ids are all real, i.e. the finest level."""
-    test = F.lit(True)
-    for c in ids:
-        test = test & (F.col(c) != ALL)
-    return df.filter(test)
