@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Rows here are short and costly to compute: small stages should still use every core.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Where every measured partition of a join side is below this, hash it, do not sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
