@@ -14,8 +14,8 @@ Passes:
    Tokens that many texts of one batch share never meet in a bucket: their counts do, the
    texts themselves pass through spread evenly, and the token gets the last rank everywhere.
 3. A class bucket orders its tokens and keeps classes whose prefix is not all unshared.
-4. Candidates share a token of order 1 and pass the length filter and the prefixes of all
-   other orders; then the shared tokens are counted.  Star rounds compare each class with one
+4. Candidates share a token of order 1, pass the length and the position filter, and share one
+   in the prefixes of all other orders; then the shared tokens are counted.  Star rounds compare each class with one
    hub first; a token all of whose classes are connected by then needs no more pairs, so large
    groups of copies cost one comparison a text.  The last round compares *every* pair that is
    still unconnected: no link between components is lost and nothing is capped.
@@ -48,11 +48,11 @@ PACKED_ARROW = pa.schema(
         ("tok", pa.binary()), ("rank", pa.binary()), ("ids", pa.list_(pa.int64())),
     ]
 )
-CLASS = "kind tinyint, doc_id bigint, cls bigint, n int, " + ", ".join(
+CLASS = "kind tinyint, doc_id bigint, cls bigint, n int, centre float, " + ", ".join(
     f"pre{k} array<bigint>" for k in range(1, ORDERS + 1)
 ) + ", tokens array<bigint>"
 CLASS_ARROW = pa.schema(
-    [("kind", pa.int8()), ("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())]
+    [("kind", pa.int8()), ("doc_id", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("centre", pa.float32())]
     + [(f"pre{k}", pa.list_(pa.int64())) for k in range(1, ORDERS + 1)]
     + [("tokens", pa.list_(pa.int64()))]
 )
@@ -211,6 +211,7 @@ def _prefixes(num: int, den: int):
         keep = room > 0
         held = np.repeat(keep, shared)
         own, tok, rank = own[held], tok[held], rank[held]
+        centre = np.add.reduceat(rank.astype(np.float32), np.cumsum(shared[keep]) - shared[keep]) / n[keep] if keep.any() else np.zeros(0)
         cls, shared, n, room = cls[keep], shared[keep], n[keep], np.minimum(room, shared)[keep]
         starts = np.cumsum(shared) - shared
         place = np.arange(len(tok)) - np.repeat(starts, shared)
@@ -218,7 +219,7 @@ def _prefixes(num: int, den: int):
         offsets = np.append(0, np.cumsum(room)).astype(np.int32)
         columns = {
             "kind": pa.array(np.full(len(cls), TOKENS, np.int8)), "doc_id": pa.nulls(len(cls), pa.int64()),
-            "cls": pa.array(cls.view(np.int64)), "n": pa.array(n.astype(np.int32)),
+            "cls": pa.array(cls.view(np.int64)), "n": pa.array(n.astype(np.int32)), "centre": pa.array(centre.astype(np.float32)),
         }
         for k in range(1, ORDERS + 1):
             by = np.lexsort((mix(tok + np.uint64(k * 0x5851F42D4C957F2D & (2**64 - 1))), rank, own))
@@ -258,12 +259,16 @@ class SimilarSets:
         both = saved(shared.groupBy("part").applyInArrow(_prefixes(num, den), CLASS), "classes")
         self.members = both.filter(F.col("kind") == MEMBERS).select("doc_id", "cls", "n")
         self.classes = both.filter(F.col("kind") == TOKENS).drop("kind", "doc_id")
-        one = self.classes.select(F.explode("pre1").alias("token"), "cls", "n")
+        one = self.classes.select(F.posexplode("pre1").alias("pos", "token"), "cls", "n", "centre", F.size("tokens").alias("shared"))
+        one = one.select("token", "cls", "n", "centre", (F.col("shared") - F.col("pos")).alias("rest"))
         several = one.groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi")
         self.postings = saved(one.join(several.select("token"), "token"), "postings")
 
-    def _close(self, a: str, b: str):
-        return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
+    def _close(self, a: str, b: str, rest_a: str, rest_b: str):
+        """Sizes and what is left of both sets from the token on (position filter) allow the similarity."""
+        sizes = (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
+        left = F.least(rest_a, rest_b) * (self.num + self.den) >= (F.col(a) + F.col(b)) * self.num
+        return sizes & left
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) of classes whose other prefixes meet too and whose sets are similar enough."""
@@ -290,11 +295,16 @@ class SimilarSets:
         return placed
 
     def _star_pairs(self, placed: DataFrame, turn: int) -> DataFrame:
-        """One pair for each class: the hub with which it shares most tokens of its prefix."""
-        pick = F.struct(F.xxhash64("cls", F.lit(turn)).alias("h"), F.col("cls").alias("c"), F.col("comp").alias("k"), F.col("n").alias("m"))
-        hubs = placed.groupBy("token").agg(F.min(pick).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-        hubs = hubs.filter("lo < hi").select("token", F.col("hub.c").alias("a"), F.col("hub.k").alias("a_comp"), F.col("hub.m").alias("a_n"))
-        pairs = placed.join(hubs, "token").filter((F.col("comp") != F.col("a_comp")) & self._close("n", "a_n"))
+        """One pair for each class: the hub with which it shares most tokens of its prefix.
+
+        A token's hub is the class whose own tokens are the most common ones (the text that the
+        others were made from, if it is there), in odd turns any class.
+        """
+        order = F.xxhash64("cls", F.lit(turn)).cast("double") if turn % 2 else F.col("centre").cast("double")
+        pick = F.struct(order.alias("h"), F.col("cls").alias("c"), F.col("comp").alias("k"), F.col("n").alias("m"), F.col("rest").alias("r"))
+        hubs = placed.groupBy("token").agg(F.max(pick).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        hubs = hubs.filter("lo < hi").select("token", F.col("hub.c").alias("a"), F.col("hub.k").alias("a_comp"), F.col("hub.m").alias("a_n"), F.col("hub.r").alias("a_rest"))
+        pairs = placed.join(hubs, "token").filter((F.col("comp") != F.col("a_comp")) & self._close("n", "a_n", "rest", "a_rest"))
         counted = pairs.groupBy(F.col("cls").alias("b"), "a").agg(F.count("*").alias("met"))
         return counted.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a"))
 
@@ -302,9 +312,9 @@ class SimilarSets:
         """Every pair of two components that shares a token of its prefixes."""
         open_ = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
         left = placed.join(open_.select("token"), "token")
-        right = left.select("token", F.col("cls").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_comp"))
+        right = left.select("token", F.col("cls").alias("b"), F.col("n").alias("b_n"), F.col("comp").alias("b_comp"), F.col("rest").alias("b_rest"))
         met = left.withColumnRenamed("cls", "a").join(right, "token")
-        return met.filter((F.col("comp") < F.col("b_comp")) & self._close("n", "b_n")).select("a", "b").distinct()
+        return met.filter((F.col("comp") < F.col("b_comp")) & self._close("n", "b_n", "rest", "b_rest")).select("a", "b").distinct()
 
     def links(self) -> DataFrame:
         """All similar pairs (a, b) of different classes, a < b: the join itself, every pair once."""
