@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslog.llm import ngram_join
+from opslog.llm import decontaminate, line_chunks, ngram_join, packing, wavelet
 from opslog.llm.oracle import NGRAM_JOIN
 from opslog.session import prepare
 
@@ -35,3 +35,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op1_ngram_jaccard_join", NGRAM_JOIN)
 def op1(spark, sf_dir):
     return ngram_join.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op2_wavelet_matrix")
+def op2(spark, sf_dir):
+    manifest = wavelet.write_shards(table(spark, sf_dir, "documents"), wavelet.shard_folder(spark))
+    return wavelet.read_shards(manifest)
+
+
+@query("op5_best_fit_packing")
+def op5(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op3_line_chunk_dedup")
+def op3(spark, sf_dir):
+    kept = line_chunks.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op6_benchmark_decontamination")
+def op6(spark, sf_dir):
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
