@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslog.llm import decontaminate, line_chunks, ngram_join, packing, wavelet
+from opslog.llm import decontaminate, line_chunks, ngram_join, packing, toxicity, wavelet
 from opslog.llm.oracle import NGRAM_JOIN
 from opslog.session import prepare
 
@@ -57,3 +57,10 @@ def op3(spark, sf_dir):
 @query("op6_benchmark_decontamination")
 def op6(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_toxicity")
+def op9(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(*toxicity.labelled(documents, table(spark, sf_dir, "labels")))
+    return toxicity.score(documents, model)

@@ -14,6 +14,7 @@ clean document's hardest window by the network itself.  Training is numpy on at
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +28,7 @@ from opslog.llm.common import strings
 WINDOW, STEP = 32, 16
 HIDDEN, WIDTH = 8, 12
 WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 14
-MAX_TOXIC, MAX_CLEAN = 1000, 1500
+MAX_TOXIC, MAX_CLEAN = 1000, 2500
 WINDOWS_EACH = 4  # training windows of one toxic document, chosen anew each round
 THRESHOLD = 0.7
 KNOWN_WORDS = 300_000
@@ -199,22 +200,26 @@ def _cut(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Model:
     """A trained network with its calibration; scores batches of texts."""
 
-    def __init__(self, net: Network, slope: float = 1.0, shift: float = 0.0):
-        self.net, self.slope, self.shift = net, slope, shift
+    def __init__(self, net: Network, slope: float = 1.0, shift: float = 0.0, key: str | None = None):
+        self.net, self.slope, self.shift, self.key = net, slope, shift, key or uuid.uuid4().hex
         self._forget()
 
     def _forget(self) -> None:
         self.words = Vocabulary()
-        self.gates = np.zeros((2, 0, 3 * HIDDEN), np.float32)
+        self.gates = np.zeros((2, 1024, 3 * HIDDEN), np.float32)
 
     def __reduce__(self):
-        return Model, (self.net, self.slope, self.shift)
+        return _restored, (self.key, self.net, self.slope, self.shift)
 
     def _learn(self) -> None:
         """Gates of the words that are new since the last call."""
         if self.words.new:
-            fresh = self.net.project(self.net.inputs(*_rows(self.words.new)))
-            self.gates = np.concatenate([self.gates, fresh], axis=1)
+            fresh, size = self.net.project(self.net.inputs(*_rows(self.words.new))), len(self.words.place)
+            if size > self.gates.shape[1]:
+                wider = np.zeros((2, 2 * size, 3 * HIDDEN), np.float32)
+                wider[:, : self.gates.shape[1]] = self.gates
+                self.gates = wider
+            self.gates[:, size - fresh.shape[1] : size] = fresh
             self.words.new = []
 
     def logits(self, texts: list[str | None]) -> np.ndarray:
@@ -235,6 +240,17 @@ class Model:
         return np.where(np.isfinite(x), _sigmoid(self.slope * np.where(np.isfinite(x), x, 0) + self.shift), 0.0)
 
 
+_MODELS: dict[str, Model] = {}
+
+
+def _restored(key: str, *parts) -> Model:
+    """The worker process's copy: the words it has met are kept from task to task."""
+    if key not in _MODELS:
+        _MODELS.clear()
+        _MODELS[key] = Model(*parts, key=key)
+    return _MODELS[key]
+
+
 class _Adagrad:
     def __init__(self, rate: float):
         self.rate, self.seen = rate, {}
@@ -288,18 +304,27 @@ def _log_odds(docs: list[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarra
     return np.where(pos >= 2, odds, 0)
 
 
-def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic fit of the label on the worst window's logit; the slope stays positive."""
+def _calibrate(x: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
+    """Logistic fit of the label on the worst window's logit, rows weighted to the toxic ``share``."""
     mean, spread = float(x.mean()), float(x.std()) or 1.0
-    u, a, b = (x - mean) / spread, 1.0, 0.0
-    for _ in range(400):
-        p = _sigmoid(a * u + b)
-        a, b = max(0.05, a - 0.5 * float(((p - y) * u).mean() + 1e-3 * a)), b - 0.5 * float((p - y).mean())
-    return a / spread, b - a * mean / spread
-
-
-def train(texts: list[str | None], labels: list[int], rounds: int = 3, epochs: int = 2, seed: int = 11) -> Model | None:
-    """A model from labelled texts; None where a class is missing."""
+    u = np.stack([(x - mean) / spread, np.ones(len(x))], 1)
+    weight = np.where(y > 0, share / max(1, y.sum()), (1 - share) / max(1, (1 - y).sum())) * len(y)
+    beta, ridge = np.array([1.0, 0.0]), np.diag([1e-2, 1e-4]) * len(y) / 100
+    for _ in range(30):
+        p = _sigmoid(u @ beta)
+        grad = u.T @ (weight * (p - y)) + ridge @ beta
+        beta = beta - np.linalg.solve((u * (weight * p * (1 - p) + 1e-6)[:, None]).T @ u + ridge, grad).clip(-2, 2)
+    a = max(0.05, beta[0])
+    return a / spread, float(beta[1]) - a * mean / spread
+
+
+def train(
+    texts: list[str | None], labels: list[int], share: float | None = None, rounds: int = 4, epochs: int = 2, seed: int = 11
+) -> Model | None:
+    """A model from labelled texts; None where a class is missing.
+
+    Every fifth text is kept for the calibration, to the toxic ``share`` of all labelled rows.
+    """
     toxic = np.array(labels, np.float64)
     if not len(toxic) or toxic.min() == toxic.max():
         return None
@@ -309,9 +334,13 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 3, epochs: i
     vocabulary = list(model.words.place)
     rows = _rows(vocabulary)
     owner, index, length = _cut(docs)
-    is_toxic = toxic[owner] > 0
-    clean = np.flatnonzero(~is_toxic)
-    best = _log_odds(docs, toxic, len(vocabulary))[index].max(0)
+    spare = np.arange(len(docs)) % 5 == 4
+    if min(toxic[spare].sum(), (1 - toxic)[spare].sum()) < 5:
+        spare[:] = False
+    fit = ~spare[owner]
+    is_toxic = (toxic[owner] > 0) & fit
+    clean = np.flatnonzero((toxic[owner] == 0) & fit)
+    best = _log_odds([d for d, k in zip(docs, spare) if not k], toxic[~spare], len(vocabulary))[index].max(0)
 
     def top(values: np.ndarray, mine: np.ndarray, beyond: float) -> np.ndarray:
         """Windows ``mine`` above a value, and the best one of every document."""
@@ -333,12 +362,12 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 3, epochs: i
             _epoch(net, opt, rows, index[:, pick], length[pick], target, rnd)
         gates = net.project(net.inputs(*rows))
         value = np.concatenate([net.forward(gates, index[:, k : k + 4096], length[k : k + 4096]) for k in range(0, len(owner), 4096)])
-        hard = top(value, clean, np.inf)
+        hard = top(value, clean, -0.5)
         positive = top(value, np.flatnonzero(is_toxic), 1.0)
     worst = np.full(len(docs), -np.inf)
     np.maximum.at(worst, owner, value)
-    real = np.isfinite(worst)
-    return Model(net, *_calibrate(worst[real], toxic[real]))
+    real = np.isfinite(worst) & (spare if spare.any() else True)
+    return Model(net, *_calibrate(worst[real], toxic[real], share if share is not None else float(toxic.mean())))
 
 
 def held_out(doc_id):
@@ -347,17 +376,19 @@ def held_out(doc_id):
 
 
 def labelled(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN):
-    """Texts and labels of the training rows; the bounds are the most rows of each label."""
+    """Texts and labels of the training rows (at most so many of each label), and the toxic share of all."""
     known = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = [known.filter(F.col("toxic") == y).orderBy(*order).limit(n) for y, n in ((1, max_toxic), (0, max_clean))]
+    counted = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     ids = F.broadcast(chosen[0].unionAll(chosen[1]))  # at most max_toxic + max_clean rows
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = docs.join(ids, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").collect()
     rows.sort(key=lambda r: r["doc_id"])
-    return [r["text"] for r in rows], [r["toxic"] for r in rows]
+    share = counted.get(1, 0) / max(1, sum(counted.values()))
+    return [r["text"] for r in rows], [r["toxic"] for r in rows], share
 
 
 def _score(model: Model | None):
