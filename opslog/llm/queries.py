@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslog.llm import decontaminate, line_chunks, ngram_join, packing, toxicity, wavelet
+from opslog.llm import decontaminate, line_chunks, ngram_join, packing, tag_paths, toxicity, wavelet
 from opslog.llm.oracle import NGRAM_JOIN
 from opslog.session import prepare
 
@@ -64,3 +64,8 @@ def op9(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     model = toxicity.train(*toxicity.labelled(documents, table(spark, sf_dir, "labels")))
     return toxicity.score(documents, model)
+
+
+@query("op4_tag_path_ratios")
+def op4(spark, sf_dir):
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
