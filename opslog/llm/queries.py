@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from opslog.llm import decontaminate, line_chunks, ngram_join, packing, tag_paths, toxicity, wavelet
+from opslog.llm import (
+    decontaminate,
+    license_align,
+    line_chunks,
+    ngram_join,
+    packing,
+    secret_forest,
+    tag_paths,
+    toxicity,
+    wavelet,
+)
 from opslog.llm.oracle import NGRAM_JOIN
 from opslog.session import prepare
 
@@ -69,3 +79,16 @@ def op9(spark, sf_dir):
 @query("op4_tag_path_ratios")
 def op4(spark, sf_dir):
     return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op8_secret_forest")
+def op8(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    model = secret_forest.fit(secret_forest.planted_findings(documents))
+    found = secret_forest.candidates(documents, "source")
+    return secret_forest.judge(found, model).select("doc_id", "word_no", "part", "value", "score", "predicted")
+
+
+@query("op10_license_alignment")
+def op10(spark, sf_dir):
+    return license_align.licenses(table(spark, sf_dir, "documents"))
