@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opslog.llm import (
     decontaminate,
@@ -12,6 +13,7 @@ from opslog.llm import (
     line_chunks,
     ngram_join,
     packing,
+    search,
     secret_forest,
     tag_paths,
     toxicity,
@@ -92,3 +94,10 @@ def op8(spark, sf_dir):
 @query("op10_license_alignment")
 def op10(spark, sf_dir):
     return license_align.licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op7_block_max_wand")
+def op7(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    asked = documents.filter(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(documents, asked)
