@@ -6,7 +6,7 @@ soon walk in step again, so edit distance becomes Hamming distance, and sampling
 the walk is a locality-sensitive hash of the edit distance.
 
 Windows have the size of the item, rounded down to a class; a walk of as many steps never leaves
-the window.  Documents are hashed at every ``STRIDE``-th word, items at every offset of that
+the window.  Documents are hashed at every ``STRIDE``-th word (for the shortest items at every word), items at every offset of that
 stride and at several places, so one of them meets the grid.  Several walks with several samples
 each reach the recall; every candidate is checked by the exact edit distance of the whole item to
 the best stretch of the document around it (Myers' bit vectors over words).
@@ -29,15 +29,14 @@ from pyspark.sql import functions as F
 from opslog.llm.common import CACHE_WORDS, mix, strings
 
 CLASSES = (4, 8, 16, 32)  # window sizes in words
-SAMPLES = {4: 4, 8: 4, 16: 5, 32: 5}  # steps in a sample
+SAMPLES = {4: 4, 8: 5, 16: 6, 32: 6}  # steps in a sample
 WALKS, BANDS = 3, 3
 STRIDE = 4
 PLACES = 8
 RATE = 0.2  # edits a word of the item
 BLOCK_ITEMS, BLOCK_BYTES = 4_000, 16_000_000
-TABLE_BITS = 22
 EDGE = "\"'`.,;:!?()[]{}<>*#%&$|~-_/\\«»“”„…"
-SPAN = 1 << 20  # words hashed at once
+SPAN = 1 << 17  # words hashed at once: what a walk touches stays in the processor's cache
 
 RESULT = "doc_id bigint, item_id bigint, n_words int, edits int, start_word int"
 
@@ -59,12 +58,14 @@ class Words(dict):
 
 
 def _plans(seed: int) -> list[list[tuple[int, list[int]]]]:
-    """For each walk the samples: (class, steps)."""
+    """For each walk the samples: (class, steps), one step from every equal part of the walk."""
     rnd = np.random.default_rng(seed)
-    return [
-        [(c, sorted(rnd.choice(c, SAMPLES[c], replace=False).tolist())) for c in CLASSES for _ in range(BANDS)]
-        for _ in range(WALKS)
-    ]
+
+    def steps(size: int) -> list[int]:
+        cuts = np.linspace(0, size, SAMPLES[size] + 1).astype(int)
+        return [int(rnd.integers(a, b)) for a, b in zip(cuts, cuts[1:])]
+
+    return [[(c, steps(c)) for c in CLASSES for _ in range(BANDS)] for _ in range(WALKS)]
 
 
 PLANS = _plans(7)
@@ -73,6 +74,8 @@ PLANS = _plans(7)
 def keys(words: np.ndarray, starts: np.ndarray, walk: int, classes: set[int]) -> Iterator[tuple[int, int, np.ndarray]]:
     """(sample number, class, key of every start) of one walk; ``words`` holds a window after each start."""
     symbols = mix(words + np.uint64((walk + 1) * 0x9E3779B97F4A7C15 % 2**64))
+    # A word holds the walk for two steps at most: else one frequent word could be the whole sample.
+    moves = symbols | (~symbols << np.uint64(1) & ~symbols << np.uint64(2))
     wanted = [(b, c, steps) for b, (c, steps) in enumerate(PLANS[walk]) if c in classes]
     held = [np.full(len(starts), np.uint64(b + 1)) for b, _, _ in wanted]
     at = starts.copy()
@@ -83,13 +86,14 @@ def keys(words: np.ndarray, starts: np.ndarray, walk: int, classes: set[int]) ->
                 key *= np.uint64(0xD6E8FEB86659FD93)
                 key ^= now
                 key ^= key >> np.uint64(29)
-        at += ((now >> np.uint64(step)) & np.uint64(1)).astype(at.dtype)
+        at += ((moves[at] >> np.uint64(step)) & np.uint64(1)).astype(at.dtype)
     for key, (b, c, _) in zip(held, wanted):
         yield b, c, key
 
 
 def _class_of(n: int) -> int:
-    return max((c for c in CLASSES if c <= n), default=0)
+    """Largest class of which ``STRIDE`` windows in a row fit; the smallest is hashed at every word and needs one."""
+    return max((c for c in CLASSES if c + (STRIDE - 1) * (c > CLASSES[0]) <= n), default=0)
 
 
 class ItemIndex:
@@ -111,13 +115,17 @@ class ItemIndex:
                     entries.setdefault((walk, b), []).append(np.stack([key, np.full(len(key), n, np.uint64), starts.astype(np.uint64)]))
         self.tables = {}
         for where, parts in entries.items():
-            table = np.unique(np.concatenate(parts, axis=1), axis=1)
-            bits = np.zeros(1 << TABLE_BITS, bool)
-            bits[table[0] >> np.uint64(64 - TABLE_BITS)] = True
-            self.tables[where] = (table, np.packbits(bits))
+            self.tables[where] = np.unique(np.concatenate(parts, axis=1), axis=1)
 
     def maps(self) -> dict:
-        return {where: np.unpackbits(bits).astype(bool) for where, (_, bits) in self.tables.items()}
+        """For each table how far to shift a key, and which shifted keys it has: one in 32 at most."""
+        out = {}
+        for where, table in self.tables.items():
+            shift = np.uint64(64 - min(24, max(16, table.shape[1].bit_length() + 5)))
+            bits = np.zeros(1 << (64 - int(shift)), bool)
+            bits[table[0] >> shift] = True
+            out[where] = shift, bits
+        return out
 
 
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -148,18 +156,21 @@ def _scan(index: ItemIndex, rate: float):
         def matches(docs: list, parts: list[np.ndarray]):
             text = np.concatenate([x for w in parts for x in (w, pad)])
             begin = np.cumsum([0, *(len(w) + len(pad) for w in parts)])
-            starts = np.concatenate([np.arange(b, b + len(w), STRIDE, dtype=np.int32) for b, w in zip(begin, parts)])
             found: set[tuple[int, int, int]] = set()
-            for walk in range(WALKS):
-                for b, _, key in keys(text, starts, walk, index.classes):
+            small, large = index.classes & {CLASSES[0]}, index.classes - {CLASSES[0]}
+            for walk, classes in [(walk, c) for walk in range(WALKS) for c in (small, large) if c]:
+                stride = 1 if classes is small else STRIDE
+                starts = np.concatenate([np.arange(b, b + len(w), stride, dtype=np.int32) for b, w in zip(begin, parts)])
+                for b, _, key in keys(text, starts, walk, classes):
                     table = index.tables.get((walk, b))
                     if table is None:
                         continue
-                    some = np.flatnonzero(maps[walk, b][key >> np.uint64(64 - TABLE_BITS)])
-                    lo, hi = (np.searchsorted(table[0][0], key[some], side=s) for s in ("left", "right"))
+                    shift, bits = maps[walk, b]
+                    some = np.flatnonzero(bits[key >> shift])
+                    lo, hi = (np.searchsorted(table[0], key[some], side=s) for s in ("left", "right"))
                     for at, x, y in zip(starts[some[hi > lo]].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
                         doc = int(np.searchsorted(begin, at, side="right")) - 1
-                        for n, offset in table[0][1:, x:y].T.tolist():
+                        for n, offset in table[1:, x:y].T.tolist():
                             found.add((doc, n, (at - int(begin[doc]) - offset) // STRIDE))
             best: dict[tuple[int, int], tuple[int, int]] = {}
             for doc, n, at in sorted(found):
