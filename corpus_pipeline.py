@@ -1,15 +1,67 @@
-"""The corpus pipeline: documents in, packed training sequences out, in five stages."""
+"""The corpus pipeline: documents in, packed training sequences out, in five stages.
+
+Each stage reads what its predecessor kept, as Parquet in the shared scratch folder, and decides
+by one operator: toxic documents go, repeated passages are cut out of texts, one document of
+each group of near copies stays, documents with benchmark items go, the rest is packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from opslog.llm import decontaminate, line_chunks, ngram_join, packing, toxicity
+from opslog.llm.common import saved
+from opslog.session import prepare
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows with a toxicity score under the threshold; without labels of both kinds all rows stay."""
+    model = toxicity.train(*toxicity.labelled(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return toxicity.without_toxic(docs, model)
+
+
+def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document has; a document of which nothing is left goes."""
+    cut = line_chunks.dedup_lines(docs)
+    removed = F.col(cut.columns[-1])
+    kept = cut.filter((removed == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    if "n_chars" in docs.columns:
+        chars = F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars"))
+        kept = kept.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
+    return kept.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near copies; rows without an id stay."""
+    groups = ngram_join.similar_documents(docs)
+    copies = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their place in a sequence."""
+    return packing.pack(docs)
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", cut_lines),
+    ("n-gram jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("best-fit packing", pack),
+]
+ORACLE_SQL = None  # none of the stages can be written in SQL; tests hold each against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over the documents of ``sf_dir``."""
+    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.session import scratch_dir
@@ -68,6 +68,30 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores added where a column has one already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def keep_rows(df: DataFrame, choose: Callable[[], Callable[[list[str | None]], np.ndarray]], column: str = "text", rows: int = 500) -> DataFrame:
+    """Rows of ``df`` with all columns, whose text the chooser (made once a task) says to keep."""
+
+    def run(batches):
+        chosen = choose()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                part = batch.slice(lo, rows)
+                yield part.filter(pa.array(np.asarray(chosen(list(strings(part, column))), bool)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """Total bytes of a text column: what task counts are derived from."""
     return int(df.agg(F.sum(F.octet_length(column))).first()[0] or 0)
@@ -79,7 +103,3 @@ def parts_for(total: int, each: int, least: int = 8) -> int:
     while parts * each < total:
         parts *= 2
     return parts
-
-
-def session() -> SparkSession:
-    return SparkSession.active()

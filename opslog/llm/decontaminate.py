@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import CACHE_WORDS, mix, strings
+from opslog.llm.common import CACHE_WORDS, keep_rows, mix, strings
 
 CLASSES = (4, 8, 16, 32)  # window sizes in words
 SAMPLES = {4: 4, 8: 5, 16: 6, 32: 6}  # steps in a sample
@@ -230,3 +230,29 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, rate: float = RATE)
         if index.items:
             parts.append(docs.mapInArrow(_scan(index, rate), RESULT))
     return reduce(DataFrame.unionAll, parts) if parts else documents.sparkSession.createDataFrame([], RESULT)
+
+
+def _clean(index: ItemIndex, rate: float):
+    def choose():
+        scan = _scan(index, rate)
+
+        def clean(texts: list[str | None]) -> np.ndarray:
+            rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+            keep = np.ones(len(texts), bool)
+            for found in scan([rows]):
+                keep[found.column(0).to_numpy()] = False
+            return keep
+
+        return clean
+
+    return choose
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
+    """``documents`` without the rows that hold an item; no row moves."""
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    for block in _blocks(items):
+        index = ItemIndex(block)
+        if index.items:
+            documents = keep_rows(documents, _clean(index, rate))
+    return documents

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import mix, saved, strings
+from opslog.llm.common import free_names, mix, saved, strings
 
 MIN_LINES = 2
 MIN_WORDS = 50
@@ -165,17 +165,6 @@ def _rewrite(text_at: str, segments_at: str, added: tuple[str, str], min_lines:
     return run
 
 
-def _free(columns: list[str], *names: str) -> list[str]:
-    """Names that no column has."""
-    taken = {c.lower() for c in columns}
-    out = []
-    for name in names:
-        while name.lower() in taken:
-            name = f"{name}_"
-        out.append(name)
-    return out
-
-
 def dedup_lines(
     documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, divisor: int = DIVISOR
 ) -> DataFrame:
@@ -185,7 +174,7 @@ def dedup_lines(
     underscore).  A null or one-line text stays as it is; rows of equal id and equal text count as
     one document and are treated alike; null ids come first.  An empty table gives no rows.
     """
-    f1, f2, asks, segs, n_lines, n_removed = _free(documents.columns, "key_id", "key_text", "asks", "segments", "n_lines", "n_removed")
+    f1, f2, asks, segs, n_lines, n_removed = free_names(documents.columns, "key_id", "key_text", "asks", "segments", "n_lines", "n_removed")
     keyed = documents.withColumns(
         {f1: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), f2: F.xxhash64(F.col("text"))}
     )

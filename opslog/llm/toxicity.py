@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import strings
+from opslog.llm.common import keep_rows, strings
 
 WINDOW, STEP = 32, 16
 HIDDEN, WIDTH = 8, 12
@@ -32,7 +32,7 @@ MAX_TOXIC, MAX_CLEAN = 1000, 2500
 WINDOWS_EACH = 4  # training windows of one toxic document, chosen anew each round
 THRESHOLD = 0.7
 KNOWN_WORDS = 300_000
-BATCH = 512
+BATCH, STEPS = 512, 40  # windows a step at most, steps an epoch at least
 EDGE = re.compile(r"^\W+|\W+$")
 
 
@@ -156,7 +156,10 @@ class Network:
 
 
 class Vocabulary:
-    """Distinct words of a task with their place; marks at a word's ends and its case don't count."""
+    """Distinct words of a task with their place; marks at a word's ends and its case don't count.
+
+    A word that follows itself is read once: repetition is no evidence.
+    """
 
     def __init__(self):
         self.place: dict[str, int] = {}
@@ -171,7 +174,8 @@ class Vocabulary:
                 self.place[key] = len(self.place)
                 self.new.append(key)
             raw[w] = self.place[key]
-        return np.fromiter(map(raw.__getitem__, words), np.int32, len(words))
+        at = np.fromiter(map(raw.__getitem__, words), np.int32, len(words))
+        return at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
 
 
 def _rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -273,8 +277,9 @@ def _epoch(net: Network, opt: _Adagrad, rows, index, length, target, rnd) -> flo
     at = np.cumsum(many) - many
     total, order = 0.0, rnd.permutation(len(target))
     share = max(1e-3, float(target.mean()))
-    for lo in range(0, len(order), BATCH):
-        pick = order[lo : lo + BATCH]
+    size = min(BATCH, max(32, len(order) // STEPS))
+    for lo in range(0, len(order), size):
+        pick = order[lo : lo + size]
         used, local = np.unique(index[:, pick], return_inverse=True)
         local = local.reshape(WINDOW, len(pick))
         counts = many[used]
@@ -358,7 +363,7 @@ def train(
         some = rnd.choice(clean, min(len(clean), max(2000, 2 * len(seeds))), replace=False)
         pick = np.concatenate([seeds, some, hard])
         target = np.concatenate([np.ones(len(seeds)), np.zeros(len(some) + len(hard))])
-        for _ in range(epochs):
+        for _ in range(max(epochs, min(6, 20_000 // len(pick)))):
             _epoch(net, opt, rows, index[:, pick], length[pick], target, rnd)
         gates = net.project(net.inputs(*rows))
         value = np.concatenate([net.forward(gates, index[:, k : k + 4096], length[k : k + 4096]) for k in range(0, len(owner), 4096)])
@@ -366,7 +371,8 @@ def train(
         positive = top(value, np.flatnonzero(is_toxic), 1.0)
     worst = np.full(len(docs), -np.inf)
     np.maximum.at(worst, owner, value)
-    real = np.isfinite(worst) & (spare if spare.any() else True)
+    # With few spare toxic rows their logits are too uneven a base: then all rows calibrate.
+    real = np.isfinite(worst) & (spare if toxic[spare].sum() >= 30 else True)
     return Model(net, *_calibrate(worst[real], toxic[real], share if share is not None else float(toxic.mean())))
 
 
@@ -418,3 +424,8 @@ def score(documents: DataFrame, model: Model | None, threshold: float = THRESHOL
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
+
+
+def without_toxic(documents: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
+    """``documents`` without the rows that the model rejects; no row moves."""
+    return keep_rows(documents, lambda: lambda texts: model.scores(texts) < threshold) if model else documents
