@@ -20,12 +20,12 @@ from opslog.ingest.web import alerts
 from opslog.operators.uniques import client_visits
 from opslog.plans.upkeep import delete_range, drop_old_days, layout
 from opslog.session import scratch_dir
-from opslog.sinks.tables import export_csv, index_rows, merge_snapshot, save, save_snapshot
+from opslog.sinks.tables import export_csv, index_rows, merge_snapshot, save, save_raw, save_snapshot
 from opslog.sources.logs import import_router_log, import_session_log, read_stream
 from opslog.sources.tables import read_window
 from opslog.spec import DAY, HOUR
 from opslog.streaming.aggregates import windowed
-from opslog.streaming.ingest import agent_tables, append, fan_out
+from opslog.streaming.ingest import agent_tables, append, fan_out, ingest
 
 
 def event_stream(spark, sf_dir):
@@ -94,10 +94,10 @@ def stream_ingest(spark, sf_dir):
     source = line_files(spark, session_lines(spark, sf_dir), "session-lines")
     out = scratch_dir(spark, "stream-ingest")
     rows = accepted(parse_session(read_stream(spark, "text", {"path": source})))
-    finished(append(rows, f"{out}/data", f"{out}/state", True))
+    finished(ingest(rows, f"{out}/data", f"{out}/state", "sessions", True))
     stored = spark.read.schema(rows.schema).parquet(f"{out}/data")
     second = "yyyy-MM-dd HH:mm:ss"
-    return stored.withColumns({c: F.date_format(c, second) for c in ("registered_at", "off_at")})
+    return stored.drop("batch").withColumns({c: F.date_format(c, second) for c in ("registered_at", "off_at")})
 
 
 @query(
@@ -117,10 +117,15 @@ def stream_fanout(spark, sf_dir):
     source = line_files(spark, lines, "agent-lines")
     out = scratch_dir(spark, "stream-fanout")
     stream = read_stream(spark, "text", {"path": source})
-    finished(fan_out(stream, parse_samples, agent_tables, f"{out}/raw", f"{out}/state", True))
+    finished(fan_out(stream, parse_samples, agent_tables, f"{out}/raw", f"{out}/state", "agents", True))
+    return metric_days(spark, f"{out}/raw")
+
+
+def metric_days(spark, root):
+    """Rows and totals per metric table and day."""
     result = None
     for name in ("cpu", "mem", "disk"):
-        rows = spark.read.parquet(f"{out}/raw/{name}")
+        rows = spark.read.parquet(f"{root}/{name}")
         rows = rows.groupBy(F.col("dt").cast("string").alias("dt")).agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.col("values").cast("double")).alias("total")
         )
@@ -129,6 +134,57 @@ def stream_fanout(spark, sf_dir):
     return result
 
 
+METRIC_DAYS = f"""WITH {E}
+SELECT CASE event_type WHEN 'view' THEN 'cpu' WHEN 'click' THEN 'mem' ELSE 'disk' END AS metric_table,
+  strftime(ts, '%Y%m%d') AS dt, count(*) AS n, CAST(sum(k) AS DOUBLE) AS total
+FROM e WHERE event_type IN ('view', 'click', 'error') GROUP BY 1, 2"""
+
+
+def metric_lines(spark, sf_dir):
+    plugins = {"view": "cpu", "click": "memory", "error": "df"}
+    kinds = {"view": "user", "click": "used", "error": "free"}
+    return sample_lines(spark, sf_dir, choose(plugins), choose(kinds), F.col("k").cast("string"), F.lit('"value"'))
+
+
+@query("stream_two_topics", METRIC_DAYS)
+def stream_two_topics(spark, sf_dir):
+    """Two topics of agent lines feed the same tables: no batch of one replaces a batch of the other."""
+    lines = metric_lines(spark, sf_dir)
+    out = scratch_dir(spark, "stream-two-topics")
+    odd = F.pmod(F.xxhash64("value"), F.lit(2))
+    for topic in (0, 1):
+        source = line_files(spark, lines.filter(odd == topic), f"topic-{topic}")
+        stream = read_stream(spark, "text", {"path": source})
+        finished(fan_out(stream, parse_samples, agent_tables, f"{out}/raw", f"{out}/state-{topic}", f"topic{topic}", True))
+    return metric_days(spark, f"{out}/raw")
+
+
+@query("stream_replay", METRIC_DAYS)
+def stream_replay(spark, sf_dir):
+    """All lines again under a new checkpoint replace the first run's rows: none is lost or there twice."""
+    source = line_files(spark, metric_lines(spark, sf_dir), "replayed-lines")
+    out = scratch_dir(spark, "stream-replay")
+    stream = read_stream(spark, "text", {"path": source})
+    for run in ("first", "second"):
+        finished(fan_out(stream, parse_samples, agent_tables, f"{out}/raw", f"{out}/{run}", "agents", True, "replace"))
+    return metric_days(spark, f"{out}/raw")
+
+
+@query(
+    "stream_retention",
+    f"""SELECT strftime(ts, '%Y%m%d') AS dt, count(*) AS n, CAST(sum({VALUE}) AS DOUBLE) AS total FROM events
+WHERE strftime(ts, '%Y%m%d') > '20240110' OR strftime(ts, '%Y%m%d') = '20240103' GROUP BY 1""",
+)
+def stream_retention(spark, sf_dir):
+    """A streamed table after old days were dropped and one of them was loaded again by a batch job."""
+    out = scratch_dir(spark, "stream-retention")
+    stream = event_stream(spark, sf_dir).withColumns({"dt": day_part("ts"), "hh": hour_part("ts")})
+    finished(ingest(stream, f"{out}/data", f"{out}/state", "events", True))
+    drop_old_days(spark, f"{out}/data", datetime(2024, 1, 30), 20)
+    save_raw(raw_events(spark, sf_dir).filter("dt = '20240103'"), f"{out}/data", "reload")
+    return day_counts(spark.read.parquet(f"{out}/data"))
+
+
 @query("stream_alert", "SELECT event_id FROM events WHERE event_type = 'error'")
 def stream_alert(spark, sf_dir):
     """Alert lines forwarded by a stream."""
@@ -286,34 +342,38 @@ def plain_lines(lines):
 @query(
     "import_router_log",
     f"""WITH {E}
-SELECT 'par' AS router_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS log_time, '#{{' || mac || '}}' AS client_mac,
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS log_time, mac AS client_mac,
   '192.0.2.' || k || '[5000]' AS client_ip, CASE WHEN q THEN 'Request' ELSE 'Response' END AS mode, 'Route' AS kind,
   CASE WHEN q THEN '' ELSE '198.51.100.' || k END AS server_ip, CASE WHEN q THEN 'A' || (k % 5) ELSE '' END AS app_id,
   CASE WHEN q THEN 'S' || (k % 25) ELSE '' END AS site_id
 FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k < 90)""",
 )
 def import_router_log_query(spark, sf_dir):
-    """Plain router log files; the file name gives the router id (here Spark's own)."""
+    """Plain router log files (their names, which give the router id, are Spark's own here)."""
     path = line_files(spark, plain_lines(route_lines(spark, sf_dir)), "router-files")
-    rows = import_router_log(spark, path).filter(F.col("arguments") != "x")
-    return rows.withColumn("log_time", F.date_format("log_time", "yyyy-MM-dd HH:mm:ss.SSS")).drop("arguments")
+    rows = import_router_log(spark, path)
+    return rows.withColumn("log_time", F.date_format("log_time", "yyyy-MM-dd HH:mm:ss.SSS")).drop("arguments", "router_id")
 
 
 @query(
     "import_session_log",
     f"""WITH e AS (SELECT *, {K} AS k FROM events)
-SELECT 'par' AS router_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS log_time, CAST(event_id AS VARCHAR) AS session_id,
-  'info' AS log_type, '198.51.100.' || k AS server_ip, '21' AS menu_path, 'ON' AS motion,
-  CAST(k AS VARCHAR) AS motion_value, CAST(user_id AS VARCHAR) AS client_id, CAST(k % 25 AS VARCHAR) AS site_id
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS log_time, CAST(event_id AS VARCHAR) AS session_id,
+  'info' AS log_type, '198.51.100.' || k AS server_ip, 'm' || (k % 3) AS menu_path, CASE WHEN event_id % 2 = 0 THEN 'ON' ELSE 'OFF' END AS motion,
+  CAST(k AS VARCHAR) AS motion_value, CAST(user_id AS VARCHAR) AS client_id, CAST(k % 25 AS VARCHAR) AS site_id,
+  CASE WHEN event_id % 2 = 1 THEN strftime(ts + INTERVAL 90 SECOND, '%Y-%m-%d %H:%M:%S') END AS off_at
 FROM e""",
 )
 def import_session_log_query(spark, sf_dir):
+    """Session log files: closed sessions carry their end as a tenth value."""
+    second, closed = "yyyy-MM-dd HH:mm:ss", F.col("event_id") % 2 == 1
     line = F.format_string(
-        "[%s] registered_date=x,css_session_id=%d,log_type=info,css_ip=198.51.100.%d,menu_tree=21,motion=ON,"
-        "motion_value=%d,stb_id={%d},so=%d",
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "event_id", "k", "k", "user_id", F.col("k") % 25,
+        "[%s] at=x,session=%d,kind=info,server=198.51.100.%d,menu=m%d,motion=%s,amount=%d,client={%d},site=%d%s",
+        F.date_format("ts", second), "event_id", "k", F.col("k") % 3, F.when(closed, F.lit("OFF")).otherwise(F.lit("ON")),
+        "k", "user_id", F.col("k") % 25,
+        F.when(closed, F.concat(F.lit(",end="), F.date_format(F.col("ts") + F.expr("interval 90 seconds"), second))).otherwise(F.lit("")),
     )
     events = table(spark, sf_dir, "events").withColumn("k", prop_k())
     path = line_files(spark, events.select(line.alias("value")), "session-files")
-    rows = import_session_log(spark, path)
-    return rows.withColumn("log_time", F.date_format("log_time", "yyyy-MM-dd HH:mm:ss"))
+    rows = import_session_log(spark, path).drop("router_id")
+    return rows.withColumns({c: F.date_format(c, second) for c in ("log_time", "off_at")})

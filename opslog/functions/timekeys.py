@@ -54,9 +54,18 @@ def parse_web_time(text: Column) -> Column:
     return F.try_to_timestamp(F.substring(text, 1, 20), F.lit("dd/MMM/yyyy:HH:mm:ss"))
 
 
+def instant(when: datetime) -> Column:
+    """A wall-clock time in the session's zone.
+
+    A Python time as a literal would be read in the driver's own zone, while partition names are
+    wall clock: so the text is what travels.
+    """
+    return F.lit(when.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
+
+
 def in_range(ts: str, begin: datetime, end: datetime) -> Column:
     """Half-open ``[begin, end)``."""
-    return (F.col(ts) >= F.lit(begin)) & (F.col(ts) < F.lit(end))
+    return (F.col(ts) >= instant(begin)) & (F.col(ts) < instant(end))
 
 
 def partition_predicate(begin: datetime, end: datetime) -> Column:

@@ -26,6 +26,11 @@ from opslog.operators.sequence import next_row, previous_row
 from opslog.spec import Grain
 
 HOUR_SECONDS = 3600
+# Seconds that the session zone's full hours lie after those of UTC: 0 but in half-hour zones.
+# Daylight saving moves clocks by full hours, so any fixed moment tells.
+ZONE_SHIFT = (
+    "pmod(unix_seconds(from_utc_timestamp(timestamp_seconds(1700000000), current_timezone())) - 1700000000, 3600)"
+)
 
 
 def segments(
@@ -37,13 +42,13 @@ def segments(
     chunk_seconds: int = HOUR_SECONDS,
 ) -> DataFrame:
     """``(entity, chunk, sec, len, users)``: stretches with a constant number of users."""
-    start, stop = F.col("_on"), F.col("_off")
+    start, stop, shift = F.col("_on"), F.col("_off"), F.expr(ZONE_SHIFT)
     cut = (
         sessions.select(*entity, *client, epoch(on).alias("_on"), epoch(off).alias("_off"))
         .filter(stop > start)
-        .withColumn("chunk", F.explode(F.sequence(_div(start, chunk_seconds), _div(stop - 1, chunk_seconds))))
-        .withColumn("sec", F.greatest(start, F.col("chunk") * chunk_seconds))
-        .withColumn("_end", F.least(stop, (F.col("chunk") + 1) * chunk_seconds))
+        .withColumn("chunk", F.explode(F.sequence(_div(start + shift, chunk_seconds), _div(stop - 1 + shift, chunk_seconds))))
+        .withColumn("sec", F.greatest(start, F.col("chunk") * chunk_seconds - shift))
+        .withColumn("_end", F.least(stop, (F.col("chunk") + 1) * chunk_seconds - shift))
         .groupBy("sec", "chunk", *entity, *client)
         .agg(F.max("_end").alias("_end"))
     )
@@ -73,7 +78,7 @@ def segments(
     )
     in_order = Window.partitionBy("chunk", *entity).orderBy("sec")
     # Windows name the chunk first: sorts compare it as a number before any text.
-    chunk_end = (F.col("chunk") + 1) * chunk_seconds
+    chunk_end = (F.col("chunk") + 1) * chunk_seconds - shift
     return (
         steps.withColumns(
             {
@@ -98,25 +103,25 @@ def concurrency(
     """avg, min and max number of users per (bucket, entity) that has any session."""
     if grain.seconds is None:
         raise ValueError("the bucket must have a constant length")
-    # A chunk holds whole buckets, and a bucket lies in one chunk, unless a bucket is
-    # longer than a day: then it is the sum of its chunks.
-    chunk = max(grain.seconds, HOUR_SECONDS)
-    parts = segments(sessions, entity, client, on, off, chunk)
-    if grain.seconds < chunk:
-        parts = _split(parts, grain.seconds)
+    # A chunk is an hour of the session zone: it holds whole shorter buckets and lies in one longer one.
+    parts = segments(sessions, entity, client, on, off)
+    if grain.seconds < HOUR_SECONDS:
+        parts = _split(parts, grain.seconds).withColumn("bucket", F.timestamp_seconds(F.col("slot") * grain.seconds))
     else:
-        parts = parts.withColumn("slot", F.col("chunk"))
-    covered = F.sum("len")
+        parts = parts.withColumn("bucket", grain.bucket(F.timestamp_seconds("sec")))
     # With the chunk among the keys, the rows are already where the running sum put them.
+    chunk = ["chunk"] if grain.seconds <= HOUR_SECONDS else []
+    whole = F.unix_seconds(F.col("bucket") + grain.step) - F.unix_seconds("bucket")
+    covered = F.sum("len")
     return (
-        parts.groupBy(*entity, "chunk", "slot")
+        parts.groupBy(*entity, *chunk, "bucket")
         .agg(
-            (F.sum(F.col("users") * F.col("len")).cast("double") / grain.seconds).alias(f"avg_{name}"),
-            F.when(covered < grain.seconds, F.lit(0)).otherwise(F.min("users")).alias(f"min_{name}"),
+            (F.sum(F.col("users") * F.col("len")).cast("double") / whole).alias(f"avg_{name}"),
+            F.when(covered < whole, F.lit(0)).otherwise(F.min("users")).alias(f"min_{name}"),
             F.max("users").alias(f"max_{name}"),
         )
         .select(
-            F.timestamp_seconds(F.col("slot") * grain.seconds).alias("bucket"),
+            "bucket",
             *entity,
             f"avg_{name}",
             f"min_{name}",

@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opslog.functions.timekeys import instant
 from opslog.spec import ALL, DAY, UNKNOWN, Grain, Level
 
 
@@ -129,7 +130,7 @@ def calendar(
 
 
 def _ts(value: datetime | Column) -> Column:
-    return (value if isinstance(value, Column) else F.lit(value)).cast("timestamp")
+    return value.cast("timestamp") if isinstance(value, Column) else instant(value)
 
 
 def span(df: DataFrame, ts: str, grain: Grain) -> tuple[Column, Column]:

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opslog.functions.timekeys import instant
 from opslog.operators.dims import calendar
 from opslog.plans.windows import SLOT_SECONDS
 from opslog.sinks.tables import save
@@ -56,15 +57,16 @@ class Lake:
     def stat(self, name: str, grain: Grain, begin: datetime, end: datetime) -> DataFrame:
         """Statistics rows of ``[begin, end)``; only the partitions of the range are read."""
         table = self.spark.read.parquet(self.stat_path(name, grain))
-        low, high = F.lit(begin).cast("timestamp"), F.lit(end).cast("timestamp")
+        low, high = instant(begin), instant(end)
         rows = table.where((F.col("bucket") >= low) & (F.col("bucket") < high))
         if grain == MONTH:
             return rows.where(F.col("mm").cast("string") >= begin.strftime("%Y%m"))
         return rows.where(F.col("dt").cast("string").between(begin.strftime("%Y%m%d"), end.strftime("%Y%m%d")))
 
-    def write_stat(self, df: DataFrame, name: str, grain: Grain) -> None:
+    def write_stat(self, df: DataFrame, name: str, grain: Grain, stamp: datetime | None = None) -> None:
         """Replace the folders ``df`` has rows for; every row gets the load stamp."""
-        stamped = with_partitions(df, grain).withColumn("chg_date", F.current_timestamp())
+        at = instant(stamp) if stamp else F.current_timestamp()
+        stamped = with_partitions(df, grain).withColumn("chg_date", at)
         save(stamped, self.stat_path(name, grain), PARTITIONS[grain])
 
 

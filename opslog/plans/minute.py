@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.measures import mbps
 from opslog.functions.text import pair_value, port_number
+from opslog.functions.timekeys import instant
 from opslog.operators.concurrency import concurrency
 from opslog.operators.dims import attach_dim, by_levels, level_frame, lookup_side, zero_fill
 from opslog.operators.gauge import (
@@ -91,11 +92,11 @@ def _pair_tables(lake: Lake, pairs: DataFrame, router: list[str], window: Window
 def route(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     log = lake.raw("route_log", window.read_from, window.read_to)
     pairs = pair_requests(
-        log.filter(F.col("log_time") >= F.lit(window.begin)),
+        log.filter(F.col("log_time") >= instant(window.begin)),
         ["session_id", "client_mac", "client_ip"],
         ["log_time", "mode", "server_ip", "result"],
         minute_chunk("log_time"),
-        end=F.lit(window.end),
+        end=instant(window.end),
     )
     out = _pair_tables(lake, pairs, ["router_id", "router_port"], window, grain)
     return {"route": out["servers"], "route_router": out["routers"]}
@@ -105,13 +106,13 @@ def status(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     """Pairs by router session; the server is the request's and an answer needs none."""
     log = lake.raw("status_log", window.read_from, window.read_to)
     pairs = pair_requests(
-        log.filter(F.col("log_time") >= F.lit(window.begin)),
+        log.filter(F.col("log_time") >= instant(window.begin)),
         ["router_host", "router_port", "router_session"],
         ["log_time", "mode", "server_ip", "result"],
         minute_chunk("log_time"),
         entity_from="request",
         require_entity=False,
-        end=F.lit(window.end),
+        end=instant(window.end),
     )
     out = _pair_tables(lake, pairs, ["router_host", "router_port"], window, grain)
     return {"status": out["servers"], "status_router": out["routers"]}
@@ -143,11 +144,11 @@ def uvpv(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
 def ccu(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     """Concurrent users, each level counting its own clients."""
     log = lake.raw("session_log", window.read_from, window.end).filter(F.col("motion") == OFF)
-    running = log.filter(F.col("off_at") >= F.lit(window.begin)).select(
+    running = log.filter(F.col("off_at") >= instant(window.begin)).select(
         "server_ip",
         "client_id",
-        F.greatest("registered_at", F.lit(window.begin).cast("timestamp")).alias("on_at"),
-        F.least("off_at", F.lit(window.end).cast("timestamp")).alias("off_at"),
+        F.greatest("registered_at", instant(window.begin)).alias("on_at"),
+        F.least("off_at", instant(window.end)).alias("off_at"),
     )
     servers = _servers(lake)
     variants = [
@@ -248,7 +249,8 @@ def _host_samples(lake: Lake, name: str, window: Window, grain: Grain) -> DataFr
         F.col("host").alias("host_name"),
         F.col("plugin_instance").alias("mount"),
         "type_instance",
-        F.col("values").try_cast("double").alias("value"),
+        # Decimals: a sum is the same whatever order its tasks end in.
+        F.col("values").try_cast("decimal(28,9)").alias("value"),
         "values",
     )
 
@@ -262,6 +264,7 @@ def _host_gauge(lake: Lake, name: str, window: Window, grain: Grain, categories:
     stats = gauge(
         samples, ["bucket", "host_name"], by_category("type_instance", F.col("value"), categories)
     )
+    stats = stats.withColumns({c: F.col(c).cast("double") for c in stats.columns if c.startswith(("min_", "max_"))})
     frame = window_frame(_hosts(lake), window, grain)
     return zero_fill(stats, frame, ["bucket", "host_name"], gauge_zeros(list(categories.values())))
 

@@ -7,12 +7,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opslog.functions.timekeys import instant
 from opslog.operators.snapshot import at_latest_bucket, combine
-from opslog.plans.lake import RAW_TIME, Lake
+from opslog.plans.lake import PARTITIONS, RAW_TIME, Lake
 from opslog.plans.minute import JOBS, SPARSE_TABLES
 from opslog.plans.rollups import ROLLUPS, roll
-from opslog.plans.upkeep import KEEP_DAYS, delete_range, drop_folders, drop_old_days, drop_old_rollups, partitions
-from opslog.plans.windows import WINDOWS, aligned, at_fire, hour_of, pieces
+from opslog.plans.upkeep import KEEP_DAYS, STRFTIME, delete_range, drop_folders, drop_old_days, drop_old_rollups, partitions
+from opslog.plans.windows import SLOT_SECONDS, WINDOWS, aligned, at_fire, hour_of, pieces
 from opslog.sinks.tables import merge_snapshot, save_snapshot
 from opslog.spec import DAY, HOUR, MINUTE, MONTH, Grain, Window
 
@@ -22,19 +23,46 @@ WINDOW_OF = {"switches": "hosts"}
 def run_window(lake: Lake, job: str, window: Window, drop_first: bool = False) -> list[str]:
     """Write the tables of one job for one window; a re-run replaces the same folders.
 
-    ``drop_first`` also clears folders of the window that will get no rows.
+    ``drop_first`` also clears folders of the window that got no rows, after the write.
     """
     if not aligned(window):
         raise ValueError("a written window must start and end on slot borders")
     written = []
     for name, table in JOBS[job](lake, window).items():
+        stamp = datetime.now()
+        lake.write_stat(table, name, MINUTE, stamp)
         if drop_first or name in SPARSE_TABLES:
-            drop_slots(lake, name, window)
-        lake.write_stat(table, name, MINUTE)
+            low, high = (t.strftime("%Y%m%d%H%M") for t in (window.begin, window.end))
+            drop_stale(lake, name, MINUTE, low, high, stamp)
         written.append(name)
     return written
 
 
+def drop_stale(lake: Lake, table: str, grain: Grain, low: str, high: str, stamp: datetime) -> int:
+    """Drop the folders of the key range ``[low, high)`` that the write of ``stamp`` gave no rows.
+
+    The new rows are in place by then: a job that fails leaves the old ones.
+    """
+    columns = PARTITIONS[grain]
+    path = lake.stat_path(table, grain)
+    inside = [("".join(v[c] for c in columns), f) for v, f in partitions(lake.spark, path, len(columns))]
+    inside = [(k, f) for k, f in inside if low <= k < high]
+    if not inside:
+        return 0
+    fresh = lake.spark.read.option("basePath", path).parquet(*[f for _, f in inside])
+    fresh = fresh.where(F.col("chg_date") == instant(stamp)).select(F.substring("stat_key", 1, 12).alias("k")).distinct()
+    kept = {_folder_key(r["k"], grain) for r in fresh.collect()}
+    return drop_folders(lake.spark, [f for k, f in inside if k not in kept])
+
+
+def _folder_key(stat_key: str, grain: Grain) -> str:
+    """The folder of a row: minutes are kept by slot."""
+    if grain != MINUTE:
+        return stat_key
+    minutes = SLOT_SECONDS // 60
+    return f"{stat_key[:10]}{int(stat_key[10:12]) // minutes * minutes:02d}"
+
+
 def run_at(lake: Lake, job: str, fire: datetime) -> list[str]:
     """The window that is complete at a fire time."""
     return run_window(lake, job, at_fire(WINDOWS[WINDOW_OF.get(job, job)], fire))
@@ -66,7 +94,14 @@ def drop_slots(lake: Lake, table: str, window: Window) -> int:
 
 
 def run_rollup(lake: Lake, table: str, to: Grain, begin: datetime, end: datetime, exact: bool = False) -> None:
-    lake.write_stat(roll(lake, table, to, begin, end, exact), table, to)
+    """Write the keys of ``[begin, end)``; of a sparse table, keys that have no rows any more go."""
+    stamp = datetime.now()
+    lake.write_stat(roll(lake, table, to, begin, end, exact), table, to, stamp)
+    if table in SPARSE_TABLES:
+        low, high = (t.strftime(STRFTIME[to.unit]) for t in (begin, end))
+        if to == MONTH:
+            high = f"{high}~"  # the month of the last day counts
+        drop_stale(lake, table, to, low, high, stamp)
 
 
 def run_hour(lake: Lake, fire: datetime, tables: list[str] | None = None) -> None:
@@ -110,7 +145,7 @@ def dashboard(lake: Lake, begin: datetime, end: datetime) -> DataFrame:
 
 def publish_dashboard(lake: Lake, begin: datetime, end: datetime, path: str, now: datetime) -> None:
     """Upsert the snapshot.  The new one is written beside the old one it reads."""
-    fresh = dashboard(lake, begin, end).withColumn("chg_date", F.lit(now).cast("timestamp"))
+    fresh = dashboard(lake, begin, end).withColumn("chg_date", instant(now))
     schema = "id STRING, ccu BIGINT, uv BIGINT, pv BIGINT, traffic BIGINT, chg_date TIMESTAMP"
     versions = sorted(v["version"] for v, _ in partitions(lake.spark, path, 1))
     old = None

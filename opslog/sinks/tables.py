@@ -34,6 +34,11 @@ def save(
     writer.save(path)
 
 
+def save_raw(df: DataFrame, path: str, source: str) -> None:
+    """A batch job's rows into a raw table beside streamed ones; writing a source again replaces its hours."""
+    save(df.withColumn("batch", F.lit(source)), path, ["dt", "hh", "batch"])
+
+
 def save_snapshot(df: DataFrame, path: str) -> None:
     """A dimension or the dashboard as ``|``-separated text.
 

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opslog.functions.text import part, unwrap
+from opslog.functions.text import client_mark, part, unwrap
 from opslog.functions.timekeys import parse_time
-from opslog.ingest.router import split_line
+from opslog.ingest.router import ROUTE_ARGUMENTS, split_line
 
-# A file name starts with the id of its router; a session line is
-# `[time] k=v,k=v,...` with nine values.
-ROUTER_ID_LENGTH = 3
+# A file name starts with the id of its router and an underscore; a session line is
+# `[time] k=v,k=v,...` with nine values, and the end of a closed one as the tenth.
 SESSION_VALUES = 9
 SESSION_LINE = r"^\[([\d-]+ [\d:.]+)\] (.+)$"
 
@@ -19,15 +18,18 @@ SESSION_LINE = r"^\[([\d-]+ [\d:.]+)\] (.+)$"
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files with the router id of their file name."""
     return spark.read.text(path).select(
-        F.substring(F.col("_metadata.file_name"), 1, ROUTER_ID_LENGTH).alias("router_id"), "value"
+        F.substring_index(F.col("_metadata.file_name"), "_", 1).alias("router_id"), "value"
     )
 
 
 def import_router_log(spark: SparkSession, path: str) -> DataFrame:
-    """Routing lines of plain router logs; other lines are left out."""
+    """Routing lines of plain router logs; other lines and those with too few arguments are left out."""
     lines = read_lines(spark, path).withColumn("_p", split_line(F.col("value")))
-    routed = lines.filter((F.size("_p") == 5) & (F.get("_p", F.lit(3)) == "Route"))
     mode, args = F.get("_p", F.lit(2)), F.trim(F.get("_p", F.lit(4)))
+    needed = F.when(mode == "Request", F.lit(ROUTE_ARGUMENTS["Request"])).otherwise(F.lit(ROUTE_ARGUMENTS["Response"]))
+    routed = lines.filter(
+        (F.size("_p") == 5) & (F.get("_p", F.lit(3)) == "Route") & (F.size(F.split(args, ",")) >= needed)
+    )
     origin = F.get("_p", F.lit(1))
 
     def arg(of: str, index: int):
@@ -36,7 +38,7 @@ def import_router_log(spark: SparkSession, path: str) -> DataFrame:
     return routed.select(
         "router_id",
         parse_time(F.get("_p", F.lit(0))).alias("log_time"),
-        unwrap(part(origin, "_", 1), "{").alias("client_mac"),
+        client_mark(part(origin, "_", 1)).alias("client_mac"),
         part(origin, "_", 2).alias("client_ip"),
         mode.alias("mode"),
         F.get("_p", F.lit(3)).alias("kind"),
@@ -50,7 +52,7 @@ def import_router_log(spark: SparkSession, path: str) -> DataFrame:
 def import_session_log(spark: SparkSession, path: str) -> DataFrame:
     lines = read_lines(spark, path)
     text = F.trim(F.regexp_extract("value", SESSION_LINE, 2))
-    pairs = lines.withColumn("_v", F.split(text, ",")).filter(F.size("_v") == SESSION_VALUES)
+    pairs = lines.withColumn("_v", F.split(text, ",")).filter(F.size("_v") >= SESSION_VALUES)
 
     def at(i: int):
         return F.get(F.split(F.get("_v", F.lit(i)), "="), F.lit(1))
@@ -66,6 +68,7 @@ def import_session_log(spark: SparkSession, path: str) -> DataFrame:
         at(6).alias("motion_value"),
         unwrap(at(7), "{").alias("client_id"),
         at(8).alias("site_id"),
+        F.when(at(5) == "OFF", parse_time(at(9))).alias("off_at"),
     )
 
 

@@ -87,7 +87,7 @@ ENTITY_LEVELS = (SERVER, SITE, APP)
 
 # Averages are averaged as decimals: the sum of doubles depends on the order in which
 # tasks finish, and a re-run must give the same table.
-EXACT = "decimal(28,12)"
+EXACT = "decimal(38,12)"
 
 UNKNOWN = "999"  # id of a device the dimension does not know
 ALL = "*"  # id of a column a coarser level has summed over

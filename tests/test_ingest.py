@@ -22,7 +22,7 @@ from opslog.sources.logs import import_router_log, import_session_log, read_stre
 from opslog.sources.tables import jdbc_options, read_jdbc
 from opslog.spec import DAY, HOUR
 from opslog.streaming.aggregates import progress, windowed
-from opslog.streaming.ingest import append, fan_out, one_table, switch_table, write_batch
+from opslog.streaming.ingest import append, batch_name, fan_out, ingest, one_table, switch_table, write_batch
 from tests.conftest import rows
 
 MAC = "02:00:00:00:00:0f"
@@ -165,7 +165,12 @@ def test_file_imports(spark, tmp_path):
     nine = SESSION.split(",off_date")[0]
     (tmp_path / "r02_onoff.log").write_text(f"[2016-01-01 00:00:02] {nine}\n[2016-01-01 00:00:02] {SESSION}\n")
     got = rows(import_session_log(spark, str(tmp_path / "r02_onoff.log")), "router_id", "client_id", "motion")
-    assert got == [("r02", "02:00:00:00:00:4b", "OFF")]
+    assert got == [("r02", "02:00:00:00:00:4b", "OFF")] * 2
+    ends = rows(import_session_log(spark, str(tmp_path / "r02_onoff.log")), "off_at")
+    assert [e is None for (e,) in ends] in ([True, False], [False, True])
+    for name in ("r100_csrSvr.log", "r101_csrSvr.log"):
+        (tmp_path / name).write_text(ROUTE_REQ + "\n" + ROUTE_REQ.replace(", 23, 46 )", " )"))
+    assert rows(import_router_log(spark, str(tmp_path / "r10*")), "router_id") == [("r100",), ("r101",)]
 
 
 def test_stream_equals_batch_and_reports_progress(spark):
@@ -183,7 +188,7 @@ def test_stream_equals_batch_and_reports_progress(spark):
     append(accepted(parse_route(stream)), f"{out}/t", f"{out}/c", available_now=True).awaitTermination()
     assert spark.read.parquet(f"{out}/t").count() == 2
     # New lines are picked up, the bad one ends in the quarantine.
-    fan = fan_out(stream, parse_route, one_table("route_log"), f"{out}/raw", f"{out}/c2", available_now=True)
+    fan = fan_out(stream, parse_route, one_table("route_log"), f"{out}/raw", f"{out}/c2", "routers", available_now=True)
     fan.awaitTermination()
     assert spark.read.parquet(f"{out}/raw/route_log").count() == 2
     assert rows(spark.read.parquet(f"{out}/raw/quarantine"), "reject") == [("line",)]
@@ -193,7 +198,7 @@ def test_a_repeated_batch_replaces_itself(spark):
     path = scratch_dir(spark, "batch")
     good = accepted(parse_route(lines(spark, ROUTE_REQ, ROUTE_RES)))
     for batch in (0, 1, 1):
-        write_batch(good, path, batch)
+        write_batch(good, path, batch_name("routers", "run", batch))
     assert spark.read.parquet(path).count() == 4
     assert switch_table(accepted(parse_samples(raw(spark, "[]"))))["network"].count() == 0
 
@@ -235,3 +240,21 @@ def test_jdbc_needs_a_table_or_a_query(spark):
     assert jdbc_options("jdbc:x", "u", None, None) == {"url": "jdbc:x", "user": "u"}
     with pytest.raises(ValueError):
         read_jdbc(spark, {"url": "jdbc:x"})
+
+
+def test_a_new_checkpoint_is_refused_replaced_or_continued(spark):
+    src, out = scratch_dir(spark, "src"), scratch_dir(spark, "restart")
+    lines(spark, ROUTE_REQ, ROUTE_RES).write.text(src)
+
+    def run(checkpoint, restart, source="routers"):
+        rows_ = accepted(parse_route(read_stream(spark, "text", {"path": src})))
+        ingest(rows_, f"{out}/t", f"{out}/{checkpoint}", source, True, restart=restart).awaitTermination()
+        return spark.read.parquet(f"{out}/t").count()
+
+    assert run("a", "refuse") == 2
+    assert run("a", "refuse") == 2
+    with pytest.raises(Exception, match="another checkpoint"):
+        run("b", "refuse")
+    assert run("c", "replace") == 2
+    assert run("d", "continue") == 4
+    assert run("e", "refuse", "others") == 6

@@ -12,6 +12,7 @@ from opslog.ingest.metrics import host_metrics, parse_samples, switch_metrics
 from opslog.ingest.router import parse_route, parse_status
 from opslog.ingest.sessions import parse_probe, parse_session
 from opslog.ingest.web import parse_router_web, parse_web
+from opslog.operators.concurrency import concurrency
 from opslog.plans.lake import Lake
 from opslog.plans.minute import JOBS
 from opslog.plans.run import (
@@ -20,7 +21,8 @@ from opslog.plans.run import (
 from opslog.plans.windows import WINDOWS
 from opslog.session import scratch_dir
 from opslog.sinks.tables import save, save_snapshot
-from opslog.spec import DAY, HOUR, MINUTE, MONTH
+from opslog.sources.tables import read_window
+from opslog.spec import DAY, HOUR, MINUTE, MONTH, mean
 
 BEGIN = datetime(2024, 3, 1, 10, 55)
 END = datetime(2024, 3, 1, 11, 5)
@@ -333,3 +335,31 @@ def test_write_rerun_rollup_and_upkeep(lake, spark):
         forget(lake, HOUR, "20240301")
     assert retention(lake, datetime(2024, 3, 5)) == 0
     assert retention(lake, datetime(2024, 9, 30)) > 10
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Seoul", "Asia/Kolkata"])
+def test_windows_and_buckets_follow_the_session_zone(spark, zone):
+    """A wall-clock window finds its wall-clock rows, and days start at the zone's midnight."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        path = scratch_dir(spark, "zone")
+        rows_ = spark.sql("SELECT timestamp'2024-03-05 10:57:10' AS ts, '20240305' AS dt, '10' AS hh")
+        rows_.write.partitionBy("dt", "hh").parquet(path)
+        assert read_window(spark, path, "ts", datetime(2024, 3, 5, 10, 55), datetime(2024, 3, 5, 11, 5)).count() == 1
+        assert read_window(spark, path, "ts", datetime(2024, 3, 5, 10, 55), datetime(2024, 3, 5, 10, 57)).count() == 0
+        one = spark.sql("SELECT 'e' AS e, 'c' AS c, timestamp'2024-03-05 23:00:00' AS a, timestamp'2024-03-06 01:30:00' AS b")
+        for grain, want in (
+            (DAY, [("20240305", 3600 / 86400), ("20240306", 5400 / 86400)]),
+            (HOUR, [("2024030523", 1.0), ("2024030600", 1.0), ("2024030601", 0.5)]),
+        ):
+            got = concurrency(one, ["e"], ["c"], "a", "b", grain)
+            got = [(r["k"], r["avg_ccu"]) for r in got.select(grain.key("bucket").alias("k"), "avg_ccu").orderBy("k").collect()]
+            assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_means_of_big_counters_do_not_overflow(spark):
+    big = spark.sql("SELECT CAST(9.0e18 AS DOUBLE) AS x UNION ALL SELECT CAST(2e16 AS DOUBLE)")
+    assert big.agg(mean("x").column().alias("m")).first()["m"] > 4e18
