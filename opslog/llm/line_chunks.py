@@ -26,6 +26,7 @@ from opslog.llm.common import free_names, mix, saved, strings
 MIN_LINES = 2
 MIN_WORDS = 50
 DIVISOR = 2  # one line in so many ends a segment
+REQUESTS = 256  # of one keeper in a row, on average
 REACH = 64  # lines compared beyond the chunks of a diagonal, on each side
 CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
 
@@ -33,7 +34,15 @@ CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
 def lines_of(text: str | None) -> list[str]:
     """Pieces that join to the text again; blank pieces belong to the one before."""
     out: list[str] = []
-    for piece in CUT.split(text) if text else ():
+    if not text:
+        return out
+    if "\0" in text:
+        pieces = CUT.split(text)
+    else:  # the same places, found by plain searches
+        for end in ("\n", ". ", "! ", "? "):
+            text = text.replace(end, end + "\0")
+        pieces = text.split("\0")
+    for piece in pieces:
         if out and not piece.strip():
             out[-1] += piece
         elif piece:
@@ -41,45 +50,46 @@ def lines_of(text: str | None) -> list[str]:
     return out
 
 
-def chunks_of(lines: list[str], divisor: int = DIVISOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first line, line after the last, hash) of every chunk."""
-    n = len(lines)
-    if n < 2:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0, np.uint64)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(s.strip().encode("utf-8", "replace")) for s in lines), np.uint64, n)
-    roll = h.copy()
-    roll[1:] += mix(h[:-1])
-    ends = mix(roll) % np.uint64(divisor) == 0
-    ends |= np.fromiter((s.endswith("\n") for s in lines), bool, n)
-    ends[-1] = True
+def chunks_of(texts: list[list[str]], divisor: int = DIVISOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first line, line after the last, hash) of every chunk of several texts' lines."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    lines = [line for t in texts for line in t]
+    if not lines:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    begin = (np.cumsum(sizes) - sizes)[owner]
+    h = np.fromiter((xxhash.xxh3_64_intdigest(s.strip().encode("utf-8", "replace")) for s in lines), np.uint64, len(lines))
+    fresh = np.concatenate([[True], owner[1:] != owner[:-1]])
+    before = np.concatenate([h[:1], mix(h[:-1])])
+    before[fresh] = 0
+    ends = mix(h + before) % np.uint64(divisor) == 0
+    ends |= np.fromiter((s.endswith("\n") for s in lines), bool, len(lines))
+    ends |= np.concatenate([fresh[1:], [True]])
     edges = np.flatnonzero(ends) + 1
     starts = np.concatenate([[0], edges[:-1]])
     stops = edges[np.minimum(np.searchsorted(edges, starts + 2), len(edges) - 1)]
+    stops = np.minimum(stops, (begin + sizes[owner])[starts])
     whole = stops - starts >= 2
     starts, stops = starts[whole], stops[whole]
     value = np.zeros(len(starts), np.uint64)
+    left = np.arange(len(starts))
     for k in range(int((stops - starts).max(initial=0))):
-        inside = starts + k < stops
-        value[inside] = mix(value[inside] * np.uint64(0x9E3779B97F4A7C15) + h[starts[inside] + k])
-    return starts, stops, value
+        left = left[starts[left] + k < stops[left]]
+        value[left] = mix(value[left] * np.uint64(0x9E3779B97F4A7C15) + h[starts[left] + k])
+    return owner[starts], starts - begin[starts], stops - begin[starts], value
 
 
 def _chunk_rows(divisor: int):
     def run(batches):
         for batch in batches:
-            k1, k2, parts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), []
-            many = []
-            for text in strings(batch, "text"):
-                parts.append(chunks_of(lines_of(text), divisor))
-                many.append(len(parts[-1][0]))
-            if sum(many):
-                start, stop, value = (np.concatenate(x) for x in zip(*parts))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "k1": np.repeat(k1, many), "k2": np.repeat(k2, many), "start": start.astype(np.int32),
-                        "stop": stop.astype(np.int32), "h": value.view(np.int64),
-                    }
-                )
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                text, start, stop, value = chunks_of([lines_of(t) for t in strings(part, "text")], divisor)
+                if len(text):
+                    k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
+                    yield pa.RecordBatch.from_pydict(
+                        {"k1": k1[text], "k2": k2[text], "start": start.astype(np.int32), "stop": stop.astype(np.int32), "h": value.view(np.int64)}
+                    )
 
     return run
 
@@ -188,8 +198,12 @@ def dedup_lines(
         F.col("keeper.k1").alias(f1), F.col("keeper.k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"),
         (F.col("start") - F.col("keeper.start")).alias("shift"),
     ).agg(F.collect_set(F.struct("start", "stop")).alias("matches"))
-    # One request a row: a keeper that very many documents ask for is never gathered in one row.
-    asked = diagonals.select(f1, f2, F.array(F.struct("r1", "r2", "shift", "matches")).alias(asks))
+    diagonals = saved(diagonals, "diagonals")
+    # The text of a keeper is read once for some requests together; one that very many documents ask
+    # for has as many rows as it needs.
+    many = diagonals.groupBy(f1, f2).agg(F.ceil(F.count("*") / REQUESTS).alias("rows"))
+    spread = diagonals.join(many, [f1, f2]).withColumn("row", F.pmod(F.xxhash64("r1", "r2", "shift"), F.col("rows")))
+    asked = spread.groupBy(f1, f2, "row").agg(F.collect_list(F.struct("r1", "r2", "shift", "matches")).alias(asks)).drop("row")
     # Both joins move the same rows by the same key: Spark shuffles the texts once.
     found = keyed.join(asked, [f1, f2]).mapInArrow(_segments(("text", asks)), SEGMENT)
     own = found.groupBy(F.col("r1").alias(f1), F.col("r2").alias(f2)).agg(
