@@ -70,7 +70,7 @@ def candidates(documents: DataFrame, path: str | None = None) -> DataFrame:
         F.col("w.after").alias("after"), F.posexplode(F.regexp_extract_all("w.word", F.lit(f"({CANDIDATE})"), 1)).alias("part", "raw"),
     ).withColumn(
         # A name in front of a value joined by "=" belongs to the context, not to the value.
-        "value", F.regexp_replace("raw", r"^[A-Za-z_\-]{2,24}=(?=.{8})", ""),
+        "value", F.regexp_replace("raw", r"^[A-Za-z_\-]{1,24}=(?=.{8})", ""),
     )
 
 
