@@ -59,7 +59,7 @@ def candidates(documents: DataFrame, path: str | None = None) -> DataFrame:
         F.explode(
             F.expr(
                 f"filter(transform(words, (w, i) -> struct(i AS no, w AS word, "
-                f"array_join(slice(words, greatest(i - 2, 0) + 1, least(i, 3)), ' ') AS before, "
+                f"array_join(slice(words, greatest(i - 3, 0) + 1, least(i, 3)), ' ') AS before, "
                 f"array_join(slice(words, i + 2, 2), ' ') AS after)), "
                 f"x -> length(x.word) >= {SHORTEST} AND x.word RLIKE r'{CANDIDATE}')"
             )
