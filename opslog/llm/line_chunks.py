@@ -27,7 +27,7 @@ MIN_LINES = 2
 MIN_WORDS = 50
 DIVISOR = 2  # one line in so many ends a segment
 REQUESTS = 256  # of one keeper in a row, on average
-REACH = 64  # lines compared beyond the chunks of a diagonal, on each side
+REACH = 12  # lines compared beyond the chunks of a diagonal, on each side
 CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
 
 
@@ -94,12 +94,12 @@ def _chunk_rows(divisor: int):
     return run
 
 
-SEGMENT = "r1 bigint, r2 bigint, matches array<struct<start:int,stop:int>>, first int, lines array<string>"
+SEGMENT = "r1 bigint, r2 bigint, matches array<struct<start:int,stop:int>>, first int, lines string"
 SEGMENT_ARROW = pa.schema(
     [
         ("r1", pa.int64()), ("r2", pa.int64()),
         ("matches", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-        ("first", pa.int32()), ("lines", pa.list_(pa.string())),
+        ("first", pa.int32()), ("lines", pa.string()),
     ]
 )
 
@@ -117,7 +117,7 @@ def _segments(names: tuple[str, ...]):
                     shift = ask["shift"]
                     lo = max(0, min(m["start"] for m in ask["matches"]) - shift - REACH)
                     hi = max(m["stop"] for m in ask["matches"]) - shift + REACH
-                    rows.append({"r1": ask["r1"], "r2": ask["r2"], "matches": ask["matches"], "first": lo + shift, "lines": lines[lo:hi]})
+                    rows.append({"r1": ask["r1"], "r2": ask["r2"], "matches": ask["matches"], "first": lo + shift, "lines": "\n".join(lines[lo:hi])})
                     if len(rows) >= 2000:
                         yield pa.RecordBatch.from_pylist(rows, schema=SEGMENT_ARROW)
                         rows = []
@@ -132,7 +132,7 @@ def removed_lines(lines: list[str], segments: list[dict], min_lines: int, min_wo
     plain = [s.strip() for s in lines]
     gone = np.zeros(len(lines), bool)
     for seg in segments:
-        first, kept = seg["first"], seg["lines"]
+        first, kept = seg["first"], seg["lines"].split("\n")
         lo, hi = max(0, first), min(len(plain), first + len(kept))
         same = np.fromiter((plain[i] == kept[i - first] for i in range(lo, hi)), bool, max(0, hi - lo))
         for m in seg["matches"]:

@@ -32,6 +32,7 @@ class Encoder:
 
         self.model = Tokenizer.from_file(tokenizer_path(name))
         self.spaced = spaced
+        self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
@@ -42,6 +43,8 @@ class Encoder:
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, "<u4")
+        if any(s in text for s in self.special):  # the tokenizer cuts these out first
+            return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
         pieces = self.pieces(text)
         known = self.known
         new = [p for p in set(pieces) if p not in known]

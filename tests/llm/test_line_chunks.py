@@ -70,7 +70,7 @@ def test_only_equal_bytes_go():
     lines = [f"Line {i} of this text. " for i in range(12)]
     other = [s.strip() for s in lines]
     other[6] = "another line"
-    seg = {"matches": [{"start": 0, "stop": 3}, {"start": 5, "stop": 8}], "first": 0, "lines": other}
+    seg = {"matches": [{"start": 0, "stop": 3}, {"start": 5, "stop": 8}], "first": 0, "lines": "\n".join(other)}
     gone = line_chunks.removed_lines(lines, [seg], 2, 10)
     assert np.flatnonzero(gone).tolist() == [0, 1, 2, 3, 4, 5]
 

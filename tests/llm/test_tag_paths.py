@@ -21,7 +21,7 @@ AROUND = (
 
 def test_layouts():
     for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ('<div class="post"><div>', "</div></div>"), ("<td>", "</td>")):
-        page = f"<!DOCTYPE html><html><head><title>T</title></head><body>{AROUND.format(open_ + BODY + close)}</body></html>"
+        page = f"<!DOCTYPE html><html><head><title>T</title></head><body>{AROUND.replace("{}", open_ + BODY + close)}</body></html>"
         assert tag_paths.main_text(page) == WANT, open_
 
 
