@@ -44,7 +44,7 @@ def text_time(df, *cols, fmt=STAMP):
 
 def route_lines(spark, sf_dir):
     request = F.format_string("{%s}, INIT, A%d, S%d", "mac", F.col("k") % 5, F.col("k") % 25)
-    response = F.format_string("%d, TEXT, {198.51.100.%d}, 3390, 960, 540, 0, 0", F.col("k") % 2, "k")
+    response = F.format_string("%d, TEXT, {198.51.100.%d}, 7000, 640, 360, 0, 0", F.col("k") % 2, "k")
     arguments = F.when(F.col("event_type") == "view", request).otherwise(response)
     mode = F.when(F.col("event_type") == "view", F.lit("Request")).otherwise(F.lit("Response"))
     line = F.format_string(
@@ -67,8 +67,8 @@ SELECT {ROUTE_COLS}, CASE WHEN q THEN 'Request' ELSE 'Response' END AS mode,
   CASE WHEN q THEN '' ELSE '198.51.100.' || k END AS server_ip,
   CASE WHEN q THEN 'A' || (k % 5) ELSE '' END AS app_id, CASE WHEN q THEN 'S' || (k % 25) ELSE '' END AS site_id,
   CASE WHEN q THEN 'INIT' ELSE '' END AS method, CASE WHEN q THEN '' ELSE CAST(k % 2 AS VARCHAR) END AS result,
-  CASE WHEN q THEN '' ELSE 'TEXT' END AS result_text, CASE WHEN q THEN NULL ELSE 3390 END AS server_port,
-  CASE WHEN q THEN NULL ELSE 960 END AS width, CASE WHEN q THEN NULL ELSE 540 END AS height,
+  CASE WHEN q THEN '' ELSE 'TEXT' END AS result_text, CASE WHEN q THEN NULL ELSE 7000 END AS server_port,
+  CASE WHEN q THEN NULL ELSE 640 END AS width, CASE WHEN q THEN NULL ELSE 360 END AS height,
   CASE WHEN q THEN '' ELSE '0' END AS va, CASE WHEN q THEN '' ELSE '0' END AS loading, {SQL_PARTS}
 FROM (SELECT *, event_type = 'view' AS q FROM e WHERE k < 90)""",
 )
@@ -125,15 +125,15 @@ def session_lines(spark, sf_dir):
     off = F.date_format(F.col("ts") + F.make_dt_interval(secs=F.col("k")), "yyyy-MM-dd HH:mm:ss")
     client = F.when(F.col("k") >= 90, F.lit("short")).otherwise(F.col("mac"))
     line = F.format_string(
-        "registered_date=%s,css_session_id=%d,log_type=info,css_ip=198.51.100.%d,menu_tree=21,motion=%s,"
-        "motion_value=%d,stb_id=#{%s},so=%d,off_date=%s",
+        "at=%s,sid=%d,kind=info,server=198.51.100.%d,menu=m4,motion=%s,"
+        "amount=%d,client=#{%s},site=%d,end=%s",
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "event_id", "k", motion, "k", client, F.col("k") % 25, off,
     )
     return source(spark, sf_dir).select(envelope(line, host=F.lit("h")))
 
 
 SESSION_SQL = f"""SELECT {SQL_SECOND} AS registered_at, CAST(event_id AS VARCHAR) AS session_id, 'info' AS log_type,
-  '198.51.100.' || k AS server_ip, '21' AS menu_path,
+  '198.51.100.' || k AS server_ip, 'm4' AS menu_path,
   CASE event_type WHEN 'signup' THEN 'ON' WHEN 'error' THEN 'OFF' ELSE 'BW' END AS motion,
   CAST(k AS DOUBLE) AS motion_value, mac AS client_id, CAST(k % 25 AS VARCHAR) AS site_id,
   CASE WHEN event_type = 'error' THEN strftime(ts + k * INTERVAL 1 SECOND, '%Y-%m-%d %H:%M:%S') END AS off_at,

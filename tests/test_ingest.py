@@ -26,20 +26,20 @@ from opslog.streaming.ingest import append, batch_name, fan_out, ingest, one_tab
 from tests.conftest import rows
 
 MAC = "02:00:00:00:00:0f"
-ORIGIN = "000000_{02:00:00:00:00:0f}_192.0.2.10[5000]"
-ROUTE_REQ = f"[ INFO ] 2016-01-01 00:00:00.051 [{ORIGIN}]  -  Request Route Msg : ( {{{MAC}}}, INIT, 23, 46 )"
+ORIGIN = "k71_{02:00:00:00:00:0f}_192.0.2.10[5000]"
+ROUTE_REQ = f"[ INFO ] 2023-05-06 07:08:00.051 [{ORIGIN}]  -  Request Route Msg : ( {{{MAC}}}, INIT, A2, S9 )"
 ROUTE_RES = (
-    f"[ INFO ] 2016-01-01 00:00:00.053 [{ORIGIN}]  -  Response Route Msg : "
-    "( 0, SUCCESS, {198.51.100.3}, 3390, 960, 540, 0, 0 )"
+    f"[ INFO ] 2023-05-06 07:08:00.053 [{ORIGIN}]  -  Response Route Msg : "
+    "( 0, SUCCESS, {198.51.100.3}, 7000, 640, 360, 0, 0 )"
 )
 STATUS_REQ = (
-    "[ INFO ] 2016-01-01 00:00:00.052 [198.51.100.3[77]]  -  Request Status Msg : "
-    f"( {{198.51.100.3}}, 7, 23200, OPEN, {{{MAC}}}, ,  )"
+    "[ INFO ] 2023-05-06 07:08:00.052 [198.51.100.3[77]]  -  Request Status Msg : "
+    f"( {{198.51.100.3}}, 7, 9001, OPEN, {{{MAC}}}, ,  )"
 )
-STATUS_RES = "[ INFO ] 2016-01-01 00:00:00.053 [198.51.100.3[77]]  -  Response Status Msg : ( 0, SUCCESS )"
+STATUS_RES = "[ INFO ] 2023-05-06 07:08:00.053 [198.51.100.3[77]]  -  Response Status Msg : ( 0, SUCCESS )"
 SESSION = (
-    "registered_date=2016-01-01 00:00:02,css_session_id=19992,log_type=info,css_ip=198.51.100.3,menu_tree=21,"
-    "motion=OFF,motion_value=5,stb_id={02:00:00:00:00:4b},so=54,off_date=2016-01-01 00:03:10"
+    "at=2023-05-06 07:08:02,sid=518,kind=info,server=198.51.100.3,menu=m4,"
+    "motion=OFF,amount=5,client={02:00:00:00:00:2c},site=S9,end=2023-05-06 07:11:10"
 )
 
 
@@ -55,19 +55,19 @@ def raw(spark, *values):
 def test_route(spark):
     out = accepted(parse_route(lines(spark, ROUTE_REQ, ROUTE_RES, STATUS_REQ)))
     req, res = sorted(out.collect(), key=lambda r: r["mode"])
-    assert (req["router_id"], req["router_port"], req["session_id"]) == ("ROUTER01", "8080", "000000")
+    assert (req["router_id"], req["router_port"], req["session_id"]) == ("ROUTER01", "8080", "k71")
     assert (req["client_mac"], req["client_ip"], req["client_port"]) == (MAC, "192.0.2.10", "5000")
-    assert (req["app_id"], req["site_id"], req["method"], req["server_ip"]) == ("23", "46", "INIT", "")
+    assert (req["app_id"], req["site_id"], req["method"], req["server_ip"]) == ("A2", "S9", "INIT", "")
     assert (res["server_ip"], res["result"], res["result_text"]) == ("198.51.100.3", "0", "SUCCESS")
-    assert (res["server_port"], res["width"], res["height"], res["loading"]) == (3390, 960, 540, "0")
-    assert req["log_time"] == datetime(2016, 1, 1, 0, 0, 0, 51000)
-    assert (req["dt"], req["hh"]) == ("20160101", "00")
+    assert (res["server_port"], res["width"], res["height"], res["loading"]) == (7000, 640, 360, "0")
+    assert req["log_time"] == datetime(2023, 5, 6, 7, 8, 0, 51000)
+    assert (req["dt"], req["hh"]) == ("20230506", "07")
 
 
 def test_route_refusals(spark):
-    few = ROUTE_REQ.replace(", 23, 46", "")
+    few = ROUTE_REQ.replace(", A2, S9", "")
     short = ROUTE_REQ.replace(MAC, "02:00")
-    whole = lines(spark, few, short, "nothing like a line", ROUTE_REQ.replace("2016-01-01", "2016-13-41"))
+    whole = lines(spark, few, short, "nothing like a line", ROUTE_REQ.replace("2023-05-06", "2016-13-41"))
     bad = parse_route(whole.unionByName(raw(spark, "not json")))
     assert accepted(bad).count() == 0
     assert sorted(r["reject"] for r in rejected(bad).collect()) == ["arguments", "client", "json", "line", "time"]
@@ -85,45 +85,45 @@ def test_status_keeps_responses(spark):
 
 def test_session(spark):
     on = SESSION.replace("motion=OFF", "motion=ON")
-    no_end = SESSION.split(",off_date")[0].replace("motion=OFF", "motion=ON")
+    no_end = SESSION.split(",end")[0].replace("motion=OFF", "motion=ON")
     ignored = SESSION.replace("motion=OFF", "motion=SESSION_USE")
-    number = SESSION.replace("motion_value=5", "motion_value=x")
+    number = SESSION.replace("amount=5", "amount=x")
     out = accepted(parse_session(lines(spark, SESSION, on, no_end, ignored, number))).collect()
     assert len(out) == 4
     ends = [r["off_at"] for r in out if r["motion"] == "OFF"]
-    assert ends == [datetime(2016, 1, 1, 0, 3, 10)] * 2
+    assert ends == [datetime(2023, 5, 6, 7, 11, 10)] * 2
     assert all(r["off_at"] is None for r in out if r["motion"] == "ON")
     assert sorted(str(r["motion_value"]) for r in out) == ["5.0", "5.0", "5.0", "None"]
-    assert {r["client_id"] for r in out} == {"02:00:00:00:00:4b"}
+    assert {r["client_id"] for r in out} == {"02:00:00:00:00:2c"}
 
 
 def test_probe_and_web(spark):
-    probe = '1,"2016-01-01 00:00:02",9,198.51.100.3,{02:00:00:00:00:4b},FAIL,20.1,1,0,Low PSNR,5'
+    probe = '1,"2023-05-06 07:08:02",9,198.51.100.3,{02:00:00:00:00:2c},FAIL,20.1,1,0,Low PSNR,5'
     r = accepted(parse_probe(lines(spark, probe))).first()
     assert (r["test_time"], r["client_id"], r["psnr"], r["detail"], r["sub_app_id"]) == (
-        datetime(2016, 1, 1, 0, 0, 2), "02:00:00:00:00:4b", 20.1, "Low PSNR", "5",
+        datetime(2023, 5, 6, 7, 8, 2), "02:00:00:00:00:2c", 20.1, "Low PSNR", "5",
     )
-    hit = '192.0.2.10 - - [01/Jan/2016:00:00:02 +0900] "GET / HTTP/1.1" 200 512'
+    hit = '192.0.2.10 - - [06/May/2023:07:08:02 +0900] "GET / HTTP/1.1" 200 512'
     body = json.dumps({"message": hit, "host": "web01", "css_ip": "198.51.100.3", "ret_code": "200"})
     w = accepted(parse_web(raw(spark, body))).first()
-    assert (w["log_time"], w["host"], w["ret_code"], w["bytes"]) == (datetime(2016, 1, 1, 0, 0, 2), "WEB01", "200", None)
+    assert (w["log_time"], w["host"], w["ret_code"], w["bytes"]) == (datetime(2023, 5, 6, 7, 8, 2), "WEB01", "200", None)
     t = accepted(parse_router_web(lines(spark, hit, kind="web"))).first()
     assert (t["host"], t["port"]) == ("ROUTER01", "web")
 
 
 def test_samples(spark):
     cpu = (
-        '[{"values":[12.5],"dstypes":["gauge"],"dsnames":["value"],"time":1451606400,"interval":10,"host":"h1",'
+        '[{"values":[12.5],"dstypes":["gauge"],"dsnames":["value"],"time":1683356880,"interval":10,"host":"h1",'
         '"plugin":"cpu","plugin_instance":"0","type":"percent","type_instance":"user"}]'
     )
     snmp = (
-        '[{"values":[100,200],"dstypes":["derive","derive"],"dsnames":["rx","tx"],"time":1451606400,"interval":60,'
+        '[{"values":[100,200],"dstypes":["derive","derive"],"dsnames":["rx","tx"],"time":1683356880,"interval":60,'
         '"host":"sw1","plugin":"snmp","type":"if_octets","type_instance":"Port 3"}]'
     )
     parsed = parse_samples(raw(spark, cpu, "<13>Jan 1 00:00" + cpu, snmp, snmp.replace("Port 3", "Link 3"), "[{]"))
     assert rejected(parsed).count() == 1
     good = accepted(parsed)
-    assert rows(host_metrics(good)["cpu"], "values", "host", "dt", "hh") == [("12.5", "H1", "20160101", "00")] * 2
+    assert rows(host_metrics(good)["cpu"], "values", "host", "dt", "hh") == [("12.5", "H1", "20230506", "07")] * 2
     assert host_metrics(good)["mem"].count() == 0
     assert rows(switch_metrics(good), "values", "type_instance") == [("100,200", "Port 3")]
 
@@ -139,7 +139,7 @@ def test_text_helpers(spark):
     assert value(after_colon(F.lit("a: 80"))) == "80" and value(after_colon(F.lit("a"))) == "a"
     labels = ["Port 12 up", "GigabitEthernet1_0_7", "Vlan1", "Port", "Port x"]
     assert [value(port_number(F.lit(x))) for x in labels] == [12, 7, -1, None, None]
-    assert value(parse_time(F.lit("2024-01-01 00:00:01"))) == datetime(2024, 1, 1, 0, 0, 1)
+    assert value(parse_time(F.lit("2024-01-01 07:08:01"))) == datetime(2024, 1, 1, 7, 8, 1)
     assert value(parse_time(F.lit("x"))) is None
     assert value(parse_web_time(F.lit("01/Feb/2024:10:00:00 +0900"))) == datetime(2024, 2, 1, 10)
 
@@ -161,15 +161,15 @@ def test_partition_predicate_covers_every_hour(spark):
 def test_file_imports(spark, tmp_path):
     (tmp_path / "r01_csrSvr.log").write_text("\n".join([ROUTE_REQ, ROUTE_RES, STATUS_RES, "junk"]))
     out = rows(import_router_log(spark, str(tmp_path / "r01_csrSvr.log")), "router_id", "mode", "server_ip", "app_id")
-    assert out == [("r01", "Request", "", "23"), ("r01", "Response", "198.51.100.3", "")]
-    nine = SESSION.split(",off_date")[0]
-    (tmp_path / "r02_onoff.log").write_text(f"[2016-01-01 00:00:02] {nine}\n[2016-01-01 00:00:02] {SESSION}\n")
+    assert out == [("r01", "Request", "", "A2"), ("r01", "Response", "198.51.100.3", "")]
+    nine = SESSION.split(",end")[0]
+    (tmp_path / "r02_onoff.log").write_text(f"[2023-05-06 07:08:02] {nine}\n[2023-05-06 07:08:02] {SESSION}\n")
     got = rows(import_session_log(spark, str(tmp_path / "r02_onoff.log")), "router_id", "client_id", "motion")
-    assert got == [("r02", "02:00:00:00:00:4b", "OFF")] * 2
+    assert got == [("r02", "02:00:00:00:00:2c", "OFF")] * 2
     ends = rows(import_session_log(spark, str(tmp_path / "r02_onoff.log")), "off_at")
     assert [e is None for (e,) in ends] in ([True, False], [False, True])
     for name in ("r100_csrSvr.log", "r101_csrSvr.log"):
-        (tmp_path / name).write_text(ROUTE_REQ + "\n" + ROUTE_REQ.replace(", 23, 46 )", " )"))
+        (tmp_path / name).write_text(ROUTE_REQ + "\n" + ROUTE_REQ.replace(", A2, S9 )", " )"))
     assert rows(import_router_log(spark, str(tmp_path / "r10*")), "router_id") == [("r100",), ("r101",)]
 
 
@@ -206,7 +206,7 @@ def test_a_repeated_batch_replaces_itself(spark):
 def test_watermark_closes_buckets(spark):
     src, out = scratch_dir(spark, "src"), scratch_dir(spark, "out")
     spark.sql(
-        "SELECT 'k' k, timestamp'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,id) ts FROM range(10)"
+        "SELECT 'k' k, timestamp'2024-01-01 07:08:00' + make_interval(0,0,0,0,0,id) ts FROM range(10)"
     ).write.parquet(src)
     stream = read_stream(spark, "parquet", {"path": src}, spark.read.parquet(src).schema)
     agg = windowed(stream, "ts", "2 minutes", "1 minute", ["k"], [F.count(F.lit(1)).alias("n")])

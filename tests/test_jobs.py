@@ -47,8 +47,8 @@ def status(sec, mode, args, session=77):
 
 def session(sec, motion, value, client, server, off=""):
     return line(
-        f"registered_date=2024-03-01 {sec},css_session_id=1,log_type=info,css_ip={server},menu_tree=21,"
-        f"motion={motion},motion_value={value},stb_id={{{MAC}{client}}},so=1,off_date={off and '2024-03-01 ' + off}"
+        f"at=2024-03-01 {sec},sid=1,kind=info,server={server},menu=m4,"
+        f"motion={motion},amount={value},client={{{MAC}{client}}},site=1,end={off and '2024-03-01 ' + off}"
     )
 
 
@@ -77,27 +77,27 @@ def lake(spark):
     put(
         "route_log",
         [
-            route("10:56:10", "Request", 1, "{x}, INIT, 23, 46"),
-            route("10:56:11", "Response", 1, f"0, SUCCESS, {{{A}}}, 3390, 960, 540, 0, 0"),
-            route("10:59:50", "Request", 2, "{x}, INIT, 23, 46"),
-            route("11:00:10", "Response", 2, f"5, FAIL, {{{B}}}, 3390, 960, 540, 0, 0"),
-            route("11:01:00", "Request", 3, "{x}, INIT, 23, 46"),
-            route("11:01:01", "Request", 3, "{x}, INIT, 23, 46"),
-            route("11:01:02", "Response", 3, "0, SUCCESS, , 3390, 960, 540, 0, 0"),
+            route("10:56:10", "Request", 1, "{x}, INIT, A2, S9"),
+            route("10:56:11", "Response", 1, f"0, SUCCESS, {{{A}}}, 7000, 640, 360, 0, 0"),
+            route("10:59:50", "Request", 2, "{x}, INIT, A2, S9"),
+            route("11:00:10", "Response", 2, f"5, FAIL, {{{B}}}, 7000, 640, 360, 0, 0"),
+            route("11:01:00", "Request", 3, "{x}, INIT, A2, S9"),
+            route("11:01:01", "Request", 3, "{x}, INIT, A2, S9"),
+            route("11:01:02", "Response", 3, "0, SUCCESS, , 7000, 640, 360, 0, 0"),
             # Answered after the window has ended, inside the look-ahead.
-            route("11:04:58", "Request", 4, "{x}, INIT, 23, 46"),
-            route("11:05:20", "Response", 4, f"0, SUCCESS, {{{A}}}, 3390, 960, 540, 0, 0"),
+            route("11:04:58", "Request", 4, "{x}, INIT, A2, S9"),
+            route("11:05:20", "Response", 4, f"0, SUCCESS, {{{A}}}, 7000, 640, 360, 0, 0"),
         ],
         parse_route,
     )
     put(
         "status_log",
         [
-            status("10:56:00", "Request", f"{{{A}}}, 7, 23200, OPEN, {{{MAC}1}}, , "),
+            status("10:56:00", "Request", f"{{{A}}}, 7, 9001, OPEN, {{{MAC}1}}, , "),
             status("10:56:01", "Response", "0, SUCCESS"),
-            status("10:56:30", "Request", f"{{{A}}}, 9, 23200, OPEN, {{{MAC}1}}, , "),
+            status("10:56:30", "Request", f"{{{A}}}, 9, 9001, OPEN, {{{MAC}1}}, , "),
             status("10:56:31", "Response", "3, FAIL"),
-            status("11:02:00", "Request", f"{{{B}}}, 5, 23200, CLOSE, {{{MAC}1}}, , "),
+            status("11:02:00", "Request", f"{{{B}}}, 5, 9001, CLOSE, {{{MAC}1}}, , "),
         ],
         parse_status,
     )
