@@ -39,7 +39,7 @@ TOKEN_BYTES = 7
 HOT_RANK = 255
 TOKENS, HOT_COUNTS, PASSED, SIZES, MEMBERS = 0, 1, 2, 3, 4
 PART_BYTES = 12_000_000  # text behind one bucket: some two million tokens
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 
 PACKED = "part int, kind tinyint, cls binary, cnt binary, tok binary, rank binary, ids array<bigint>"
 PACKED_ARROW = pa.schema(
