@@ -8,19 +8,19 @@ cover, whether it is part of a path or address, and what the words before and af
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opslog.llm.common import saved
+
 SHORTEST = 16
 RUN = rf"[A-Za-z0-9+/_=\-]{{{SHORTEST},}}"
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*[0-9]){RUN}"
 TREES, DEPTH = 24, 8
-MAX_FINDINGS = 6000
+MAX_FINDINGS = 2000
 THRESHOLD = 0.5
 
 # What neighbouring words and names tell.
@@ -147,8 +147,9 @@ def planted_findings(documents: DataFrame, most: int = MAX_FINDINGS) -> DataFram
     document.  At most ``most`` documents (smallest hash of the id) give one finding of every form.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter(F.col("doc_id").isNotNull() & (F.length("text") > 20)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    near = rows.select("doc_id", F.slice(F.split("text", r"\s+"), 1, 40).alias("w"))
+    rows = rows.filter(F.col("doc_id").isNotNull() & (F.length("text") > 20))
+    ids = F.broadcast(rows.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))  # at most ``most`` numbers
+    near = saved(rows.join(ids, "doc_id").select("doc_id", F.slice(F.split("text", r"\s+"), 1, 40).alias("w")), "contexts")
     digest = F.sha2(F.concat_ws("/", F.lit("finding"), "doc_id"), 512)
     near = near.select("doc_id", "w", digest.alias("d"), F.upper(F.translate(F.base64(F.unhex(digest)), "+/=", "XYZ")).alias("u"), F.translate(F.base64(F.unhex(digest)), "+/=", "xyz").alias("m"))
     pick = lambda k: F.element_at("w", (F.abs(F.xxhash64("doc_id", F.lit(k))) % F.size("w") + 1).cast("int"))
@@ -173,6 +174,7 @@ def planted_findings(documents: DataFrame, most: int = MAX_FINDINGS) -> DataFram
         (0, F.concat(secret_name, F.lit("="), chosen(31, "xxxxxxxxxxxxxxx1", "your_password_here_1", "change-this-value-123", "0000000000000000", "1234567890123456", "example_token_value_1")), pick(32)),
         (0, F.concat_ws("-", F.lit("2024"), F.lit("01"), name(33), name(34), name(35), F.lit("release")), pick(36)),
     ]
-    made = reduce(DataFrame.unionAll, [near.select("doc_id", F.concat_ws(" ", before, word, pick(40)).alias("text"), F.lit(y).alias("label")) for y, word, before in forms])
+    planted = [F.struct(F.concat_ws(" ", before, word, pick(40)).alias("text"), F.lit(y).alias("label")) for y, word, before in forms]
+    made = near.select("doc_id", F.explode(F.array(*planted)).alias("p")).select("doc_id", "p.text", "p.label")
     found = candidates(made.withColumn("doc_id", F.col("doc_id") * 2 + F.col("label")))
     return found.withColumn("label", F.abs(F.col("doc_id") % 2).cast("int"))
