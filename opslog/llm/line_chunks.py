@@ -1,14 +1,17 @@
-"""Removal of multi-line passages that repeat anywhere in the table, by content-defined chunks.
-
-A text is cut into lines; a paragraph on one line is cut after its sentences, as a wrapped
-paragraph would be.  A line ends a segment where the rolling hash over the last two lines says
-so, or where the text breaks the line.  From every such boundary a chunk of at least two lines runs to the next
-boundary, so chunks depend on nearby lines only: lines added elsewhere shift none of them.  Equal
-chunk hashes anywhere in the table are candidates, the first occurrence (smallest id, then place)
-is the keeper.  Candidates of one document and one keeper that lie on the same diagonal are
-compared together, line by line and byte by byte, and extended to both sides as long as the lines
-are equal.  What is equal for at least ``min_lines`` lines and ``min_words`` words is removed from
-every document but the keeper.
+"""Removal of passages that repeat anywhere in the table, by content-defined fingerprints of words.
+
+Every stretch of ``min_words`` words holds a fingerprint: of the rolling hashes over four fifths as many
+words that lie in it, the smallest is chosen (winnowing).  The choice depends on the stretch alone, so two places of
+one passage choose the same, whatever stands around them and whether lines or sentences end in it.  The first
+occurrence of a fingerprint (smallest id, then place) is the keeper.  A keeper's words go once to each
+document that shares fingerprints with it; there the two are compared word by word, byte by byte (white
+space between words doesn't count), and extended to both sides until they differ.  What is equal for at
+least ``min_words`` words is removed from every document but the keeper.
+
+Whole lines of such a run go (a paragraph on one line is cut after its sentences, as a wrapped one
+would be); of a line that the run holds in part, the part goes if it has ``PART`` words, since fewer at
+a border may be equal by chance.  Text that repeats itself at a distance under ``min_words`` goes where
+the run holds ``min_lines`` whole lines.
 """
 
 from __future__ import annotations
@@ -21,14 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import free_names, mix, saved, strings
+from opslog.llm.common import CACHE_WORDS, free_names, mix, saved, strings
 
 MIN_LINES = 2
 MIN_WORDS = 50
 DIVISOR = 2  # one line in so many ends a segment
 REQUESTS = 256  # of one keeper in a row, on average
-REACH = 12  # lines compared beyond the chunks of a diagonal, on each side
+PART = 8  # words of a line that is not removed as a whole
+AT_ONCE = 300_000  # words fingerprinted together
 CUT = re.compile(r"(?<=\n)|(?<=[.!?] )")
+WORD = re.compile(r"\S+")
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -79,54 +84,167 @@ def chunks_of(texts: list[list[str]], divisor: int = DIVISOR) -> tuple[np.ndarra
     return owner[starts], starts - begin[starts], stops - begin[starts], value
 
 
-def _chunk_rows(divisor: int):
+class Words(dict):
+    """Hash of a word's bytes."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
+        return value
+
+
+STEP = 0x9E3779B97F4A7C15
+BACK = pow(STEP, -1, 2**64)
+
+
+def prints_of(texts: list[np.ndarray], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, hash, period) of the fingerprints of several texts' hashed words.
+
+    Where a hash comes again within ``min_words`` words, only the first of the chain stays, with the distance as its period.
+    """
+    size = max(1, 4 * min_words // 5)
+    window = min_words - size + 1
+    sizes = np.array([len(t) for t in texts], np.int64)
+    x = np.concatenate([np.zeros(0, np.uint64), *texts])
+    if len(x) < min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    powers, inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(x), m, np.uint64)])) for m in (STEP, BACK))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * inverse[:-1])])
+    h = mix((sums[size:] - sums[:-size]) * powers[: len(sums) - size])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    begin = np.cumsum(sizes) - sizes
+    first = np.arange(len(x) - min_words + 1)
+    first = first[owner[first] == owner[first + min_words - 1]]
+    least = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1)
+    at = np.unique(first + least[first])
+    text, value = owner[at], h[at]
+    order = np.lexsort((at, value, text))
+    t, v, p = text[order], value[order], at[order]
+    near = (t[1:] == t[:-1]) & (v[1:] == v[:-1]) & (p[1:] - p[:-1] < min_words)
+    stays = np.concatenate([np.ones(min(1, len(p)), bool), ~near])
+    period = np.zeros(len(p), np.int64)
+    period[:-1][near] = (p[1:] - p[:-1])[near]
+    at, period = p[stays], period[stays]
+    return t[stays], at - begin[t[stays]], v[stays], period
+
+
+def _print_rows(min_words: int):
     def run(batches):
+        known = Words()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
-                text, start, stop, value = chunks_of([lines_of(t) for t in strings(part, "text")], divisor)
-                if len(text):
-                    k1, k2 = part.column(0).to_numpy(), part.column(1).to_numpy()
+            k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            texts, rows, held = [], [], 0
+            for row, text in enumerate(strings(batch, "text")):
+                words = text.split() if text else []
+                if len(words) >= min_words:
+                    texts.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+                    rows.append(row)
+                    held += len(words)
+                if texts and (held >= AT_ONCE or row + 1 == batch.num_rows):
+                    text_no, start, value, period = prints_of(texts, min_words)
+                    at = np.array(rows)[text_no]
+                    sizes = np.array([len(t) for t in texts], np.int32)[text_no]
                     yield pa.RecordBatch.from_pydict(
-                        {"k1": k1[text], "k2": k2[text], "start": start.astype(np.int32), "stop": stop.astype(np.int32), "h": value.view(np.int64)}
-                    )
+                        {
+                            "k1": k1[at], "k2": k2[at], "size": sizes, "start": start.astype(np.int32),
+                            "period": period.astype(np.int32), "h": value.view(np.int64),
+                        }
+                    )
+                    texts, rows, held = [], [], 0
 
     return run
 
 
-SEGMENT = "r1 bigint, r2 bigint, matches array<struct<start:int,stop:int>>, first int, lines string"
+SEGMENT = "r1 bigint, r2 bigint, first int, words string, matches array<struct<shift:int,starts:array<int>>>"
 SEGMENT_ARROW = pa.schema(
     [
-        ("r1", pa.int64()), ("r2", pa.int64()),
-        ("matches", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
-        ("first", pa.int32()), ("lines", pa.string()),
+        ("r1", pa.int64()), ("r2", pa.int64()), ("first", pa.int32()), ("words", pa.string()),
+        ("matches", pa.list_(pa.struct([("shift", pa.int32()), ("starts", pa.list_(pa.int32()))]))),
     ]
 )
 
 
 def _segments(names: tuple[str, ...]):
-    """The keeper's lines around the chunks that one document asks for, counted in that document's places."""
-    text_at, asks_at = names
+    """The keeper's words as far as they can lie beside a document that asks for them."""
+    text_at, asks_at, k1, k2 = names
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for text, asks in zip(strings(batch, text_at), batch.column(batch.schema.get_field_index(asks_at))):
-                lines = [s.strip() for s in lines_of(text)]
-                for ask in asks.as_py():
-                    shift = ask["shift"]
-                    lo = max(0, min(m["start"] for m in ask["matches"]) - shift - REACH)
-                    hi = max(m["stop"] for m in ask["matches"]) - shift + REACH
-                    rows.append({"r1": ask["r1"], "r2": ask["r2"], "matches": ask["matches"], "first": lo + shift, "lines": "\n".join(lines[lo:hi])})
-                    if len(rows) >= 2000:
+            rows, held = [], 0
+            keys = [batch.column(batch.schema.get_field_index(k)).to_pylist() for k in (k1, k2)]
+            for own1, own2, text, asks in zip(*keys, strings(batch, text_at), batch.column(batch.schema.get_field_index(asks_at))):
+                words = text.split() if text else []
+                for ask in asks:
+                    ask = ask.as_py()
+                    lo, kept = 0, None
+                    if (ask["r1"], ask["r2"]) != (own1, own2):
+                        # Not all of a long keeper: no run can leave the document that asks.
+                        lo = max(0, min(-m["shift"] for m in ask["matches"]))
+                        kept = " ".join(words[lo : max(ask["size"] - m["shift"] for m in ask["matches"])])
+                    rows.append({"r1": ask["r1"], "r2": ask["r2"], "first": lo, "words": kept, "matches": ask["matches"]})
+                    held += len(kept or "")
+                    if len(rows) >= 2000 or held >= 4_000_000:
                         yield pa.RecordBatch.from_pylist(rows, schema=SEGMENT_ARROW)
-                        rows = []
+                        rows, held = [], 0
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=SEGMENT_ARROW)
 
     return run
 
 
+def _numbered(words: list[str], numbers: dict[str, int]) -> np.ndarray:
+    return np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), np.int64, len(words))
+
+
+def removed_words(text: str, segments: list[dict], min_lines: int, min_words: int) -> tuple[list[tuple[int, int]], int, int]:
+    """Places of the characters that go, the number of lines, and how many of them lose something."""
+    lines = lines_of(text)
+    sizes = [len(s.split()) for s in lines]
+    ends = np.cumsum(sizes)
+    begins = ends - sizes
+    words, numbers = text.split(), {}
+    mine = _numbered(words, numbers)
+    runs: set[tuple[int, int]] = set()
+    for seg in segments:
+        own = seg["words"] is None
+        kept, first = (mine, 0) if own else (_numbered(seg["words"].split(" "), numbers), seg["first"])
+        for m in seg["matches"]:
+            # Word i lies beside word i - shift of the keeper.
+            shift = m["shift"] + first
+            lo, hi = max(0, shift), min(len(mine), shift + len(kept))
+            if hi <= lo:
+                continue
+            differs = np.flatnonzero(mine[lo:hi] != kept[lo - shift : hi - shift]) + lo
+            for start in m["starts"]:
+                k = int(np.searchsorted(differs, start))
+                a = int(differs[k - 1]) + 1 if k else lo
+                b = int(differs[k]) if k < len(differs) else hi
+                if b - a < min_words or not a <= start < b:
+                    continue
+                whole = np.count_nonzero((begins >= a) & (ends <= b)) if own and shift < min_words else min_lines
+                if whole >= min_lines:
+                    runs.add((a, b))
+    gone = np.zeros(len(words), bool)
+    for a, b in runs:
+        gone[a:b] = True
+    cuts, lost, at = [], 0, 0
+    spans = None
+    for line, begin, end in zip(lines, begins.tolist(), ends.tolist()):
+        here = gone[begin:end]
+        if end > begin and here.all():
+            cuts.append((at, at + len(line)))
+            lost += 1
+        elif here.any():
+            spans = spans or [w.span() for w in WORD.finditer(text)]
+            edges = np.flatnonzero(np.diff(np.concatenate([[0], here, [0]])))
+            parts = [(begin + a, begin + b) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) if b - a >= PART]
+            cuts += [(spans[a][0], spans[b][0] if b < end else spans[b - 1][1]) for a, b in parts]
+            lost += bool(parts)
+        at += len(line)
+    return cuts, len(lines), lost
+
+
 def removed_lines(lines: list[str], segments: list[dict], min_lines: int, min_words: int) -> np.ndarray:
     """Which lines equal a keeper's, in runs that are long enough."""
     plain = [s.strip() for s in lines]
@@ -163,11 +281,14 @@ def _rewrite(text_at: str, segments_at: str, added: tuple[str, str], min_lines:
         for batch in batches:
             texts, counts, gone_counts = [], [], []
             for text, segs in zip(strings(batch, text_at), batch.column(batch.schema.get_field_index(segments_at))):
-                lines = lines_of(text)
-                gone = removed_lines(lines, segs.as_py(), min_lines, min_words) if segs.is_valid else np.zeros(len(lines), bool)
-                texts.append("".join(s for s, g in zip(lines, gone) if not g) if gone.any() else text)
-                counts.append(len(lines))
-                gone_counts.append(int(gone.sum()))
+                cuts, lines, gone = removed_words(text, segs.as_py(), min_lines, min_words) if segs.is_valid else ([], len(lines_of(text)), 0)
+                at, parts = 0, []
+                for a, b in cuts:
+                    parts.append(text[at:a])
+                    at = b
+                texts.append("".join([*parts, text[at:]]) if cuts else text)
+                counts.append(lines)
+                gone_counts.append(gone)
             kept = [c for c in batch.schema.names if c != segments_at]
             columns = [pa.array(texts, pa.string()) if c == text_at else batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32()), pa.array(gone_counts, pa.int32())], names=[*kept, *added])
@@ -175,13 +296,11 @@ def _rewrite(text_at: str, segments_at: str, added: tuple[str, str], min_lines:
     return run
 
 
-def dedup_lines(
-    documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, divisor: int = DIVISOR
-) -> DataFrame:
-    """``documents`` with repeated passages cut from ``text``, plus ``n_lines`` and ``n_removed`` (lines).
+def dedup_lines(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+    """``documents`` with repeated passages cut from ``text``, plus ``n_lines`` and ``n_removed`` (lines that lose something).
 
     Needs ``doc_id`` and ``text``; all columns are kept (an added name that is taken gets an
-    underscore).  A null or one-line text stays as it is; rows of equal id and equal text count as
+    underscore).  A null text or one under ``min_words`` words stays as it is; rows of equal id and equal text count as
     one document and are treated alike; null ids come first.  An empty table gives no rows.
     """
     f1, f2, asks, segs, n_lines, n_removed = free_names(documents.columns, "key_id", "key_text", "asks", "segments", "n_lines", "n_removed")
@@ -189,25 +308,26 @@ def dedup_lines(
         {f1: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), f2: F.xxhash64(F.col("text"))}
     )
     rows = keyed.select(F.col(f1).alias("k1"), F.col(f2).alias("k2"), F.col("text").cast("string").alias("text"))
-    chunks = saved(rows.mapInArrow(_chunk_rows(divisor), "k1 bigint, k2 bigint, start int, stop int, h bigint"), "chunks")
-    again = chunks.groupBy("h").agg(F.count("*").alias("many")).filter("many > 1").select("h")
-    shared = saved(chunks.join(again, "h"), "shared")
+    prints = saved(rows.mapInArrow(_print_rows(min_words), "k1 bigint, k2 bigint, size int, start int, period int, h bigint"), "prints")
+    again = prints.groupBy("h").agg(F.count("*").alias("many")).filter("many > 1").select("h")
+    shared = saved(prints.join(again, "h"), "shared")
     keepers = shared.groupBy("h").agg(F.min(F.struct("k1", "k2", "start")).alias("keeper"))
     hits = shared.join(keepers, "h").filter(F.struct("k1", "k2", "start") != F.col("keeper"))
-    diagonals = hits.groupBy(
-        F.col("keeper.k1").alias(f1), F.col("keeper.k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"),
-        (F.col("start") - F.col("keeper.start")).alias("shift"),
-    ).agg(F.collect_set(F.struct("start", "stop")).alias("matches"))
-    diagonals = saved(diagonals, "diagonals")
+    hits = hits.select(F.col("keeper.k1").alias(f1), F.col("keeper.k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "size", "start", (F.col("start") - F.col("keeper.start")).alias("shift"))
+    inside = prints.filter("period > 0").select(
+        F.col("k1").alias(f1), F.col("k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "size", (F.col("start") + F.col("period")).alias("start"), F.col("period").alias("shift")
+    )
+    diagonals = hits.unionAll(inside).groupBy(f1, f2, "r1", "r2", "size", "shift").agg(F.collect_set("start").alias("starts"))
+    pairs = saved(diagonals.groupBy(f1, f2, "r1", "r2", "size").agg(F.collect_list(F.struct("shift", "starts")).alias("matches")), "pairs")
     # The text of a keeper is read once for some requests together; one that very many documents ask
     # for has as many rows as it needs.
-    many = diagonals.groupBy(f1, f2).agg(F.ceil(F.count("*") / REQUESTS).alias("rows"))
-    spread = diagonals.join(many, [f1, f2]).withColumn("row", F.pmod(F.xxhash64("r1", "r2", "shift"), F.col("rows")))
-    asked = spread.groupBy(f1, f2, "row").agg(F.collect_list(F.struct("r1", "r2", "shift", "matches")).alias(asks)).drop("row")
+    many = pairs.groupBy(f1, f2).agg(F.ceil(F.count("*") / REQUESTS).alias("rows"))
+    spread = pairs.join(many, [f1, f2]).withColumn("row", F.pmod(F.xxhash64("r1", "r2"), F.col("rows")))
+    asked = spread.groupBy(f1, f2, "row").agg(F.collect_list(F.struct("r1", "r2", "size", "matches")).alias(asks)).drop("row")
     # Both joins move the same rows by the same key: Spark shuffles the texts once.
-    found = keyed.join(asked, [f1, f2]).mapInArrow(_segments(("text", asks)), SEGMENT)
+    found = keyed.join(asked, [f1, f2]).mapInArrow(_segments(("text", asks, f1, f2)), SEGMENT)
     own = found.groupBy(F.col("r1").alias(f1), F.col("r2").alias(f2)).agg(
-        F.collect_set(F.struct("matches", "first", "lines")).alias(segs)
+        F.collect_set(F.struct("matches", "first", "words")).alias(segs)
     )
     joined = keyed.join(own, [f1, f2], "left").select(*documents.columns, segs)
     schema = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in documents.schema)

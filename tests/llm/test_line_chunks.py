@@ -7,7 +7,7 @@ import random
 import numpy as np
 
 from opslog.llm import line_chunks
-from tests.llm.common import documents, odd_cases, prose, sentence
+from tests.llm.common import documents, odd_cases, prose, sentence, word
 
 
 def run(spark, texts):
@@ -81,3 +81,33 @@ def test_odd_rows_and_empty_table(spark):
     assert out.columns == [*df.columns, "n_lines", "n_removed_"]
     assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, df.select("doc_id", "text").collect()))
     assert line_chunks.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_every_passage_over_fifty_words_is_kept_once(spark):
+    """Of any make: one long sentence, many short ones, in the middle of a host's sentence; 51 words and more."""
+    rnd = random.Random(14)
+    hosts, passages = [prose(rnd, 14).split(" ") for _ in range(60)], []
+    for k in range(60):
+        n = rnd.choice([51, 52, 55, 60, 90, 200, 900])
+        words = [word(rnd) for _ in range(n)]
+        if k % 3:
+            words = [w + "." if rnd.random() < 0.15 / (k % 3) else w for w in words]
+        passages.append(" ".join(words))
+        for at in rnd.sample(range(60), 3):
+            hosts[at].insert(rnd.randrange(len(hosts[at]) + 1), passages[-1])  # never inside another one
+    got = run(spark, [" ".join(host) for host in hosts])
+    grams = {}
+    for i in range(60):
+        w = got[i]["text"].split()
+        for j in range(len(w) - 50):
+            grams.setdefault(tuple(w[j : j + 51]), []).append(i)
+    assert not [v for v in grams.values() if len(v) > 1]
+    assert all(any(p in got[i]["text"] for i in range(60)) for p in passages)
+
+
+def test_equal_words_go_as_far_as_they_are_equal():
+    words = [f"w{i}" for i in range(4000)]
+    mine, other = " ".join(words), " ".join(["a", "b", *words[:3000], "other", *words[3001:]])
+    seg = {"words": other, "first": 0, "matches": [{"shift": -2, "starts": [1500]}]}
+    cuts, _, _ = line_chunks.removed_words(mine, [seg], 2, 50)
+    assert cuts == [(0, mine.index("w3000"))]
