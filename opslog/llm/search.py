@@ -5,7 +5,10 @@ block of postings the largest frequency and the shortest document.  Document cou
 length are sums over all segments, so that every segment scores with the statistics of the whole table and
 the best of each segment merge into the exact best of all.  A query walks its lists in document order
 and skips a document, or all documents up to the next block border, where the sum of the
-bounds cannot reach the k-th best score.
+bounds cannot reach the k-th best score.  A query of over ``SHORT`` terms, as whole texts are, goes term by term
+instead, the largest bounds first: once the bounds of the rest cannot reach the k-th best score, only
+documents met so far are followed, and fewer with every term.  The k-th best score of the segments a task has
+done is where the next one starts.
 """
 
 from __future__ import annotations
@@ -24,10 +27,11 @@ from pyspark.sql.window import Window
 from opslog.llm.common import WordHash, saved, strings
 
 K, K1, B = 10, 1.2, 0.75
-TERMS = 12  # terms of a text used as a query
+SHORT = 12  # terms up to which a query walks its lists
+STEPS = 16  # terms between two looks at the k-th best score
 POSTINGS_BLOCK = 64
 SEGMENT_WORDS = 4_000_000
-QUERY_BLOCK = 4096
+QUERY_BLOCK, BLOCK_TERMS = 4096, 400_000
 NO_ID = -(2**63)
 MARKS = re.compile(rb"[!-/:-@\[-`{-~]+")
 
@@ -95,6 +99,8 @@ class Segment:
         self.average = average or 1.0
         sizes = -(-np.diff(self.starts) // POSTINGS_BLOCK)
         self.block_at = np.concatenate([[0], np.cumsum(sizes)])
+        self.parts = self.part(self.post_tf, self.lengths[self.post_doc])
+        self.most = np.maximum.reduceat(self.parts, self.starts[:-1]) if len(self.terms) else self.parts
 
     def part(self, tf, length):
         """Share of a term's weight that a frequency in a document of some length earns."""
@@ -168,12 +174,71 @@ class Segment:
         return [(s, -d) for s, d, _ in heap]
 
 
-def _run(queries: list[tuple[int, list[tuple[int, float]]]], average: float, k: int):
+    def best_of_many(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float) -> list[tuple[float, int]]:
+        """As ``best``, without documents that score under ``least``: all terms by falling bounds."""
+        if not len(self.terms):
+            return []
+        i = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        known = self.terms[i] == terms
+        i, weights = i[known], weights[known]
+        bounds = weights * self.most[i]
+        order = np.argsort(-bounds, kind="stable").tolist()
+        rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0).tolist()
+        starts, weigh = self.starts, weights.tolist()
+        slack = 1 + 1e-9  # sums in another order round apart
+        total = np.zeros(len(self.docs))
+
+        def kth(scores: np.ndarray) -> float:
+            return max(least, float(np.partition(scores, -k)[-k]) / slack) if len(scores) >= k else least
+
+        at = 0
+        while at < len(order) and rest[at] * slack >= kth(total):
+            for j in order[at : at + STEPS]:
+                a, b = starts[i[j]], starts[i[j] + 1]
+                total[self.post_doc[a:b]] += weigh[j] * self.parts[a:b]
+            at = min(at + STEPS, len(order))
+        some = np.flatnonzero(total)
+        total = total[some]
+
+        def met(j: int) -> tuple[np.ndarray, np.ndarray]:
+            a, b = starts[i[j]], starts[i[j] + 1]
+            place = np.searchsorted(self.post_doc[a:b], some)
+            place[place == b - a] = 0
+            here = np.flatnonzero(self.post_doc[a:b][place] == some)
+            return here, weigh[j] * self.parts[a:b][place[here]]
+
+        while True:
+            keep = (total + rest[at]) * slack >= kth(total)
+            some, total = some[keep], total[keep]
+            if at == len(order) or not len(some):
+                break
+            for j in order[at : at + STEPS]:
+                here, parts = met(j)
+                total[here] += parts
+            at = min(at + STEPS, len(order))
+        # The sum in order of terms is the same in every segment: equal texts have equal scores.
+        total[:] = 0
+        for j in range(len(i) if len(some) else 0):
+            here, parts = met(j)
+            total[here] += parts
+        ids = self.docs[some]
+        return [(float(total[j]), int(ids[j])) for j in np.lexsort((ids, -total))[:k]]
+
+
+def _run(queries: list[tuple[int, np.ndarray, np.ndarray]], average: float, k: int):
     def run(batches):
+        heaps: list[list[float]] = [[] for _ in queries]  # the k best scores of the task's segments
         for batch in batches:
             for row in batch.to_pylist():
-                segment = Segment(row, average)
-                found = [(q, d, s) for q, terms in queries for s, d in segment.best(terms, k)]
+                segment, found = Segment(row, average), []
+                for heap, (q, terms, weights) in zip(heaps, queries):
+                    if len(terms) <= SHORT:
+                        best = segment.best(list(zip(terms.tolist(), weights.tolist())), k)
+                    else:
+                        best = segment.best_of_many(terms, weights, k, heap[0] if len(heap) == k else 0.0)
+                    for s, d in best:
+                        found.append((q, d, s))
+                        (heapq.heappush if len(heap) < k else heapq.heappushpop)(heap, s)
                 kinds = [pa.int64(), pa.int64(), pa.float64()]
                 names = ["query_id", "doc_id", "score"]
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)], names=names)
@@ -203,23 +268,26 @@ def _sizes(batches):
             yield pa.RecordBatch.from_pydict({"docs": [len(lengths)], "words": [int(lengths.sum())]})
 
 
-def _blocks(weighted: DataFrame) -> Iterator[list[tuple[int, list[tuple[int, float]]]]]:
-    block: list[tuple[int, list[tuple[int, float]]]] = []
+def _blocks(weighted: DataFrame) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+    block: list[tuple[int, np.ndarray, np.ndarray]] = []
+    held = 0
     for row in weighted.toLocalIterator():
-        block.append((row["query_id"], [(t["term"] % 2**64, t["weight"]) for t in row["terms"]]))
-        if len(block) == QUERY_BLOCK:
+        terms = np.array([t["term"] for t in row["terms"]], np.int64).view(np.uint64)
+        block.append((row["query_id"], terms, np.array([t["weight"] for t in row["terms"]], np.float64)))
+        held += len(terms)
+        if len(block) == QUERY_BLOCK or held >= BLOCK_TERMS:
             yield block
-            block = []
+            block, held = [], 0
     if block:
         yield block
 
 
-def search(documents: DataFrame, queries: DataFrame, k: int = K, terms: int = TERMS, segment_words: int = SEGMENT_WORDS) -> DataFrame:
+def search(documents: DataFrame, queries: DataFrame, k: int = K, terms: int | None = None, segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """The best ``k`` documents of every query: query_id, rank (from 1), doc_id, score.
 
-    ``queries`` has ``query_id`` and ``text``; of the whole text the ``terms`` words of highest weight
-    (frequency in the text, saturated, times idf; ties by hash) that at least two documents hold make the
-    query.  Equal scores are in order of doc_id, a null id first.  Null and empty texts match nothing; repeated rows are
+    ``queries`` has ``query_id`` and ``text``; all different words of the text make the query.  Only if ``terms``
+    is given, the so many words of highest weight (frequency in the text, saturated, times idf; ties by hash)
+    that at least two documents hold make it.  Equal scores are in order of doc_id, a null id first.  Null and empty texts match nothing; repeated rows are
     documents of their own; queries without any known word have no rows; null query ids are left out.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -229,11 +297,12 @@ def search(documents: DataFrame, queries: DataFrame, k: int = K, terms: int = TE
     many, average = total["docs"] or 0, (total["words"] or 0) / max(1, total["docs"] or 0)
     wanted = saved(asked.filter("query_id IS NOT NULL").mapInArrow(_query_terms, "query_id bigint, term bigint, tf bigint"), "terms")
     df = index.mapInArrow(_frequencies, "term bigint, df bigint").join(wanted.select("term").distinct(), "term", "left_semi")
-    df = df.groupBy("term").agg(F.sum("df").alias("df")).filter("df > 1")
+    df = df.groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(1 + (F.lit(float(many)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    rated = wanted.join(df, "term").select("query_id", "term", idf.alias("weight"), (idf * F.col("tf") / (F.col("tf") + K1)).alias("rate"))
-    first = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rate"), "term"))
-    chosen = rated.withColumn("place", first).filter(F.col("place") <= terms)
+    chosen = wanted.join(df, "term").select("query_id", "term", "df", idf.alias("weight"), (idf * F.col("tf") / (F.col("tf") + K1)).alias("rate"))
+    if terms is not None:
+        first = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rate"), "term"))
+        chosen = chosen.filter("df > 1").withColumn("place", first).filter(F.col("place") <= terms)
     weighted = saved(chosen.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("terms")), "queries")
     found = None
     for block in _blocks(weighted):

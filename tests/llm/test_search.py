@@ -79,3 +79,39 @@ def test_odd_rows_and_empty_tables(spark):
     assert [r["doc_id"] for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == 4] == [4, 5, 5]
     assert search.search(df.limit(0), queries).count() == 0
     assert search.search(df, queries.limit(0)).count() == 0
+
+
+def whole(texts, query, k):
+    """BM25 of every document for all words of a text."""
+    words = WordHash()
+    bags = [Counter(search.terms_of(t, words).tolist()) for t in texts]
+    df = Counter(t for b in bags for t in b)
+    n, average = len(texts), sum(sum(b.values()) for b in bags) / len(texts)
+    scored = []
+    for d, b in enumerate(bags):
+        size = sum(b.values())
+        parts = [
+            math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * b[t] * (search.K1 + 1) / (b[t] + search.K1 * (1 - search.B + search.B * size / average))
+            for t in set(search.terms_of(query, words).tolist()) if b[t]
+        ]
+        if parts:
+            scored.append((-sum(parts), d))
+    return [(d, -s) for s, d in sorted(scored, key=lambda x: (round(x[0], 9), x[1]))[:k]]
+
+
+def test_all_words_of_a_text_are_its_query(spark):
+    rnd = random.Random(8)
+    texts = [prose(rnd, rnd.choice([1, 2, 8, 60])) for _ in range(250)]
+    texts[7] += " onlyhere"
+    texts += texts[:15] + ["", None]
+    asked = {1000: texts[3], 1001: texts[40], 1002: "unheard onlyhere unknown", 1003: "nothing known", 1004: texts[11] + " " + texts[12], 1005: prose(rnd, 200)}
+    queries = spark.createDataFrame(list(asked.items()), "query_id bigint, text string")
+    got = {}
+    for r in search.search(documents(spark, texts), queries, segment_words=1500).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    assert got[1002][0][0] == 7
+    assert 1003 not in got
+    for q, rows in got.items():
+        want = whole(texts, asked[q], 10)
+        assert [d for d, _ in rows] == [d for d, _ in want]
+        assert [round(s, 6) for _, s in rows] == [round(s, 6) for _, s in want]
