@@ -8,7 +8,9 @@ the walk is a locality-sensitive hash of the edit distance.
 Windows have the size of the item, rounded down to a class; a walk of as many steps never leaves
 the window.  Documents are hashed at every ``STRIDE``-th word (for the shortest items at every word), items at every offset of that
 stride and at several places, so one of them meets the grid.  Several walks with several samples
-each reach the recall; every candidate is checked by the exact edit distance of the whole item to
+each find most; an item with edits all over may have no sample without one, near the border of a class above all.
+Beside them the item is cut into one piece more than the edits it may have: whatever they are, one
+piece stands in the document unchanged, and its hash, at every word, finds the place.  Every candidate is checked by the exact edit distance of the whole item to
 the best stretch of the document around it (Myers' bit vectors over words).
 
 Items are few against documents: they are taken in blocks of bounded size, each block meets all
@@ -33,6 +35,8 @@ SAMPLES = {4: 4, 8: 5, 16: 6, 32: 6}  # steps in a sample
 WALKS, BANDS = 3, 3
 STRIDE = 4
 PLACES = 8
+PIECE = 6  # words of a piece that are hashed, at most
+PIECES = -1  # stands for a walk where tables of pieces are meant
 RATE = 0.2  # edits a word of the item
 BLOCK_ITEMS, BLOCK_BYTES = 4_000, 16_000_000
 EDGE = "\"'`.,;:!?()[]{}<>*#%&$|~-_/\\«»“”„…"
@@ -96,10 +100,26 @@ def _class_of(n: int) -> int:
     return max((c for c in CLASSES if c + (STRIDE - 1) * (c > CLASSES[0]) <= n), default=0)
 
 
+def pieces_of(n: int, rate: float) -> list[tuple[int, int]]:
+    """(first word, words) of one piece more than an item of ``n`` words may have edits; one of them has none."""
+    cuts = np.linspace(0, n, min(n, int(rate * n) + 1) + 1).astype(int).tolist()
+    return [(a, min(PIECE, b - a)) for a, b in zip(cuts, cuts[1:])]
+
+
+def grams(words: np.ndarray, size: int) -> np.ndarray:
+    """Key of the ``size`` words from every word on."""
+    many = max(0, len(words) - size + 1)
+    key = np.full(many, np.uint64(size))
+    for k in range(size):
+        key *= np.uint64(0xD6E8FEB86659FD93)
+        key += words[k : k + many]
+    return mix(key)
+
+
 class ItemIndex:
-    """Keys of a block of items, by walk and sample; small enough to travel with the task."""
+    """Keys of a block of items, by walk and sample and by length of pieces; small enough to travel with the task."""
 
-    def __init__(self, items: list[tuple[int, str | None]]):
+    def __init__(self, items: list[tuple[int, str | None]], rate: float = RATE):
         words = Words()
         self.items = [(i, w) for i, w in ((i, words.of(t)) for i, t in items) if len(w) >= CLASSES[0]]
         self.classes = {_class_of(len(w)) for _, w in self.items}
@@ -113,6 +133,10 @@ class ItemIndex:
             for walk in range(WALKS):
                 for b, kind, key in keys(padded, starts, walk, {c}):
                     entries.setdefault((walk, b), []).append(np.stack([key, np.full(len(key), n, np.uint64), starts.astype(np.uint64)]))
+            for first, size in pieces_of(len(w), rate):
+                key = grams(w[first : first + size], size)
+                entries.setdefault((PIECES, size), []).append(np.stack([key, np.array([n], np.uint64), np.array([first], np.uint64)]))
+        self.sizes = sorted(size for walk, size in entries if walk == PIECES)
         self.tables = {}
         for where, parts in entries.items():
             self.tables[where] = np.unique(np.concatenate(parts, axis=1), axis=1)
@@ -157,21 +181,28 @@ def _scan(index: ItemIndex, rate: float):
             text = np.concatenate([x for w in parts for x in (w, pad)])
             begin = np.cumsum([0, *(len(w) + len(pad) for w in parts)])
             found: set[tuple[int, int, int]] = set()
+
+            def look(walk: int, b: int, key: np.ndarray, starts: np.ndarray | None) -> None:
+                table = index.tables.get((walk, b))
+                if table is None:
+                    return
+                shift, bits = maps[walk, b]
+                some = np.flatnonzero(bits[key >> shift])
+                lo, hi = (np.searchsorted(table[0], key[some], side=s) for s in ("left", "right"))
+                places = some[hi > lo] if starts is None else starts[some[hi > lo]]
+                for at, x, y in zip(places.tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
+                    doc = int(np.searchsorted(begin, at, side="right")) - 1
+                    for n, offset in table[1:, x:y].T.tolist():
+                        found.add((doc, n, (at - int(begin[doc]) - offset) // STRIDE))
+
             small, large = index.classes & {CLASSES[0]}, index.classes - {CLASSES[0]}
             for walk, classes in [(walk, c) for walk in range(WALKS) for c in (small, large) if c]:
                 stride = 1 if classes is small else STRIDE
                 starts = np.concatenate([np.arange(b, b + len(w), stride, dtype=np.int32) for b, w in zip(begin, parts)])
                 for b, _, key in keys(text, starts, walk, classes):
-                    table = index.tables.get((walk, b))
-                    if table is None:
-                        continue
-                    shift, bits = maps[walk, b]
-                    some = np.flatnonzero(bits[key >> shift])
-                    lo, hi = (np.searchsorted(table[0], key[some], side=s) for s in ("left", "right"))
-                    for at, x, y in zip(starts[some[hi > lo]].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-                        doc = int(np.searchsorted(begin, at, side="right")) - 1
-                        for n, offset in table[1:, x:y].T.tolist():
-                            found.add((doc, n, (at - int(begin[doc]) - offset) // STRIDE))
+                    look(walk, b, key, starts)
+            for size in index.sizes:
+                look(PIECES, size, grams(text, size), None)
             best: dict[tuple[int, int], tuple[int, int]] = {}
             for doc, n, at in sorted(found):
                 item = index.items[n][1]
@@ -226,7 +257,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, rate: float = RATE)
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     parts = []
     for block in _blocks(items):
-        index = ItemIndex(block)
+        index = ItemIndex(block, rate)
         if index.items:
             parts.append(docs.mapInArrow(_scan(index, rate), RESULT))
     return reduce(DataFrame.unionAll, parts) if parts else documents.sparkSession.createDataFrame([], RESULT)
@@ -252,7 +283,7 @@ def without_contaminated(documents: DataFrame, benchmark: DataFrame, rate: float
     """``documents`` without the rows that hold an item; no row moves."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     for block in _blocks(items):
-        index = ItemIndex(block)
+        index = ItemIndex(block, rate)
         if index.items:
             documents = keep_rows(documents, _clean(index, rate))
     return documents

@@ -97,3 +97,30 @@ def test_blocks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(dec, "BLOCK_ITEMS", 3)
     assert sorted(dec.contaminated(docs, bench(spark, items)).collect()) == whole
     assert len(whole) == 7
+
+
+def test_recall_at_every_length_and_share_of_edits(spark):
+    """Borders of classes above all: items a word longer than a window have edits in most of their windows."""
+    rnd = random.Random(21)
+    lengths, shares, each = [5, 8, 10, 11, 12, 18, 19, 20, 22, 35, 37, 40, 60, 100], [0.1, 0.15, 0.2], 20
+    items, texts, cells = [], [], []
+    for n in lengths:
+        for share in shares:
+            for _ in range(each):
+                words = [word(rnd) + word(rnd) for _ in range(n)]
+                host = prose(rnd, 8).split()
+                at = rnd.randrange(len(host))
+                texts.append(" ".join(host[:at] + edited(rnd, words, int(share * n + 1e-9)) + host[at:]))
+                items.append(" ".join(words))
+                cells.append((n, share))
+    found = {(r["doc_id"], r["item_id"]) for r in dec.contaminated(documents(spark, texts), bench(spark, items)).collect()}
+    for cell in set(cells):
+        hits = [(k, k) in found for k, c in enumerate(cells) if c == cell]
+        assert sum(hits) >= 0.9 * len(hits), cell
+
+
+def test_one_piece_more_than_edits():
+    for n in range(4, 200):
+        pieces = dec.pieces_of(n, dec.RATE)
+        assert len(pieces) == int(dec.RATE * n) + 1
+        assert all(size >= 2 and a + size <= b for (a, size), (b, _) in zip(pieces, [*pieces[1:], (n, 0)]))
