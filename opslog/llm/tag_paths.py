@@ -4,9 +4,9 @@ A page becomes its blocks of text in page order, each with the path of block tag
 Text length and punctuation marks are summed per path; a path's ratio is the text of one leaf times
 its marks, damped by logarithms and by the share of text in links.  Ratios are smoothed along
 the page with a kernel that weighs neighbours by how much of the path they share, fused with the
-path's own ratio, and held against the page's mean and spread.  The smallest element that
-holds most of the text on chosen paths is the article; its short blocks (headings, lists) come along unless
-they are mostly links.  Elements whose tag, role, class or id names them as menus, headers,
+path's own ratio, and held against the page's mean and spread.  The smallest element
+that holds all text on chosen paths is the article, never the text's own block; its short blocks (headings, lists)
+come along unless they are mostly links, and so does a heading just before it.  Elements whose tag, role, class or id names them as menus, headers,
 footers, sidebars, notices, adverts, forms or reader comments never take part.
 """
 
@@ -185,27 +185,48 @@ def main_text(page: str | None) -> str:
     limit = min(mean, max(spread, mean / 2))
     chosen = [i for i, f in enumerate(fused) if f >= limit and f > 0] or list(range(len(blocks)))
     held: dict[int, int] = {}
+    count: dict[int, int] = {}
     named: set[int] = set()
+    holders: set[int] = set()  # elements that hold chosen text in an element of their own
     for i in chosen:
-        for tag, e in zip(blocks[i].path, blocks[i].elements):
+        path = blocks[i].elements
+        holders.update(path[:-1])
+        for tag, e in zip(blocks[i].path, path):
             held[e] = held.get(e, 0) + len(texts[i])
+            count[e] = count.get(e, 0) + 1
             if tag in ARTICLE:
                 named.add(e)
     whole = sum(len(texts[i]) for i in chosen)
-    # Elements are numbered in page order: among those that hold most, the last is the innermost.
-    most = [e for e in named if 2 * held[e] >= whole] or [e for e in held if 4 * held[e] >= 3 * whole]
-    article = max(most, default=0)
-    plain_page = not article or any(e == article and t in ("html", "body") for i in chosen for t, e in zip(blocks[i].path, blocks[i].elements))
+    in_named = [i for i in chosen if named.intersection(blocks[i].elements)]
+    # Elements are numbered in page order: among those that hold all of some blocks, the last is the innermost.
+    if in_named and 2 * sum(len(texts[i]) for i in in_named) >= whole:
+        one = max((e for e in named if count[e] == len(in_named)), default=0)
+        articles = {one} if one else named
+        chosen = in_named
+    else:
+        named = set()
+        articles = {max((e for e in holders if count[e] == len(chosen)), default=0)}
+    top = {e for b in blocks for t, e in zip(b.path, b.elements) if t in ("html", "body")}
+    if not named and (articles == {0} or articles & top):
+        # Chosen text lies in several places: all of it stays, with the short blocks of the place that holds most.
+        articles = {max((e for e in holders - top if 4 * held[e] >= 3 * whole), default=0)}
     picked = set(chosen)
-    keep = []
+    keep = set(picked)
     for i, b in enumerate(blocks):
-        if i in picked and (plain_page or article in b.elements):
-            keep.append(i)
-        elif plain_page:
-            if b.path and b.path[-1] in ("h1", "h2", "h3", "h4") and i + 1 in picked:
-                keep.append(i)
-        elif article in b.elements and 2 * min(b.links, len(texts[i])) <= len(texts[i]):
-            keep.append(i)
+        if articles.intersection(b.elements) and 2 * min(b.links, len(texts[i])) <= len(texts[i]):
+            keep.add(i)
+        elif not named and b.path and b.path[-1] in ("h1", "h2", "h3", "h4") and i + 1 in picked:
+            keep.add(i)
+    if not named and keep:
+        # A heading, and a lead below it, may stand before the element.
+        first = min(keep)
+        for i in range(first - 1, max(-1, first - 4), -1):
+            if 2 * min(blocks[i].links, len(texts[i])) > len(texts[i]):
+                break
+            if blocks[i].path and blocks[i].path[-1] in ("h1", "h2"):
+                keep.update(range(i, first))
+                break
+    keep = sorted(keep)
     return "\n".join(texts[i] for i in keep if texts[i])
 
 

@@ -53,3 +53,15 @@ def test_rows(spark):
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in got) == [(0, 0), (1, 0), (1, len(WANT)), (2, 300_000)]
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert tag_paths.extract(df.limit(0)).count() == 0
+
+
+def test_uneven_paragraphs_and_headings_outside():
+    long = "Many words, more of them, and so on; indeed. " * 25
+    page = "<html><body>{}</body></html>"
+    post = f"<div class=post><p>A short lead, here.</p><p>{long}</p><p>A short end, too.</p></div>"
+    want = f"A short lead, here.\n{long.strip()}\nA short end, too."
+    assert tag_paths.main_text(page.format(post)) == want
+    inner = f"<div class=post><h1>Title</h1><p>A lead, of some words.</p><div class=body><p>{long}</p><p>{long}</p></div></div>"
+    assert tag_paths.main_text(page.format(inner)) == f"Title\nA lead, of some words.\n{long.strip()}\n{long.strip()}"
+    half = f"<main><article><p>{long}{long}</p></article><div><p>{long}</p></div></main>"
+    assert tag_paths.main_text(page.format(half)) == f"{(long + long).strip()}\n{long.strip()}"
