@@ -6,8 +6,9 @@ its marks, damped by logarithms and by the share of text in links.  Ratios are s
 the page with a kernel that weighs neighbours by how much of the path they share, fused with the
 path's own ratio, and held against the page's mean and spread.  The smallest element
 that holds all text on chosen paths is the article, never the text's own block; its short blocks (headings, lists)
-come along unless they are mostly links, and so does a heading just before it.  Elements whose tag, role, class or id names them as menus, headers,
-footers, sidebars, notices, adverts, forms or reader comments never take part.
+come along unless they are mostly links, and so does a heading just before it.  Elements whose tag or role names them as menus, headers, footers or
+sidebars never take part.  Forms, and those that class or id names so, or as notices, adverts or reader comments,
+take no part unless (comments apart) they hold an article or most of the page's text with few links, or nothing else has any.
 """
 
 from __future__ import annotations
@@ -36,8 +37,8 @@ CLOSES = {  # an element that ends where another of the set begins
 }
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "tbody": {"table"}, "tfoot": {"table"}}
 OUTSIDE = frozenset(
-    "head title nav footer aside form button select textarea option label input noscript template svg math iframe object canvas "
-    "audio video map menu dialog fieldset".split()
+    "head title nav footer aside button select textarea option label input noscript template svg math iframe object canvas "
+    "audio video map menu dialog".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
 HINTS = frozenset(
@@ -46,7 +47,11 @@ HINTS = frozenset(
     "navbar navigation breadcrumb breadcrumbs footer header masthead topbar toolbar share sharing social related recommended newsletter subscribe "
     "subscription signup login widget widgets pager pagination paging search form copyright disclaimer skip".split()
 )
+COMMENTS = frozenset("comment comments reply replies disqus respond".split())
+HEADER = frozenset("header masthead banner".split())  # names of a heading's place where an article has one
+MODIFIERS = frozenset("has no with without hide is not".split())
 ARTICLE = frozenset(["article", "main"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -58,10 +63,10 @@ MARKS = re.compile(r"[.,;:!?…。，！？；：、]")
 
 
 class Block:
-    __slots__ = ("path", "elements", "text", "links", "outside")
+    __slots__ = ("path", "elements", "text", "links", "outside", "doubtful")
 
-    def __init__(self, path, elements, outside):
-        self.path, self.elements, self.outside = path, elements, outside
+    def __init__(self, path, elements, outside, doubtful=()):
+        self.path, self.elements, self.outside, self.doubtful = path, elements, outside, doubtful
         self.text: list[str] = []
         self.links = 0
 
@@ -77,14 +82,56 @@ def _named_outside(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", *ARTICLE) and HINTS.intersection(re.split(r"[^a-z0-9]+", value)):
-            return True
     return False
 
 
+def _doubtful(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element's class, id or tag speaks against it: 0 no, 1 yes, 2 names comments."""
+    if tag in ("html", "body", *ARTICLE, *HEADINGS):
+        return 0
+    out = int(tag in ("form", "fieldset"))
+    for name, *values in NAMES.findall(attributes) if attributes else ():
+        if name.lower() in ("class", "id"):
+            for word in "".join(values).lower().split():
+                parts = [x for x in re.split(r"[^a-z0-9]+", word) if x]
+                hints = HINTS.intersection(parts) - (HEADER if in_article else frozenset())
+                if hints and not MODIFIERS.intersection(parts[:1]):
+                    out = max(out, 2 if hints & COMMENTS else 1)
+    return out
+
+
+def _settle(blocks: list[Block]) -> None:
+    """Excludes the blocks of doubtful elements, but none that holds an article or most of the page's (in an article, of its) text and few links."""
+    inside = [b for b in blocks if not b.outside]
+    sizes = [len(" ".join("".join(b.text).split())) for b in inside]
+    held: dict[int, list[int]] = {}
+    kinds: dict[int, int] = {}
+    around: dict[int, int] = {}  # the article that a doubtful element is in, or 0
+    totals = {0: sum(sizes)}
+    sure = False  # whether an article stands beside the doubtful elements
+    for b, n in zip(inside, sizes):
+        articles = [e for t, e in zip(b.path, b.elements) if t in ARTICLE]
+        sure = sure or bool(articles and not b.doubtful)
+        for e in articles:
+            totals[e] = totals.get(e, 0) + n
+        for e, kind in b.doubtful:
+            kinds[e], around[e] = kind, max((x for x in articles if x < e), default=0)
+            h = held.setdefault(e, [0, 0, 0])
+            h[0] += n
+            h[1] += min(b.links, n)
+            h[2] += any(x > e for x in articles)
+    out = {
+        e for e, (n, links, articles) in held.items()
+        if kinds[e] == 2 or not articles and (2 * n <= totals[around[e]] or 2 * links > n or sure and not around[e])
+    }
+    if any(not out.intersection(e for e, _ in b.doubtful) for b in inside):
+        for b in inside:
+            b.outside = any(e in out for e, _ in b.doubtful)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks of text in page order, blank ones left out."""
-    stack: list[tuple[str, int, bool, bool, bool]] = []  # tag, element number, outside, in an article, in a link
+    stack: list[tuple[str, int, bool, bool, bool, tuple]] = []  # tag, element number, outside, in an article, in a link, doubtful elements
     out: list[Block] = []
     now: Block | None = None
     count = at = 0
@@ -97,7 +144,7 @@ def blocks_of(page: str) -> list[Block]:
             if text.isspace():
                 return
             levels = [s for s in stack if s[0] in BLOCK]
-            now = Block(tuple(s[0] for s in levels), tuple(s[1] for s in levels), bool(stack) and stack[-1][2])
+            now = Block(tuple(s[0] for s in levels), tuple(s[1] for s in levels), bool(stack) and stack[-1][2], stack[-1][5] if stack else ())
             out.append(now)
         now.text.append(text)
         if stack and stack[-1][4]:
@@ -106,7 +153,7 @@ def blocks_of(page: str) -> list[Block]:
     def close(to: int) -> None:
         nonlocal now
         for s in stack[to:]:
-            if s[0] in BLOCK or s[2] != (to > 0 and stack[to - 1][2]):
+            if s[0] in BLOCK or s[2] != (to > 0 and stack[to - 1][2]) or s[5] != (stack[to - 1][5] if to else ()):
                 now = None
         del stack[to:]
 
@@ -137,14 +184,20 @@ def blocks_of(page: str) -> list[Block]:
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
         outer = bool(stack) and stack[-1][2]
-        in_article, in_link = stack[-1][3:] if stack else (False, False)
+        in_article, in_link = stack[-1][3:5] if stack else (False, False)
         outside = outer or _named_outside(tag, attributes, in_article)
+        count += 1
+        doubtful = stack[-1][5] if stack else ()
+        if not outside and (kind := _doubtful(tag, attributes, in_article)):
+            doubtful = (*doubtful, (count, kind))
+            now = None
         if outside != outer:
             now = None
-        count += 1
-        stack.append((tag, count, outside, in_article or tag in ARTICLE, in_link or tag == "a"))
+        stack.append((tag, count, outside, in_article or tag in ARTICLE, in_link or tag == "a", doubtful))
     say(html.unescape(page[at:]))
-    return [b for b in out if "".join(b.text).strip()]
+    out = [b for b in out if "".join(b.text).strip()]
+    _settle(out)
+    return out
 
 
 def _plain(block: Block) -> str:

@@ -65,3 +65,18 @@ def test_uneven_paragraphs_and_headings_outside():
     assert tag_paths.main_text(page.format(inner)) == f"Title\nA lead, of some words.\n{long.strip()}\n{long.strip()}"
     half = f"<main><article><p>{long}{long}</p></article><div><p>{long}</p></div></main>"
     assert tag_paths.main_text(page.format(half)) == f"{(long + long).strip()}\n{long.strip()}"
+
+
+def test_names_and_forms_do_not_hide_the_article():
+    for open_, close in (
+        ("<div class='content has-sidebar'>", "</div>"), ("<div class='no-sidebar with-header'>", "</div>"), ("<form><div>", "</div></form>"),
+        ("<div class=widget>", "</div>"), ("<div class='promo'><article>", "</article></div>"),
+    ):
+        page = f"<html><body>{AROUND.replace('{}', open_ + BODY + BODY + BODY + close)}</body></html>"
+        assert tag_paths.main_text(page) == "\n".join([WANT] * 3), open_
+    head = "<article><div class=entry-header><h1>Title</h1></div><h2 class=page-header>Part</h2><p>Some text, and more, as here.</p></article>"
+    assert tag_paths.main_text(head) == "Title\nPart\nSome text, and more, as here."
+    assert tag_paths.main_text("<div id=comments><p>All there is, here.</p></div>") == "All there is, here."
+    assert tag_paths.main_text(f"<article><h1>Title</h1><div class='entry widget'>{BODY}</div></article>") == f"Title\n{WANT}"
+    talk = f"<article>{BODY}</article><section id=comments><article><p>{'Nice, really nice, I say. ' * 50}</p></article></section>"
+    assert tag_paths.main_text(talk) == WANT
