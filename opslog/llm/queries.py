@@ -8,18 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opslog.llm import (
+    conversations,
     decontaminate,
+    divergence,
     license_align,
     line_chunks,
     ngram_join,
     packing,
+    pieces,
     search,
     secret_forest,
     tag_paths,
     toxicity,
     wavelet,
 )
-from opslog.llm.oracle import NGRAM_JOIN
+from opslog.llm.oracle import CONVERSATION_REPAIR, DIVERGENCE, NGRAM_JOIN
 from opslog.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +104,26 @@ def op7(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     asked = documents.filter(F.col("doc_id") % 100 == 0).select(F.col("doc_id").alias("query_id"), "text")
     return search.search(documents, asked)
+
+
+@query("op11_source_divergence", DIVERGENCE)
+def op11(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op12_sentencepiece")
+def op12(spark, sf_dir):
+    ids = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    both = pieces.decode(ids.drop("text"))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op13_conversation_repair", CONVERSATION_REPAIR)
+def op13(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damaged(rows), rows)
