@@ -22,6 +22,7 @@ import re
 import string
 from array import array
 from collections.abc import Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,11 @@ from opslog.llm.common import free_names, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"  # fixed: stands for a space in pieces
-CACHE_BYTES = 48 << 20  # of remembered stretches in one generation, two of which are kept
-CACHE_PAIRS = 400_000
+CACHE_BYTES = 64 << 20  # of remembered stretches in one generation, two of which are kept
+CACHE_PAIRS = 50_000  # of pairs in long stretches
+SLOT_BITS = 22  # of the table of pairs met before, nine bytes a slot
+GROUP = 100_000  # characters of new stretches that are encoded side by side
+SHORT = 64  # characters of a stretch that is encoded so; longer ones go one by one
 PIECE = 1 << 20  # characters of a text that are encoded at once
 BATCH_BYTES = 4 << 20  # of text in one outgoing batch
 BATCH_ROWS = 500
@@ -53,12 +57,15 @@ class Recent(dict):
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
         self.size += self.weight(key, value)
         if self.size > self.limit:
             self.older, self.size = dict(self), 0
             self.clear()
         self[key] = value
-        return value
 
 
 class Pieces:
@@ -75,19 +82,23 @@ class Pieces:
             raise ValueError("a piece has a space mark inside, or a character that is no piece")
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (i, len(piece)))
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
         self.lengths = [len(p) for p in pieces]
         self.steps = {i: self._steps(p) for p, i in self.ids.items()}
         self.alone = {i: steps is not None for i, steps in self.steps.items()}
         self.pairs = Recent(self._compatible, CACHE_PAIRS, lambda key, value: 1)
+        self.slots, self.slot_fits = np.full(1 << SLOT_BITS, -1, np.int64), np.zeros(1 << SLOT_BITS, bool)
+        self.part = next(c for c in map(chr, range(0x110000)) if c not in self.known)
+        self.length_of = np.array(self.lengths, np.int32)
+        self.is_alone = np.array([self.alone.get(i, False) for i in range(len(pieces))])
         self.stretches = Recent(self._stretch, CACHE_BYTES, lambda text, ids: 150 + len(ids) + 2 * len(text))
         after_letter = {b for p in self.ids for a, b in zip(p, p[1:]) if LETTER.match(a)}
         cuts = "".join(re.escape(c) for c in string.punctuation if c not in after_letter)
         ahead = f"{MARK}*{LETTER.pattern}+(?=[{cuts}])|" if cuts else ""
         self.parts = re.compile(f"{ahead}{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.plain = {i: p.encode() for p, i in self.ids.items()}
         self.bytes_of = {i: b for b, i in byte_ids.items()}
+        self.raw = [bytes([self.bytes_of[i]]) if i in self.bytes_of else p.encode() if p in self.ids else b"" for i, p in enumerate(pieces)]
 
     @classmethod
     def load(cls, path: str) -> Pieces:
@@ -142,10 +153,11 @@ class Pieces:
     def prefix_table(self, text: str) -> list[int]:
         """For each end in a text of known characters, the last piece of the encoding up to there."""
         table = [-1] * (len(text) + 1)
-        alone, pairs, count = self.alone, self.pairs, len(self.pieces)
-        for end, (piece, n) in self.automaton.iter(text):  # the longest piece of an end comes first
+        alone, pairs, lengths, count = self.alone, self.pairs, self.lengths, len(self.pieces)
+        for end, piece in self.automaton.iter(text):  # the longest piece of an end comes first
             end += 1
             if table[end] < 0:
+                n = lengths[piece]
                 if end == n:
                     if alone[piece]:
                         table[end] = piece
@@ -175,28 +187,103 @@ class Pieces:
         ids += self._known_ids(text[start:]) if start < len(text) else []
         return array("i", ids).tobytes()
 
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_compatible`` of many pairs: a table of fixed size answers those met before."""
+        keys = left.astype(np.int64) * len(self.pieces) + right
+        slot = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)
+        fits, new = self.slot_fits[slot], np.flatnonzero(self.slots[slot] != keys)
+        if len(new):
+            pairs, back = np.unique(keys[new], return_inverse=True)
+            fits[new] = np.fromiter(map(self._compatible, pairs.tolist()), bool, len(pairs))[back]
+            self.slots[slot[new]], self.slot_fits[slot[new]] = keys[new], fits[new]
+        return fits
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of many short stretches of known characters, their prefix tables filled side by side."""
+        joined = self.part.join(texts)
+        lengths = np.fromiter(map(len, texts), np.int32, len(texts))
+        begin = np.cumsum(lengths + 1, dtype=np.int32) - lengths - 1
+        found = np.fromiter(chain.from_iterable(self.automaton.iter(joined)), np.int32)
+        end, piece = found[::2] + 1, found[1::2]
+        first = np.repeat(begin, lengths + 1)[end - 1]
+        rank = (end - first).astype(np.int16)
+        order = np.argsort(rank, kind="stable")
+        bounds = np.searchsorted(rank[order], np.arange(1, lengths.max() + 2))
+        table = np.full(len(joined) + 1, -1, np.int32)
+        for lo, hi in zip(bounds, bounds[1:]):  # all prefixes of one length at a time
+            now = order[lo:hi]
+            p, e = piece[now], end[now]
+            start = e - self.length_of[p]
+            fits = self.is_alone[p]
+            inner = np.flatnonzero(start > first[now])
+            fits[inner] = self._fit(table[start[inner]], p[inner])
+            table[e[fits]] = p[fits]
+        at, word, words, ids = begin + lengths, np.arange(len(texts)), [], []
+        while len(word):  # backwards, a piece of every stretch at a time
+            p = table[at]
+            words.append(word)
+            ids.append(p)
+            at = at - self.length_of[p]
+            more = at > begin[word]
+            at, word = at[more], word[more]
+        of = np.concatenate(words)
+        order = np.lexsort((-np.repeat(np.arange(len(words)), list(map(len, words))), of))
+        raw = np.concatenate(ids)[order].astype(np.int32).tobytes()
+        ends = 4 * np.cumsum(np.bincount(of, minlength=len(texts)))
+        return [raw[lo:hi] for lo, hi in zip([0, *ends.tolist()], ends.tolist())]
+
+    def _learn(self, stretches: set[str]) -> None:
+        """Encodes new stretches some at a time; long ones and those with unknown characters are left to ``_stretch``."""
+        known, older = self.stretches, self.stretches.older
+        group, size = [], 0
+        for x in [*stretches, None]:
+            if x is not None:
+                if x in known or x in older or len(x) > SHORT or not self.known.issuperset(x):
+                    continue
+                group.append(x)
+                size += len(x)
+            if group and (x is None or size >= GROUP):
+                for text, ids in zip(group, self._encoded(group)):
+                    known.put(text, ids)
+                group, size = [], 0
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of texts as 32-bit integers."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        held, size = [], 0
+        for k, text in enumerate(texts):
+            for part in marked(text or ""):
+                held.append((k, self.parts.findall(part)))
+                size += len(part)
+                if size >= PIECE:
+                    self._settle(held, out)
+                    held, size = [], 0
+        self._settle(held, out)
+        return [np.frombuffer(b"".join(parts), np.int32) for parts in out]
+
+    def _settle(self, held: list[tuple[int, list[str]]], out: list[list[bytes]]) -> None:
+        self._learn(set().union(*(found for _, found in held)))
+        for k, found in held:
+            out[k].append(b"".join(map(self.stretches.__getitem__, found)))
+
     def encode(self, text: str | None) -> np.ndarray:
-        """Ids of a text as 32-bit integers."""
-        stretches = self.stretches
-        parts = [b"".join([stretches[x] for x in self.parts.findall(part)]) for part in marked(text or "")]
-        return np.frombuffer(b"".join(parts), np.int32)
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         """Text of ids: marks are spaces, the first of which was added; bytes that are no character become U+FFFD."""
-        out, pending = [], bytearray()
-        for i in ids:
-            byte = self.bytes_of.get(i)
-            if byte is not None:
-                pending.append(byte)
-                continue
-            if pending:
-                out.append(_characters(pending))
-                pending = bytearray()
-            out.append(self.plain.get(i, b""))
-        if pending:
-            out.append(_characters(pending))
-        text = b"".join(out).decode().replace(MARK, " ")
-        return text[1:] if text.startswith(" ") and len(ids) and self.bytes_of.get(ids[0]) is None else text
+        try:
+            text = b"".join(map(self.raw.__getitem__, ids)).decode()
+        except UnicodeDecodeError:
+            text = self._decode_broken(ids)
+        text = text.replace(MARK, " ")
+        return text[1:] if text.startswith(" ") and ids[0] not in self.bytes_of else text
+
+    def _decode_broken(self, ids) -> str:
+        out = []
+        for of_bytes, run in groupby(ids, self.bytes_of.__contains__):
+            raw = b"".join(map(self.raw.__getitem__, run))
+            out.append(_characters(raw) if of_bytes else raw)
+        return b"".join(out).decode()
 
 
 def marked(text: str) -> Iterator[str]:
@@ -214,13 +301,13 @@ def marked(text: str) -> Iterator[str]:
         at = end
 
 
-def _characters(raw: bytearray) -> bytes:
+def _characters(raw: bytes) -> bytes:
     """Bytes as UTF-8, each byte that belongs to no character replaced on its own."""
     out, at = [], 0
     while at < len(raw):
         for n in (1, 2, 3, 4):
             try:
-                out.append(bytes(raw[at : at + n]).decode().encode())
+                out.append(raw[at : at + n].decode().encode())
                 at += n
                 break
             except UnicodeDecodeError:
@@ -263,7 +350,7 @@ def encode(df: DataFrame, column: str = "text", into: str = "ids", path: str | N
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(column))
             for lo, hi in _groups(batch, pa.compute.binary_length(texts).to_pylist()):
-                ids = [pieces.encode(texts[i].as_py()) for i in range(lo, hi)]
+                ids = pieces.encode_all(texts.slice(lo, hi - lo).to_pylist())
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
                 part = batch.slice(lo, hi - lo)

@@ -63,8 +63,11 @@ def test_cuts_into_pieces_of_text_and_full_caches_change_nothing(library, monkey
     monkeypatch.setattr(pieces, "PIECE", 16)
     small = pieces.Pieces.load(PATH)
     small.pairs.limit, small.stretches.limit = 50, 2000
+    monkeypatch.setattr(pieces, "GROUP", 50)
     text = prose(random.Random(4), 60)
     same(small, library, text)
+    texts = [text, None, "", "x" * 500 + " 😀 y", text[:99]]
+    assert [a.tolist() for a in small.encode_all(texts)] == [library.encode(t or "") for t in texts]
     assert len(small.pairs) <= 50 and small.stretches.size <= 2000
 
 
