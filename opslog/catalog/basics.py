@@ -10,7 +10,7 @@ from opslog.functions.text import client_mark, pair_value, part, port_number, un
 from opslog.functions.timekeys import (
     day_part, from_epoch_text, hour_part, minute_key, parts_from_key, seconds_between,
 )
-from opslog.operators.sequence import minute_chunk, newest, next_row, oldest, previous_row
+from opslog.operators.sequence import both_neighbours, minute_chunk, newest, next_row, oldest
 
 
 @query(
@@ -149,8 +149,9 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 def neighbours(spark, sf_dir):
     """Next and previous event of each event's user."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    args = (["user_id"], ["ts", "event_id"], minute_chunk("ts"), ["event_id", "event_type"])
-    out = previous_row(next_row(events, *args, "nxt"), *args, "prev")
+    out = both_neighbours(
+        events, ["user_id"], ["ts", "event_id"], minute_chunk("ts"), ["event_id", "event_type"], "nxt", "prev"
+    )
     return out.select(
         "event_id",
         F.col("nxt.event_id").alias("next_id"),

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.catalog.base import (
     PLACES, K, buckets, leveled, mean_units, places, prop_k, query, servers, six_digits, table, units,
 )
-from opslog.operators.concurrency import concurrency, concurrency_vector, sessions_from_marks
+from opslog.functions.timekeys import instant
+from opslog.operators.concurrency import clipped, concurrency, concurrency_vector, sessions_from_marks, still_open
 from opslog.operators.dims import calendar, level_frame, span, zero_fill
 from opslog.operators.rollup import rollup_entity
 from opslog.operators.sequence import minute_chunk, next_row
+from opslog.session import scratch_dir
 from opslog.spec import APP, DAY, ENTITY_LEVELS, HOUR, MINUTE, SITE, gauge_rules
 
 IDS = ["app_id", "site_id", "server_id"]
 ZEROS = {"avg_ccu": 0, "min_ccu": 0, "max_ccu": 0}
 CAP = 1800
+LONG_CAP = 3 * 86400
+CARRY_STEP = timedelta(days=8)
 
 
 def capped_sessions(spark, sf_dir, cap=CAP):
@@ -108,6 +116,32 @@ def concurrency_hour(spark, sf_dir):
     return out.select(HOUR.key("bucket").alias("stat_key"), "level", *IDS, *ZEROS)
 
 
+@query(
+    "concurrency_carried",
+    f"""WITH {PLACES}, {CAPPED.format(cap=LONG_CAP)},
+{sweep(3600, leveled_iv('sess', 'user_id'))}
+SELECT strftime(bucket, '%Y%m%d%H') AS stat_key, {E_IDS}, avg_ccu, min_ccu, max_ccu FROM ccu""",
+)
+def concurrency_carried(spark, sf_dir):
+    """Sessions of up to three days, window by window: each reads what begins in it and the sessions still open at its border."""
+    placed = capped_sessions(spark, sf_dir, LONG_CAP).join(places(spark, sf_dir), "user_id")
+    low, high = table(spark, sf_dir, "events").agg(
+        F.date_format(F.min("ts"), "yyyyMMdd"), F.date_format(F.max("ts"), "yyyyMMdd")
+    ).first()
+    begin, last = (datetime.strptime(d, "%Y%m%d") for d in (low, high))
+    parts, carried = [], placed.limit(0)
+    while begin <= last + timedelta(seconds=LONG_CAP):  # sessions that are open at the end need one more
+        end = begin + CARRY_STEP
+        first, border = instant(begin), instant(end)
+        rows = placed.filter((F.col("on_at") >= first) & (F.col("on_at") < border)).unionByName(carried)
+        parts.append(ccu_levels(clipped(rows, first, border), "user_id", HOUR))
+        path = scratch_dir(spark, "carried")
+        still_open(rows, border).write.parquet(path)
+        carried, begin = spark.read.schema(placed.schema).parquet(path), end
+    out = reduce(DataFrame.unionByName, parts).filter("max_ccu > 0")
+    return out.select(HOUR.key("bucket").alias("stat_key"), "level", *IDS, *ZEROS)
+
+
 @query(
     "concurrency_overlap",
     f"""WITH {PLACES}, sess AS (

@@ -30,9 +30,13 @@ def route_log(spark, sf_dir):
 
     Answers of type error name no server; a purchase is a success.
     """
+    return as_route_log(table(spark, sf_dir, "events"))
+
+
+def as_route_log(events):
     answer = F.col("event_type") != "view"
     nation_key = (prop_k() % 25).cast("string")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         "ts",
         "event_id",
         "user_id",

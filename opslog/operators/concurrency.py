@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opslog.functions.timekeys import epoch
-from opslog.operators.sequence import next_row, previous_row
+from opslog.operators.sequence import both_neighbours
 from opslog.spec import Grain
 
 HOUR_SECONDS = 3600
@@ -175,8 +175,7 @@ def sessions_from_marks(
     """
     lookahead = timeout if lookahead is None else lookahead
     marked = marks.withColumn("_on", is_on)
-    linked = next_row(marked, keys, order_by, chunk, [ts, "_on"], "_after")
-    linked = previous_row(linked, keys, order_by, chunk, [ts, "_on"], "_before")
+    linked = both_neighbours(marked, keys, order_by, chunk, [ts, "_on"], "_after", "_before")
     now = F.col(ts)
     after, before = F.col("_after")[ts], F.col("_before")[ts]
     closes = F.coalesce(~F.col("_after._on"), F.lit(False))
@@ -195,6 +194,17 @@ def sessions_from_marks(
     )
 
 
+def still_open(sessions: DataFrame, at: Column, off: str = "off_at") -> DataFrame:
+    """Sessions that the window which ends at ``at`` hands on to the next one."""
+    return sessions.filter(F.col(off) > at)
+
+
+def clipped(sessions: DataFrame, begin: Column, end: Column, on: str = "on_at", off: str = "off_at") -> DataFrame:
+    """The part of every session that lies in ``[begin, end)``."""
+    inside = sessions.filter((F.col(off) > begin) & (F.col(on) < end))
+    return inside.withColumns({on: F.greatest(F.col(on), begin), off: F.least(F.col(off), end)})
+
+
 def _seconds(n: int) -> Column:
     return F.expr(f"interval {int(n)} seconds")
 

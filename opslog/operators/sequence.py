@@ -62,6 +62,31 @@ def previous_row(
     return next_row(df, keys, order_by, chunk, payload, name, backward=True)
 
 
+def both_neighbours(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: Sequence[str],
+    chunk: Column,
+    payload: Sequence[str],
+    after: str = "next_row",
+    before: str = "previous_row",
+) -> DataFrame:
+    """``next_row`` and ``previous_row`` from one sort of the chunks and one of their edges.
+
+    A chunk's last row lacks its next and its first row lacks its previous row.  Of these edge rows in
+    order, the next one after a last row is the first of the next chunk, and the other way round.
+    """
+    row = F.struct(*payload)
+    inside = Window.partitionBy("_chunk", *keys).orderBy(*order_by)
+    across = Window.partitionBy(*keys).orderBy("_chunk", *order_by)
+    linked = df.withColumn("_chunk", chunk).withColumns({after: F.lead(row).over(inside), before: F.lag(row).over(inside)})
+    whole = F.col(after).isNotNull() & F.col(before).isNotNull()
+    edges = linked.filter(~whole).withColumns(
+        {after: F.coalesce(after, F.lead(row).over(across)), before: F.coalesce(before, F.lag(row).over(across))}
+    )
+    return linked.filter(whole).unionByName(edges).drop("_chunk")
+
+
 def newest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Last row of each key, as an aggregate that combines before the shuffle."""
     return _edge_row(df, keys, order_by, cols, F.max_by)

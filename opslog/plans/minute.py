@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from opslog.functions.measures import mbps
 from opslog.functions.text import pair_value, port_number
 from opslog.functions.timekeys import instant
-from opslog.operators.concurrency import concurrency
+from opslog.operators.concurrency import clipped, concurrency
 from opslog.operators.dims import attach_dim, by_levels, level_frame, lookup_side, zero_fill
 from opslog.operators.gauge import (
     by_category, finish_columns, gauge, gauge_parts, gauge_zeros, port_gauge, port_parts,
@@ -30,7 +30,7 @@ from opslog.operators.pairing import PAIR_ZEROS, pair_rate, pair_requests
 from opslog.operators.rate import rate_per_slot
 from opslog.operators.rollup import rollup_entity, shares
 from opslog.operators.sequence import minute_chunk
-from opslog.operators.uniques import client_visits, unique_total
+from opslog.operators.uniques import client_visits, unique_sketch, unique_total
 from opslog.plans.lake import Lake, window_frame
 from opslog.spec import (
     ALL, APP, HOUR, MINUTE, SECOND, SITE, Grain, Level, Rule, Window, gauge_rules, high, low, mean,
@@ -141,15 +141,21 @@ def uvpv(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     return {"uvpv": zero_fill(stats, frame, [*KEYS, "level"], {"uv": 0, "pv": 0})}
 
 
+def uvpv_sketch(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
+    """Views with a sketch of their clients: hours, days and months come from it without the raw rows."""
+    visits = client_visits(_closed(lake, window), "registered_at", grain, "client_id", ["server_ip"])
+    return {"uvpv_sketch": unique_sketch(visits.join(_servers(lake), "server_ip"), LEVELS, "client_id")}
+
+
 def ccu(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     """Concurrent users, each level counting its own clients."""
     log = lake.raw("session_log", window.read_from, window.end).filter(F.col("motion") == OFF)
-    running = log.filter(F.col("off_at") >= instant(window.begin)).select(
-        "server_ip",
-        "client_id",
-        F.greatest("registered_at", instant(window.begin)).alias("on_at"),
-        F.least("off_at", instant(window.end)).alias("off_at"),
-    )
+    return {"ccu": ccu_of(lake, log.select("server_ip", "client_id", F.col("registered_at").alias("on_at"), "off_at"), window, grain)}
+
+
+def ccu_of(lake: Lake, sessions: DataFrame, window: Window, grain: Grain) -> DataFrame:
+    """Concurrent users of a window from the sessions (server_ip, client_id, on_at, off_at) that touch it."""
+    running = clipped(sessions, instant(window.begin), instant(window.end))
     servers = _servers(lake)
     variants = [
         F.struct(
@@ -165,7 +171,7 @@ def ccu(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     stats = concurrency(sessions, ["level", *IDS], ["client_id"], "on_at", "off_at", grain)
     frame = window_frame(level_frame(servers, LEVELS), window, grain)
     zeros = {"avg_ccu": 0, "min_ccu": 0, "max_ccu": 0}
-    return {"ccu": zero_fill(stats, frame, [*KEYS, "level"], zeros)}
+    return zero_fill(stats, frame, [*KEYS, "level"], zeros)
 
 
 def _histogram(lake: Lake, window: Window, grain: Grain, bins: list[Bin]) -> tuple[DataFrame, list[Rule]]:
@@ -318,6 +324,7 @@ JOBS: dict[str, Callable[..., Tables]] = {
     "status": status,
     "session": session,
     "uvpv": uvpv,
+    "uvpv_sketch": uvpv_sketch,
     "ccu": ccu,
     "usetime": usetime,
     "bandwidth": bandwidth,
@@ -328,4 +335,4 @@ JOBS: dict[str, Callable[..., Tables]] = {
     "switches": switches,
 }
 # Jobs whose tables lack rows where nothing happened.
-SPARSE_TABLES = {"usetime"}
+SPARSE_TABLES = {"usetime", "uvpv_sketch"}

@@ -11,7 +11,7 @@ from opslog.operators.outcomes import WEB_RULES, probe_rules
 from opslog.operators.rollup import rollup_entity, rollup_time, shares
 from opslog.plans.lake import Lake
 from opslog.plans.minute import IDS, LEVELS, PAIR_RULES, RATE_RULES, usetime_long, uvpv
-from opslog.spec import DAY, HOUR, MINUTE, MONTH, Grain, Rule, Window, gauge_rules, high, low, mean, total
+from opslog.spec import DAY, HOUR, MINUTE, MONTH, Grain, Rule, Window, gauge_rules, high, low, mean, sketch, total
 
 LEVEL_KEYS = ["level", *IDS]
 LONG = [b.name for b in long_bins()]
@@ -26,6 +26,7 @@ ROLLUPS: dict[str, tuple[list[str], list[Rule]]] = {
     "status_router": (["router_id"], PAIR_RULES),
     "session": (LEVEL_KEYS, gauge_rules("session")),
     "uvpv": (LEVEL_KEYS, [total("uv"), total("pv")]),
+    "uvpv_sketch": (LEVEL_KEYS, [sketch("uv_sketch"), total("pv")]),
     "ccu": (LEVEL_KEYS, gauge_rules("ccu")),
     "usetime": (LEVEL_KEYS, SHORT_RULES),
     "usetime_long": (LEVEL_KEYS, LONG_RULES),

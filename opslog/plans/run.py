@@ -18,7 +18,7 @@ from opslog.plans.windows import SLOT_SECONDS, WINDOWS, aligned, at_fire, hour_o
 from opslog.sinks.tables import merge_snapshot, save_snapshot
 from opslog.spec import DAY, HOUR, MINUTE, MONTH, Grain, Window
 
-WINDOW_OF = {"switches": "hosts"}
+WINDOW_OF = {"switches": "hosts", "uvpv_sketch": "uvpv"}
 LOOK_BACK = timedelta(days=2)  # longest session that a backfill sees whole
 
 

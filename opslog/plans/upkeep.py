@@ -7,7 +7,9 @@ no row is read to delete a row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,8 @@ from pyspark.sql import functions as F
 
 from opslog.spec import DAY, GRAINS, HOUR, MONTH, Grain
 
+CALLS = 16  # to the file system at the same time
+
 # Days each kind of table is kept, and the spans of the roll-ups.
 KEEP_DAYS = {"stat": 180, "raw": 180, "web": 7}
 KEEP_ROLLUP = {"hour": ("months", 1), "day": ("months", 6), "month": ("months", 60)}
@@ -45,16 +49,63 @@ def partitions(spark: SparkSession, path: str, depth: int) -> Iterator[tuple[dic
         yield values, folder.toString()
 
 
+def children(spark: SparkSession, path: str) -> dict[str, float]:
+    """Names directly below a folder, with the time (epoch seconds) of their last change; none if it is not there."""
+    fs, folder = _fs(spark, path)
+    if not fs.exists(folder):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() / 1000 for s in fs.listStatus(folder)}
+
+
+def at_once(fn, items: list) -> list:
+    """``fn`` of every item; several calls to the file system under way together."""
+    if len(items) < 4:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(CALLS) as pool:
+        return list(pool.map(fn, items))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file in one step: written under another name, then renamed over what is there."""
+    jvm = spark.sparkContext._jvm
+    fs, target = _fs(spark, path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+    if fs.exists(target):
+        fs.delete(target, False)
+    if not fs.rename(part, target):
+        raise RuntimeError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    fs, target = _fs(spark, path)
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def drop_folders(spark: SparkSession, folders: list[str]) -> int:
-    for folder in folders:
+    def drop(folder: str) -> None:
         fs, hpath = _fs(spark, folder)
         fs.delete(hpath, True)
+
+    at_once(drop, folders)
     return len(folders)
 
 
 def drop_old_days(spark: SparkSession, path: str, today: datetime, keep_days: int) -> int:
     """Drop the ``dt`` partitions up to ``today - keep_days``."""
     limit = (today - timedelta(days=keep_days)).strftime("%Y%m%d")
+    drop_folders(spark, [f for v, f in partitions(spark, f"{path}/_manifest", 1) if v["dt"] <= limit])
     return drop_folders(spark, [f for v, f in partitions(spark, path, 1) if v["dt"] <= limit])
 
 

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from opslog.functions.timekeys import in_range, partition_predicate
+from opslog.sources.folders import live, paths_of, schema_of, some_folder
 
 SERVER_FILE = "app_id STRING, site_id STRING, host_id STRING, host_name STRING, server_ip STRING, role STRING"
 PORT_FILE = "site_id STRING, switch_id STRING, switch_name STRING, port_id STRING, port_type STRING"
@@ -14,18 +15,20 @@ ROUTER_FILE = "site_id STRING, router_host STRING, router_port STRING, router_id
 
 
 def read_window(spark: SparkSession, path: str, ts: str, begin: datetime, end: datetime) -> DataFrame:
-    """Rows of ``[begin, end)``, reading only the hour partitions the range touches.
+    """Rows of ``[begin, end)``: only folders of the hours that the range touches are listed and read.
 
-    ``dt`` and ``hh`` stay text, so that hour ``08`` is not read as a number.
+    Of hours that were compacted, what the manifest says counts.  ``dt`` and ``hh`` are text.
     """
-    infer = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(infer)
-    spark.conf.set(infer, "false")
-    try:
-        table = spark.read.parquet(path)
-    finally:
-        spark.conf.set(infer, before)
-    return table.where(partition_predicate(begin, end) & in_range(ts, begin, end))
+    found = live(spark, path, begin, end)
+    folders = [f for hour, names in found.items() for f in paths_of(path, hour, names)]
+    some = folders[0] if folders else some_folder(spark, path)
+    if some is None:
+        return spark.read.parquet(path).where(partition_predicate(begin, end) & in_range(ts, begin, end))
+    schema = schema_of(spark, some)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return rows.where(partition_predicate(begin, end) & in_range(ts, begin, end))
 
 
 def read_dimension(spark: SparkSession, path: str, schema: str) -> DataFrame:

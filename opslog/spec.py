@@ -115,6 +115,8 @@ class Rule:
             out = exact / F.nullif(F.count(src[0]), F.lit(0))
         elif self.kind == "ratio":
             out = percent(F.sum(src[0]), F.sum(src[1]))
+        elif self.kind == "sketch":
+            out = F.hll_union_agg(src[0])
         elif self.kind == "weighted":
             out = F.coalesce(
                 F.sum(src[0]).cast("double") / F.nullif(F.sum(src[1]), F.lit(0)), F.lit(0.0)
@@ -159,6 +161,11 @@ def weighted(name: str, sum_col: str, count_col: str) -> Rule:
     return Rule(name, "weighted", (sum_col, count_col))
 
 
+def sketch(name: str) -> Rule:
+    """Sketches of uniques merge over entities and time, where counts of uniques do not."""
+    return Rule(name, "sketch")
+
+
 def gauge_rules(*names: str, digits: int | None = None) -> list[Rule]:
     """avg/min/max rules for each gauge name."""
     rules: list[Rule] = []

@@ -55,7 +55,8 @@ def write_batch(rows: DataFrame, path: str, name: str, partition_by=("dt", "hh")
 def _other_runs(rows: DataFrame, path: str, source: str, run: str, depth: int) -> list[str]:
     """Folders that an earlier checkpoint of the same source has written."""
     found = partitions(rows.sparkSession, path, depth)
-    return [f for v, f in found if v["batch"].startswith(f"{source}.") and not v["batch"].startswith(f"{source}.{run}.")]
+    old = (f"{source}.", f"compact.{source}.")
+    return [f for v, f in found if v["batch"].startswith(old) and not v["batch"].startswith(f"{source}.{run}.")]
 
 
 def _begin(batch: DataFrame, batch_id: int, source: str, tables: dict[str, int], restart: str) -> str:
