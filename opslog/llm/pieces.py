@@ -33,10 +33,10 @@ from opslog.llm.common import free_names, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"  # fixed: stands for a space in pieces
-CACHE_BYTES = 64 << 20  # of remembered stretches in one generation, two of which are kept
+CACHE_BYTES = 56 << 20  # of remembered stretches in one generation, two of which are kept
 CACHE_PAIRS = 50_000  # of pairs in long stretches
-SLOT_BITS = 22  # of the table of pairs met before, nine bytes a slot
-GROUP = 100_000  # characters of new stretches that are encoded side by side
+SLOT_BITS = 21  # of the table of pairs met before, nine bytes a slot
+GROUP = 16_000  # new stretches that are encoded side by side
 SHORT = 64  # characters of a stretch that is encoded so; longer ones go one by one
 PIECE = 1 << 20  # characters of a text that are encoded at once
 BATCH_BYTES = 4 << 20  # of text in one outgoing batch
@@ -67,6 +67,13 @@ class Recent(dict):
             self.clear()
         self[key] = value
 
+    def put_all(self, keys: list, values: list, weight: int) -> None:
+        if self.size + weight > self.limit:
+            self.older, self.size = dict(self), 0
+            self.clear()
+        self.update(zip(keys, values))
+        self.size += weight
+
 
 class Pieces:
     """A vocabulary with its scores, and the encoding that follows from them."""
@@ -82,7 +89,10 @@ class Pieces:
             raise ValueError("a piece has a space mark inside, or a character that is no piece")
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, i)
+            if len(piece) > 1:
+                self.automaton.add_word(piece, i)
+        self.single = np.full(0x110000, -1, np.int32)
+        self.single[[ord(c) for c in self.known]] = [self.ids[c] for c in self.known]
         self.automaton.make_automaton()
         self.lengths = [len(p) for p in pieces]
         self.steps = {i: self._steps(p) for p, i in self.ids.items()}
@@ -96,7 +106,9 @@ class Pieces:
         after_letter = {b for p in self.ids for a, b in zip(p, p[1:]) if LETTER.match(a)}
         cuts = "".join(re.escape(c) for c in string.punctuation if c not in after_letter)
         ahead = f"{MARK}*{LETTER.pattern}+(?=[{cuts}])|" if cuts else ""
-        self.parts = re.compile(f"{ahead}{MARK}+[^{MARK}]*|[^{MARK}]+")
+        plain_unknown = "".join(re.escape(c) for c in map(chr, range(128)) if c not in self.known)
+        unknown = f"|[{plain_unknown}]+" if plain_unknown else ""
+        self.parts = re.compile(f"{ahead}{MARK}+[^{MARK}{plain_unknown}]*|[^{MARK}{plain_unknown}]+{unknown}")
         self.bytes_of = {i: b for b, i in byte_ids.items()}
         self.raw = [bytes([self.bytes_of[i]]) if i in self.bytes_of else p.encode() if p in self.ids else b"" for i, p in enumerate(pieces)]
 
@@ -151,18 +163,25 @@ class Pieces:
                 j += 1
 
     def prefix_table(self, text: str) -> list[int]:
-        """For each end in a text of known characters, the last piece of the encoding up to there."""
-        table = [-1] * (len(text) + 1)
-        alone, pairs, lengths, count = self.alone, self.pairs, self.lengths, len(self.pieces)
-        for end, piece in self.automaton.iter(text):  # the longest piece of an end comes first
+        """For each end in a text of known characters, the last piece of the encoding up to there.
+
+        Where no longer piece is compatible, it is the single character.
+        """
+        table, filled = [-1] * (len(text) + 1), 0
+        alone, pairs, lengths, ids, count = self.alone, self.pairs, self.lengths, self.ids, len(self.pieces)
+        for end, piece in self.automaton.iter(text):  # in order of their ends
+            while filled < end:
+                filled += 1
+                if table[filled] < 0:
+                    table[filled] = ids[text[filled - 1]]
             end += 1
             if table[end] < 0:
                 n = lengths[piece]
-                if end == n:
-                    if alone[piece]:
-                        table[end] = piece
-                elif (last := table[end - n]) >= 0 and pairs[last * count + piece]:
+                if alone[piece] if end == n else pairs[table[end - n] * count + piece]:
                     table[end] = piece
+        for end in range(filled + 1, len(text) + 1):
+            if table[end] < 0:
+                table[end] = ids[text[end - 1]]
         return table
 
     def _known_ids(self, text: str) -> list[int]:
@@ -201,6 +220,7 @@ class Pieces:
     def _encoded(self, texts: list[str]) -> list[bytes]:
         """Ids of many short stretches of known characters, their prefix tables filled side by side."""
         joined = self.part.join(texts)
+        single = self.single[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
         lengths = np.fromiter(map(len, texts), np.int32, len(texts))
         begin = np.cumsum(lengths + 1, dtype=np.int32) - lengths - 1
         found = np.fromiter(chain.from_iterable(self.automaton.iter(joined)), np.int32)
@@ -210,7 +230,8 @@ class Pieces:
         order = np.argsort(rank, kind="stable")
         bounds = np.searchsorted(rank[order], np.arange(1, lengths.max() + 2))
         table = np.full(len(joined) + 1, -1, np.int32)
-        for lo, hi in zip(bounds, bounds[1:]):  # all prefixes of one length at a time
+        word = np.arange(len(texts))
+        for k, (lo, hi) in enumerate(zip(bounds, bounds[1:])):  # all prefixes of one length at a time
             now = order[lo:hi]
             p, e = piece[now], end[now]
             start = e - self.length_of[p]
@@ -218,6 +239,10 @@ class Pieces:
             inner = np.flatnonzero(start > first[now])
             fits[inner] = self._fit(table[start[inner]], p[inner])
             table[e[fits]] = p[fits]
+            word = word[lengths[word] > k]
+            e = begin[word] + k + 1
+            e = e[table[e] < 0]
+            table[e] = single[e - 1]
         at, word, words, ids = begin + lengths, np.arange(len(texts)), [], []
         while len(word):  # backwards, a piece of every stretch at a time
             p = table[at]
@@ -234,18 +259,13 @@ class Pieces:
 
     def _learn(self, stretches: set[str]) -> None:
         """Encodes new stretches some at a time; long ones and those with unknown characters are left to ``_stretch``."""
-        known, older = self.stretches, self.stretches.older
-        group, size = [], 0
-        for x in [*stretches, None]:
-            if x is not None:
-                if x in known or x in older or len(x) > SHORT or not self.known.issuperset(x):
-                    continue
-                group.append(x)
-                size += len(x)
-            if group and (x is None or size >= GROUP):
-                for text, ids in zip(group, self._encoded(group)):
-                    known.put(text, ids)
-                group, size = [], 0
+        known, older, normal = self.stretches, self.stretches.older, self.known.issuperset
+        new = [x for x in stretches if x not in known and x not in older]
+        new = [x for x in new if len(x) <= SHORT and normal(x)]
+        for lo in range(0, len(new), GROUP):
+            group = new[lo : lo + GROUP]
+            ids = self._encoded(group)
+            known.put_all(group, ids, sum(map(known.weight, group, ids)))
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of texts as 32-bit integers."""
