@@ -25,7 +25,7 @@ from opslog.sources.logs import import_router_log, import_session_log, read_stre
 from opslog.sources.tables import read_window
 from opslog.spec import DAY, HOUR
 from opslog.streaming.aggregates import windowed
-from opslog.streaming.ingest import agent_tables, append, fan_out, ingest
+from opslog.streaming.ingest import agent_tables, append, fan_out, forward, ingest
 
 
 def event_stream(spark, sf_dir):
@@ -194,8 +194,8 @@ def stream_alert(spark, sf_dir):
     source = line_files(spark, lines, "alert-lines")
     out = scratch_dir(spark, "stream-alert")
     found = alerts(read_stream(spark, "text", {"path": source}), "response", "error")
-    finished(append(found, f"{out}/data", f"{out}/state", True, partition_by=()))
-    stored = spark.read.schema(found.schema).parquet(f"{out}/data")
+    finished(forward(found, "text", {"path": f"{out}/data"}, f"{out}/state", True))
+    stored = spark.read.text(f"{out}/data")
     return stored.select(F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"))
 
 

@@ -9,7 +9,7 @@ from opslog.catalog.base import (
 )
 from opslog.operators.dims import attach_dim, calendar, span, zero_fill
 from opslog.operators.histogram import (
-    closed_durations, duration_histogram, long_bins, next_event_durations, short_bins,
+    closed_durations, duration_histogram, long_bins, next_event_durations, scaled, short_bins,
 )
 from opslog.operators.outcomes import WEB_RULES, probe_outcome, probe_rules, web_outcome
 from opslog.operators.rate import rate_per_slot
@@ -205,6 +205,7 @@ def rate_second_hour(spark, sf_dir):
 # ---- durations --------------------------------------------------------------
 
 SHORT = short_bins()
+QUARTERS = scaled(SHORT, 900)  # these events are hours apart
 LONG = long_bins()
 
 
@@ -261,24 +262,22 @@ def usetime_closed(spark, sf_dir):
     f"""WITH {PLACES},
 n AS (SELECT *, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS nts FROM events),
 f AS (SELECT date_trunc('day', ts) AS bucket, user_id,
-        coalesce(CAST(floor(epoch(nts)) AS BIGINT) - CAST(floor(epoch(ts)) AS BIGINT), 999) // 900 AS seconds
+        coalesce(CAST(floor(epoch(nts)) AS BIGINT) - CAST(floor(epoch(ts)) AS BIGINT), 999) AS seconds
       FROM n WHERE event_type = 'signup'),
-s AS (SELECT bucket, app_id, site_id, server_id, count(*) AS total_cnt, {bin_sql(SHORT)}
+s AS (SELECT bucket, app_id, site_id, server_id, count(*) AS total_cnt, {bin_sql(QUARTERS)}
       FROM f JOIN places USING (user_id) WHERE seconds > 0 GROUP BY ALL),
 l AS {leveled(sums_sql(SHORT), 's')}
 SELECT strftime(bucket, '%Y%m%d') AS stat_key, * EXCLUDE (bucket) FROM l""",
 )
 def usetime_hist(spark, sf_dir):
-    """From a sign-up to the user's next event, in quarter hours."""
+    """From a sign-up to the user's next event, in bins of quarter hours; no gap is too short to count."""
     events = table(spark, sf_dir, "events").select("ts", "event_id", "user_id", "event_type")
     gaps = next_event_durations(
         events, ["user_id"], "ts", ["ts", "event_id"], minute_chunk("ts"), F.col("event_type") == "signup"
     ).select(
-        DAY.bucket("ts").alias("bucket"),
-        "user_id",
-        F.call_function("div", F.col("seconds"), F.lit(900)).alias("seconds"),
+        DAY.bucket("ts").alias("bucket"), "user_id", "seconds"
     )
-    per_user = duration_histogram(gaps, ["bucket", "user_id"], SHORT)
+    per_user = duration_histogram(gaps, ["bucket", "user_id"], QUARTERS)
     placed = per_user.join(places(spark, sf_dir), "user_id")
     out = rollup_entity(placed, ENTITY_LEVELS, hist_rules(SHORT))
     return out.select(DAY.key("bucket").alias("stat_key"), *[c for c in out.columns if c != "bucket"])

@@ -40,6 +40,11 @@ def long_bins() -> list[Bin]:
     return [*tens, *minutes, *wide]
 
 
+def scaled(bins: Sequence[Bin], seconds: int) -> list[Bin]:
+    """The same bins in another unit, e.g. quarter hours of 900 seconds."""
+    return [Bin(b.name, b.over * seconds, b.upto and b.upto * seconds) for b in bins]
+
+
 def closed_durations(sessions: DataFrame, on: str, off: str) -> DataFrame:
     """Length of sessions that carry their own end."""
     return sessions.withColumn("seconds", seconds_between(on, off))

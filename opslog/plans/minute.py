@@ -94,7 +94,7 @@ def route(lake: Lake, window: Window, grain: Grain = MINUTE) -> Tables:
     pairs = pair_requests(
         log.filter(F.col("log_time") >= instant(window.begin)),
         ["session_id", "client_mac", "client_ip"],
-        ["log_time", "mode", "server_ip", "result"],
+        ["log_time", "mode", "server_ip", "result", "router_id", "router_port"],
         minute_chunk("log_time"),
         end=instant(window.end),
     )

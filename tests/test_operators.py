@@ -283,3 +283,11 @@ def test_window_arithmetic():
     assert (w.read_from, w.read_to) == (datetime(2024, 1, 1, 9, 30), datetime(2024, 1, 1, 10, 6))
     with pytest.raises(ValueError):
         WindowSpec().between(T0, T0)
+
+
+def test_bins_of_quarter_hours_count_the_shortest_gaps(spark):
+    from opslog.operators.histogram import duration_histogram, scaled, short_bins
+
+    gaps = spark.createDataFrame([("k", s) for s in (0, 1, 899, 9000, 9001, 54_000, 54_001)], "key string, seconds bigint")
+    row = duration_histogram(gaps, ["key"], scaled(short_bins(), 900)).first().asDict()
+    assert row == {"key": "k", "total_cnt": 6, "c10_sec": 3, "c20_sec": 1, "c30_sec": 0, "c40_sec": 0, "c50_sec": 0, "c60_sec": 1, "other": 1}
