@@ -166,3 +166,22 @@ def test_both_neighbours_equal_two_passes_with_fewer_sorts(spark):
     assert rows(one, "id", "n", "p") == rows(two, "id", "n", "p")
     sorts = [d._jdf.queryExecution().executedPlan().toString().count("Sort [") for d in (one, two)]
     assert 2 * sorts[0] <= sorts[1]
+
+
+def test_requests_of_one_instant_go_to_the_same_router_whatever_the_order_of_rows(spark):
+    columns = "log_time timestamp, session_id string, client_mac string, client_ip string, mode string, server_ip string, result string, router_id string, router_port string"
+    found = [(DAY0 + timedelta(minutes=1), f"s{k % 3}", "m", "i", "Request", "", "", f"R{k % 2}", str(8080 + k)) for k in range(12)]
+    found += [(DAY0 + timedelta(minutes=2), f"s{k}", "m", "i", "Response", "192.0.2.1", "0", "", "") for k in range(3)]
+    got = []
+    for seed in range(2):
+        lake = Lake(spark, scratch_dir(spark, "ties"))
+        random.Random(seed).shuffle(found)
+        df = spark.createDataFrame(found, columns).coalesce(1)
+        save(df.withColumns({"dt": F.lit("20240501"), "hh": F.lit("00")}), lake.raw_path("route_log"))
+        save_snapshot(spark.createDataFrame(SERVERS, "app_id string, site_id string, host_id string, host_name string, server_ip string, role string"), lake.dim_path("servers"))
+        routers = [("s1", f"R{k % 2}", str(8080 + k), str(k)) for k in range(12)]
+        save_snapshot(spark.createDataFrame(routers, "site_id string, router_host string, router_port string, router_id string"), lake.dim_path("routers"))
+        end = DAY0 + timedelta(minutes=5)
+        tables = minute.route(lake, Window(DAY0, end, DAY0, end))
+        got.append(rows(tables["route_router"].filter("req_cnt > 0"), "router_id", "req_cnt", "success_cnt"))
+    assert got[0] == got[1] and sum(r[1] for r in got[0]) == 3  # the last request of each session is answered
