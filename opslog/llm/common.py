@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
+import itertools
 import os
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (as pa.compute)
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opslog.session import scratch_dir
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
+_HELD: dict[Any, Any] = {}
 
 
 def tokenizer_path(name: str) -> str:
@@ -26,12 +31,76 @@ def tokenizer_path(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def forget_half(cache: dict) -> None:
+    """Drop the older half of a cache's entries."""
+    for key in list(itertools.islice(cache, (len(cache) + 1) // 2)):
+        del cache[key]
+
+
+def held(key: Any, make: Callable[[], Any]) -> Any:
+    """The worker process's object of this key, made once; the object of another key is dropped.
+
+    Workers outlive tasks and queries, so that what one operator keeps would lie beside what the next one needs.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system; the allocators would keep it for the worker's next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable, holds: bool = False) -> Callable:
+    """``run`` for ``mapInArrow``, leaving no memory behind in the worker; ``holds`` keeps what ``held`` has."""
+
+    def tidied(batches):
+        if not holds:
+            _HELD.clear()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidied
+
+
+def tidy_group(run: Callable) -> Callable:
+    """The same for ``applyInArrow``: after each group."""
+
+    def tidied(table: pa.Table) -> pa.Table:
+        _HELD.clear()
+        try:
+            return run(table)
+        finally:
+            _give_back()
+
+    return tidied
+
+
+def pieces_of(batch: pa.RecordBatch, column: str = "text", rows: int = 5000, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most so many rows and, beyond one row, so many bytes of text."""
+    lengths = pa.compute.binary_length(batch.column(batch.schema.get_field_index(column))).fill_null(0)
+    ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
+    lo = 0
+    while lo < batch.num_rows:
+        before = ends[lo - 1] if lo else 0
+        hi = min(lo + rows, max(lo + 1, int(np.searchsorted(ends, before + size, side="right"))))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 class WordHash(dict):
     """64-bit hash of a word's bytes, computed once per word and forgotten when the memory is full."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_WORDS:
-            self.clear()
+            forget_half(self)
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
@@ -89,7 +158,7 @@ def keep_rows(df: DataFrame, choose: Callable[[], Callable[[list[str | None]], n
                 part = batch.slice(lo, rows)
                 yield part.filter(pa.array(np.asarray(chosen(list(strings(part, column))), bool)))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run, holds=True), df.schema)
 
 
 def text_bytes(df: DataFrame, column: str = "text") -> int:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import WordHash, mix, parts_for, saved, strings, text_bytes, words_of
+from opslog.llm.common import WordHash, mix, parts_for, pieces_of, saved, strings, text_bytes, tidy, tidy_group, words_of
 from opslog.llm.components import components
 
 SHINGLE = 5
@@ -40,6 +40,8 @@ HOT_RANK = 255
 TOKENS, HOT_COUNTS, PASSED, SIZES, MEMBERS = 0, 1, 2, 3, 4
 PART_BYTES = 12_000_000  # text behind one bucket: some two million tokens
 STAR_ROUNDS = 1
+SEEN = 200_000  # sets of a task that it doesn't send twice
+ROWS_AT_ONCE = 64
 
 PACKED = "part int, kind tinyint, cls binary, cnt binary, tok binary, rank binary, ids array<bigint>"
 PACKED_ARROW = pa.schema(
@@ -99,7 +101,7 @@ def _packed_sets(size: int, parts: int):
 
     def run(batches):
         words, seen = WordHash(), set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces_of(whole)):
             sets, classes, ns, fresh = [], [], [], []
             for text in strings(batch, "text"):
                 s = shingles(text, words, size)
@@ -107,7 +109,7 @@ def _packed_sets(size: int, parts: int):
                 classes.append(c)
                 ns.append(len(s))
                 if len(s) and (c, len(s)) not in seen:
-                    if len(seen) > 1_000_000:
+                    if len(seen) > SEEN:
                         seen.clear()
                     seen.add((c, len(s)))
                     sets.append(s)
@@ -121,10 +123,11 @@ def _packed_sets(size: int, parts: int):
                     out.append(_row(int(p), SIZES, cls=known[some], cnt=sized[some]))
                 tok = np.concatenate(sets)
                 own = np.repeat(known, sized)
+                sets.clear()
                 order = np.argsort(tok, kind="stable")
                 tok, own = tok[order], own[order]
                 values, counts = _runs(tok)
-                hot = counts >= max(64, len(sets) // 40)
+                hot = counts >= max(64, len(known) // 40)
                 is_hot = np.repeat(hot, counts)
                 if hot.any():
                     for p in np.unique(values[hot] >> shift):
@@ -137,6 +140,9 @@ def _packed_sets(size: int, parts: int):
                     lo, hi = edges[p], edges[p + 1]
                     if hi > lo:
                         out += _by_class(p, TOKENS, own[lo:hi], tok[lo:hi])
+                    if len(out) >= ROWS_AT_ONCE:
+                        yield pa.RecordBatch.from_pylist(out, schema=PACKED_ARROW)
+                        out = []
             yield pa.RecordBatch.from_pylist(out, schema=PACKED_ARROW)
 
     return run
@@ -254,9 +260,9 @@ class SimilarSets:
         self.num, self.den = num, den
         docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         parts = parts_for(text_bytes(docs), PART_BYTES)
-        packed = docs.mapInArrow(_packed_sets(size, parts), PACKED)
-        shared = packed.groupBy("part").applyInArrow(_count_tokens(parts), PACKED)
-        both = saved(shared.groupBy("part").applyInArrow(_prefixes(num, den), CLASS), "classes")
+        packed = docs.mapInArrow(tidy(_packed_sets(size, parts)), PACKED)
+        shared = packed.groupBy("part").applyInArrow(tidy_group(_count_tokens(parts)), PACKED)
+        both = saved(shared.groupBy("part").applyInArrow(tidy_group(_prefixes(num, den)), CLASS), "classes")
         self.members = both.filter(F.col("kind") == MEMBERS).select("doc_id", "cls", "n")
         self.classes = both.filter(F.col("kind") == TOKENS).drop("kind", "doc_id")
         one = self.classes.select(F.posexplode("pre1").alias("pos", "token"), "cls", "n", "centre", F.size("tokens").alias("shared"))

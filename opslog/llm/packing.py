@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opslog.llm.common import saved, strings
+from opslog.llm.common import saved, strings, tidy
 from opslog.llm.tokens import encoder
 
 SIZE = 2048
@@ -175,7 +175,7 @@ def pack(
     little-endian 32-bit integers.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = docs.mapInArrow(_pieces(tokenizer, spaced, size, end_id, with_ids), PIECE + ", ids binary" * with_ids)
+    made = docs.mapInArrow(tidy(_pieces(tokenizer, spaced, size, end_id, with_ids), holds=True), PIECE + ", ids binary" * with_ids)
     pieces = saved(made, "pieces")
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("many"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

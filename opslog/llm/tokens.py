@@ -12,9 +12,9 @@ import re
 
 import numpy as np
 
-from opslog.llm.common import tokenizer_path
+from opslog.llm.common import forget_half, held, tokenizer_path
 
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 400_000
 
 # Fixed: the white space of Unicode, without the four separators that Python adds to it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -50,18 +50,13 @@ class Encoder:
         new = [p for p in set(pieces) if p not in known]
         if new:
             if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = list(set(pieces))
+                forget_half(known)
+                new = [p for p in set(pieces) if p not in known]
             for p, e in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
                 known[p] = np.array(e.ids, "<u4").tobytes()
         return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
-
-
 def encoder(name: str, spaced: bool) -> Encoder:
     """The worker process's encoder: its pieces are kept from task to task."""
-    if (name, spaced) not in _ENCODERS:
-        _ENCODERS[name, spaced] = Encoder(name, spaced)
-    return _ENCODERS[name, spaced]
+    return held(("encoder", name, spaced), lambda: Encoder(name, spaced))

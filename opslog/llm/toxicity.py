@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import keep_rows, strings
+from opslog.llm.common import held, keep_rows, pieces_of, strings, tidy
 
 WINDOW, STEP = 32, 16
 HIDDEN, WIDTH = 8, 12
@@ -31,7 +31,7 @@ WORD_ROWS, GRAM_ROWS = 1 << 15, 1 << 14
 MAX_TOXIC, MAX_CLEAN = 1000, 2500
 WINDOWS_EACH = 4  # training windows of one toxic document, chosen anew each round
 THRESHOLD = 0.7
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 BATCH, STEPS = 512, 40  # windows a step at most, steps an epoch at least
 EDGE = re.compile(r"^\W+|\W+$")
 
@@ -244,15 +244,9 @@ class Model:
         return np.where(np.isfinite(x), _sigmoid(self.slope * np.where(np.isfinite(x), x, 0) + self.shift), 0.0)
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def _restored(key: str, *parts) -> Model:
     """The worker process's copy: the words it has met are kept from task to task."""
-    if key not in _MODELS:
-        _MODELS.clear()
-        _MODELS[key] = Model(*parts, key=key)
-    return _MODELS[key]
+    return held(("model", key), lambda: Model(*parts, key=key))
 
 
 class _Adagrad:
@@ -399,13 +393,9 @@ def labelled(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC
 
 def _score(model: Model | None):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces_of(whole, rows=500)):
             texts = list(strings(batch, "text"))
-            score = np.zeros(len(texts))
-            for lo in range(0, len(texts), 500):
-                part = texts[lo : lo + 500]
-                if model:
-                    score[lo : lo + 500] = model.scores(part)
+            score = model.scores(texts) if model else np.zeros(len(texts))
             kept = [c for c in batch.schema.names if c != "text"]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score)], names=[*kept, "score"])
@@ -420,7 +410,7 @@ def score(documents: DataFrame, model: Model | None, threshold: float = THRESHOL
     Null ids, repeated rows and an empty table are kept as they are; other columns are not read.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = docs.mapInArrow(_score(model), "doc_id bigint, score double")
+    scored = docs.mapInArrow(tidy(_score(model), holds=True), "doc_id bigint, score double")
     return scored.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
