@@ -271,6 +271,26 @@ def parse_router_web_query(spark, sf_dir):
     return text_time(parsed, "log_time", fmt="yyyy-MM-dd HH:mm:ss")
 
 
+@query(
+    "parse_web_zoned",
+    f"""WITH {E}
+SELECT event_id % 2 AS host_kind, {SQL_SECOND} AS log_time, count(*) AS n, {SQL_PARTS}
+FROM e GROUP BY ALL""",
+)
+def parse_web_zoned(spark, sf_dir):
+    """Hosts of two zones: each line lands in the second and hour of its instant."""
+    east = F.col("event_id") % 2 == 0
+    wall = F.when(east, F.col("ts") + F.expr("interval 9 hours")).otherwise(F.col("ts") - F.expr("interval 210 minutes"))
+    line = F.format_string(
+        '192.0.2.%d - - [%s %s] "GET / HTTP/1.1" 200 512',
+        "k", F.date_format(wall, "dd/MMM/yyyy:HH:mm:ss"), F.when(east, F.lit("+0900")).otherwise(F.lit("-0330")),
+    )
+    lines = source(spark, sf_dir).select(envelope(line, host=(F.col("event_id") % 2).cast("string")))
+    parsed = accepted(parse_web(lines, {"host": "host"}, zoned=True))
+    counted = parsed.groupBy(F.col("host").cast("bigint").alias("host_kind"), "log_time", "dt", "hh").agg(F.count("*").alias("n"))
+    return text_time(counted, "log_time", fmt="yyyy-MM-dd HH:mm:ss")
+
+
 @query(
     "alert_filter",
     "SELECT event_id FROM events WHERE event_type = 'error'",

@@ -21,7 +21,7 @@ from opslog.operators.uniques import client_visits
 from opslog.plans.upkeep import delete_range, drop_old_days, layout
 from opslog.session import scratch_dir
 from opslog.sinks.tables import export_csv, index_rows, merge_snapshot, save, save_raw, save_snapshot
-from opslog.sources.logs import import_router_log, import_session_log, read_stream
+from opslog.sources.logs import import_router_log, import_session_log, read_stream, refused_router_log, refused_session_log
 from opslog.sources.tables import read_window
 from opslog.spec import DAY, HOUR
 from opslog.streaming.aggregates import windowed
@@ -377,3 +377,36 @@ def import_session_log_query(spark, sf_dir):
     path = line_files(spark, events.select(line.alias("value")), "session-files")
     rows = import_session_log(spark, path).drop("router_id")
     return rows.withColumns({c: F.date_format(c, second) for c in ("log_time", "off_at")})
+
+
+@query(
+    "import_rejects",
+    f"""WITH e AS (SELECT *, {K} AS k FROM events)
+SELECT 'router' AS log, 'arguments' AS reject, printf('%06d', event_id) AS line FROM e WHERE k >= 90
+UNION ALL SELECT 'router', 'line', 'restarted ' || event_id FROM e WHERE k % 10 = 3
+UNION ALL SELECT 'session', CASE k % 4 WHEN 0 THEN 'line' WHEN 1 THEN 'arguments' ELSE 'time' END,
+  CASE k % 4 WHEN 0 THEN 'restarted ' || event_id
+    WHEN 1 THEN strftime(ts, '[%Y-%m-%d %H:%M:%S]') || ' at=' || event_id
+    ELSE '[2024-13-01 00:00:00] ' || repeat('v=1,', 8) || 'v=' || event_id END
+FROM e WHERE k % 4 < 3""",
+)
+def import_rejects(spark, sf_dir):
+    """Lines that an import refuses, each once, with the reason (of a router's line its session number)."""
+    events = table(spark, sf_dir, "events").withColumn("k", prop_k())
+    k, noise = F.col("k"), F.format_string("restarted %d", "event_id")
+    router = plain_lines(route_lines(spark, sf_dir)).unionAll(events.filter(k % 10 == 3).select(noise))
+    kinds = [
+        noise,
+        F.format_string("%s at=%d", F.date_format("ts", "'['yyyy-MM-dd HH:mm:ss']'"), "event_id"),
+        F.format_string("[2024-13-01 00:00:00] " + "v=1," * 8 + "v=%d", "event_id"),
+        F.format_string("[%s] " + "v=1," * 8 + "v=%d", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "event_id"),
+    ]
+    session = events.select(F.element_at(F.array(*kinds), k % 4 + 1).alias("value"))
+    refused = [
+        ("router", refused_router_log(spark, line_files(spark, router, "router-refused"))),
+        ("session", refused_session_log(spark, line_files(spark, session, "session-refused"))),
+    ]
+    number = F.regexp_extract("value", r"\[(\d+)_", 1)
+    line = F.when(number != "", number).otherwise(F.col("value")).alias("line")
+    parts = [rows.select(F.lit(log).alias("log"), "reject", line) for log, rows in refused]
+    return parts[0].unionAll(parts[1])

@@ -49,9 +49,13 @@ def parse_time(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit(RAW_TIME))
 
 
-def parse_web_time(text: Column) -> Column:
-    """``dd/MMM/yyyy:HH:mm:ss +zzzz`` as the wall clock the line shows."""
-    return F.try_to_timestamp(F.substring(text, 1, 20), F.lit("dd/MMM/yyyy:HH:mm:ss"))
+def parse_web_time(text: Column, zoned: bool = False) -> Column:
+    """``dd/MMM/yyyy:HH:mm:ss +zzzz`` as the wall clock the line shows, or ``zoned`` as the instant it means.
+
+    A line without an offset is wall clock in both cases.
+    """
+    wall = F.try_to_timestamp(F.substring(text, 1, 20), F.lit("dd/MMM/yyyy:HH:mm:ss"))
+    return F.coalesce(F.try_to_timestamp(text, F.lit("dd/MMM/yyyy:HH:mm:ss Z")), wall) if zoned else wall
 
 
 def instant(when: datetime) -> Column:

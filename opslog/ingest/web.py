@@ -17,17 +17,20 @@ WEB_COLUMNS = ["log_time", "host", "server_ip", "ret_code", "bytes"]
 ROUTER_WEB_COLUMNS = ["log_time", "host", "port"]
 
 
-def bracket_time(line: Column) -> Column:
+def bracket_time(line: Column, zoned: bool = False) -> Column:
     """Time between the first ``[`` and the next ``]``."""
-    return parse_web_time(F.regexp_extract(line, r"\[([^\]]*)\]", 1))
+    return parse_web_time(F.regexp_extract(line, r"\[([^\]]*)\]", 1), zoned)
 
 
-def parse_web(lines: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
-    """Web requests; ``fields`` maps columns to envelope fields, a missing one is empty."""
+def parse_web(lines: DataFrame, fields: dict[str, str] | None = None, zoned: bool = False) -> DataFrame:
+    """Web requests; ``fields`` maps columns to envelope fields, a missing one is empty.
+
+    ``zoned`` honours the offset of each line, for hosts of several zones; else the time is the wall clock it shows.
+    """
     fields = WEB_FIELDS if fields is None else fields
     names = list(dict.fromkeys(fields.values()))
     opened = compute_once(
-        open_envelope(lines, "message", *names), F.struct(bracket_time(F.col("message")).alias("log_time"))
+        open_envelope(lines, "message", *names), F.struct(bracket_time(F.col("message"), zoned).alias("log_time"))
     )
     shown = {}
     for column, field in fields.items():
@@ -46,9 +49,9 @@ def parse_web(lines: DataFrame, fields: dict[str, str] | None = None) -> DataFra
     return finish(parsed, "log_time", ["log_time", *fields])
 
 
-def parse_router_web(lines: DataFrame) -> DataFrame:
+def parse_router_web(lines: DataFrame, zoned: bool = False) -> DataFrame:
     opened = open_envelope(lines, "message", "host", "type")
-    shown = F.struct(bracket_time(F.col("message")).alias("log_time"))
+    shown = F.struct(bracket_time(F.col("message"), zoned).alias("log_time"))
     parsed = compute_once(opened, shown).select(
         "log_time",
         F.upper("host").alias("host"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from opslog.functions.text import client_mark, part, unwrap
 from opslog.functions.timekeys import parse_time
+from opslog.ingest.envelope import BAD_LINE, BAD_TIME, FEW_ARGUMENTS, first_reason
 from opslog.ingest.router import ROUTE_ARGUMENTS, split_line
 
 # A file name starts with the id of its router and an underscore; a session line is
@@ -22,14 +23,33 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def import_router_log(spark: SparkSession, path: str) -> DataFrame:
-    """Routing lines of plain router logs; other lines and those with too few arguments are left out."""
+def _router_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of router logs with their parts and why they are refused; lines of another kind than routing have no part here."""
     lines = read_lines(spark, path).withColumn("_p", split_line(F.col("value")))
     mode, args = F.get("_p", F.lit(2)), F.trim(F.get("_p", F.lit(4)))
     needed = F.when(mode == "Request", F.lit(ROUTE_ARGUMENTS["Request"])).otherwise(F.lit(ROUTE_ARGUMENTS["Response"]))
-    routed = lines.filter(
-        (F.size("_p") == 5) & (F.get("_p", F.lit(3)) == "Route") & (F.size(F.split(args, ",")) >= needed)
+    known = F.size("_p") == 5
+    reason = first_reason(
+        (known, BAD_LINE),
+        (F.size(F.split(args, ",")) >= needed, FEW_ARGUMENTS),
+        (parse_time(F.get("_p", F.lit(0))).isNotNull(), BAD_TIME),
     )
+    return lines.withColumn("reject", reason).filter(~known | (F.get("_p", F.lit(3)) == "Route"))
+
+
+def refused_router_log(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine of ``import_router_log``: router id, the untouched line and the reason; blank lines aren't lines."""
+    return _refused(_router_lines(spark, path))
+
+
+def _refused(lines: DataFrame) -> DataFrame:
+    return lines.filter(F.col("reject").isNotNull() & (F.trim("value") != "")).select("router_id", "value", "reject")
+
+
+def import_router_log(spark: SparkSession, path: str) -> DataFrame:
+    """Routing lines of plain router logs; ``refused_router_log`` has those that can't be read."""
+    routed = _router_lines(spark, path).filter(F.col("reject").isNull())
+    mode, args = F.get("_p", F.lit(2)), F.trim(F.get("_p", F.lit(4)))
     origin = F.get("_p", F.lit(1))
 
     def arg(of: str, index: int):
@@ -49,10 +69,25 @@ def import_router_log(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def import_session_log(spark: SparkSession, path: str) -> DataFrame:
-    lines = read_lines(spark, path)
+def _session_lines(spark: SparkSession, path: str) -> DataFrame:
     text = F.trim(F.regexp_extract("value", SESSION_LINE, 2))
-    pairs = lines.withColumn("_v", F.split(text, ",")).filter(F.size("_v") >= SESSION_VALUES)
+    lines = read_lines(spark, path).withColumn("_v", F.split(text, ","))
+    reason = first_reason(
+        (text != "", BAD_LINE),
+        (F.size("_v") >= SESSION_VALUES, FEW_ARGUMENTS),
+        (parse_time(F.regexp_extract("value", SESSION_LINE, 1)).isNotNull(), BAD_TIME),
+    )
+    return lines.withColumn("reject", reason)
+
+
+def refused_session_log(spark: SparkSession, path: str) -> DataFrame:
+    """The quarantine of ``import_session_log``."""
+    return _refused(_session_lines(spark, path))
+
+
+def import_session_log(spark: SparkSession, path: str) -> DataFrame:
+    """Session lines; ``refused_session_log`` has those that can't be read."""
+    pairs = _session_lines(spark, path).filter(F.col("reject").isNull())
 
     def at(i: int):
         return F.get(F.split(F.get("_v", F.lit(i)), "="), F.lit(1))

@@ -142,6 +142,9 @@ def test_text_helpers(spark):
     assert value(parse_time(F.lit("2024-01-01 07:08:01"))) == datetime(2024, 1, 1, 7, 8, 1)
     assert value(parse_time(F.lit("x"))) is None
     assert value(parse_web_time(F.lit("01/Feb/2024:10:00:00 +0900"))) == datetime(2024, 2, 1, 10)
+    assert value(F.unix_seconds(parse_web_time(F.lit("01/Feb/2024:10:00:00 -0330"), True))) == 1706794200
+    assert value(parse_web_time(F.lit("01/Feb/2024:10:00:00"), True)) == datetime(2024, 2, 1, 10)
+    assert value(parse_web_time(F.lit("no time"), True)) is None
 
 
 def test_partition_predicate_covers_every_hour(spark):
