@@ -3,7 +3,10 @@
 Every stretch of ``min_words`` words holds a fingerprint: of the rolling hashes over four fifths as many
 words that lie in it, the smallest is chosen (winnowing).  The choice depends on the stretch alone, so two places of
 one passage choose the same, whatever stands around them and whether lines or sentences end in it.  The first
-occurrence of a fingerprint (smallest id, then place) is the keeper.  A keeper's words go once to each
+occurrence of a fingerprint (smallest id, then place) is its keeper.  A fingerprint also carries a byte of
+each stretch of ``min_words`` words around it: where that differs from the keeper's, the first occurrence
+of the fingerprint with this stretch is a keeper too, so that each repeated stretch is compared with
+its own first holder, whatever part of it an earlier document has.  A keeper's words go once to each
 document that shares fingerprints with it; there the two are compared word by word, byte by byte (white
 space between words doesn't count), and extended to both sides until they differ.  What is equal for at
 least ``min_words`` words is removed from every document but the keeper.
@@ -24,11 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opslog.llm.common import CACHE_WORDS, free_names, mix, saved, strings
+from opslog.llm.common import CACHE_WORDS, forget_half, free_names, mix, pieces_of, saved, strings, tidy
 
 MIN_LINES = 2
 MIN_WORDS = 50
-DIVISOR = 2  # one line in so many ends a segment
 REQUESTS = 256  # of one keeper in a row, on average
 PART = 8  # words of a line that is not removed as a whole
 AT_ONCE = 300_000  # words fingerprinted together
@@ -55,41 +57,12 @@ def lines_of(text: str | None) -> list[str]:
     return out
 
 
-def chunks_of(texts: list[list[str]], divisor: int = DIVISOR) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first line, line after the last, hash) of every chunk of several texts' lines."""
-    sizes = np.array([len(t) for t in texts], np.int64)
-    lines = [line for t in texts for line in t]
-    if not lines:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    begin = (np.cumsum(sizes) - sizes)[owner]
-    h = np.fromiter((xxhash.xxh3_64_intdigest(s.strip().encode("utf-8", "replace")) for s in lines), np.uint64, len(lines))
-    fresh = np.concatenate([[True], owner[1:] != owner[:-1]])
-    before = np.concatenate([h[:1], mix(h[:-1])])
-    before[fresh] = 0
-    ends = mix(h + before) % np.uint64(divisor) == 0
-    ends |= np.fromiter((s.endswith("\n") for s in lines), bool, len(lines))
-    ends |= np.concatenate([fresh[1:], [True]])
-    edges = np.flatnonzero(ends) + 1
-    starts = np.concatenate([[0], edges[:-1]])
-    stops = edges[np.minimum(np.searchsorted(edges, starts + 2), len(edges) - 1)]
-    stops = np.minimum(stops, (begin + sizes[owner])[starts])
-    whole = stops - starts >= 2
-    starts, stops = starts[whole], stops[whole]
-    value = np.zeros(len(starts), np.uint64)
-    left = np.arange(len(starts))
-    for k in range(int((stops - starts).max(initial=0))):
-        left = left[starts[left] + k < stops[left]]
-        value[left] = mix(value[left] * np.uint64(0x9E3779B97F4A7C15) + h[starts[left] + k])
-    return owner[starts], starts - begin[starts], stops - begin[starts], value
-
-
 class Words(dict):
     """Hash of a word's bytes."""
 
     def __missing__(self, word: str) -> int:
         if len(self) >= CACHE_WORDS:
-            self.clear()
+            forget_half(self)
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace"))
         return value
 
@@ -98,9 +71,11 @@ STEP = 0x9E3779B97F4A7C15
 BACK = pow(STEP, -1, 2**64)
 
 
-def prints_of(texts: list[np.ndarray], min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first word, hash, period) of the fingerprints of several texts' hashed words.
+def prints_of(texts: list[np.ndarray], min_words: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
+    """(text, first word, hash, period, around) of the fingerprints of several texts' hashed words.
 
+    ``around`` has a byte for each stretch of ``min_words`` words that holds the fingerprint: from 1 on, 0 where a
+    stretch would leave the text; the first begins where the fingerprint does, the last ends where it ends.
     Where a hash comes again within ``min_words`` words, only the first of the chain stays, with the distance as its period.
     """
     size = max(1, 4 * min_words // 5)
@@ -108,10 +83,15 @@ def prints_of(texts: list[np.ndarray], min_words: int = MIN_WORDS) -> tuple[np.n
     sizes = np.array([len(t) for t in texts], np.int64)
     x = np.concatenate([np.zeros(0, np.uint64), *texts])
     if len(x) < min_words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(np.uint64), none, np.zeros((0, window), np.uint8)
     powers, inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(len(x), m, np.uint64)])) for m in (STEP, BACK))
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * inverse[:-1])])
-    h = mix((sums[size:] - sums[:-size]) * powers[: len(sums) - size])
+
+    def rolled(width: int) -> np.ndarray:
+        return mix((sums[width:] - sums[:-width]) * powers[: len(sums) - width])
+
+    h = rolled(size)
     owner = np.repeat(np.arange(len(texts)), sizes)
     begin = np.cumsum(sizes) - sizes
     first = np.arange(len(x) - min_words + 1)
@@ -126,13 +106,21 @@ def prints_of(texts: list[np.ndarray], min_words: int = MIN_WORDS) -> tuple[np.n
     period = np.zeros(len(p), np.int64)
     period[:-1][near] = (p[1:] - p[:-1])[near]
     at, period = p[stays], period[stays]
-    return t[stays], at - begin[t[stays]], v[stays], period
+    t, v = t[stays], v[stays]
+    whole = (rolled(min_words) % np.uint64(255)).astype(np.uint8) + np.uint8(1)
+    from_ = at[:, None] - np.arange(window)
+    inside = (from_ >= begin[t][:, None]) & (from_ + min_words <= (begin + sizes)[t][:, None])
+    around = np.where(inside, whole[np.clip(from_, 0, len(whole) - 1)], np.uint8(0))
+    return t, at - begin[t], v, period, around
+
+
+PRINT = "k1 bigint, k2 bigint, size int, start int, period int, h bigint, around binary"
 
 
 def _print_rows(min_words: int):
     def run(batches):
         known = Words()
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces_of(whole)):
             k1, k2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts, rows, held = [], [], 0
             for row, text in enumerate(strings(batch, "text")):
@@ -142,13 +130,14 @@ def _print_rows(min_words: int):
                     rows.append(row)
                     held += len(words)
                 if texts and (held >= AT_ONCE or row + 1 == batch.num_rows):
-                    text_no, start, value, period = prints_of(texts, min_words)
+                    text_no, start, value, period, around = prints_of(texts, min_words)
                     at = np.array(rows)[text_no]
                     sizes = np.array([len(t) for t in texts], np.int32)[text_no]
                     yield pa.RecordBatch.from_pydict(
                         {
                             "k1": k1[at], "k2": k2[at], "size": sizes, "start": start.astype(np.int32),
                             "period": period.astype(np.int32), "h": value.view(np.int64),
+                            "around": pa.array([row.tobytes() for row in around], pa.binary()),
                         }
                     )
                     texts, rows, held = [], [], 0
@@ -245,40 +234,9 @@ def removed_words(text: str, segments: list[dict], min_lines: int, min_words: in
     return cuts, len(lines), lost
 
 
-def removed_lines(lines: list[str], segments: list[dict], min_lines: int, min_words: int) -> np.ndarray:
-    """Which lines equal a keeper's, in runs that are long enough."""
-    plain = [s.strip() for s in lines]
-    gone = np.zeros(len(lines), bool)
-    for seg in segments:
-        first, kept = seg["first"], seg["lines"].split("\n")
-        lo, hi = max(0, first), min(len(plain), first + len(kept))
-        same = np.fromiter((plain[i] == kept[i - first] for i in range(lo, hi)), bool, max(0, hi - lo))
-        for m in seg["matches"]:
-            a, b = m["start"], m["stop"]
-            if a < lo or b > hi or not same[a - lo : b - lo].all():
-                continue
-            while a > lo and same[a - 1 - lo]:
-                a -= 1
-            while b < hi and same[b - lo]:
-                b += 1
-            gone[a:b] = True
-    at = 0
-    while at < len(gone):
-        if not gone[at]:
-            at += 1
-            continue
-        end = at
-        while end < len(gone) and gone[end]:
-            end += 1
-        if end - at < min_lines or sum(len(plain[i].split()) for i in range(at, end)) < min_words:
-            gone[at:end] = False
-        at = end
-    return gone
-
-
 def _rewrite(text_at: str, segments_at: str, added: tuple[str, str], min_lines: int, min_words: int):
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces_of(whole, text_at, rows=500)):
             texts, counts, gone_counts = [], [], []
             for text, segs in zip(strings(batch, text_at), batch.column(batch.schema.get_field_index(segments_at))):
                 cuts, lines, gone = removed_words(text, segs.as_py(), min_lines, min_words) if segs.is_valid else ([], len(lines_of(text)), 0)
@@ -296,6 +254,23 @@ def _rewrite(text_at: str, segments_at: str, added: tuple[str, str], min_lines:
     return run
 
 
+def _hits(shared: DataFrame) -> DataFrame:
+    """Occurrences of shared fingerprints, each with every ``keeper`` that it is compared with."""
+    place = F.struct("k1", "k2", "start")
+    first = shared.groupBy("h").agg(F.min(F.struct("k1", "k2", "start", "around")).alias("keeper"))
+    met = shared.join(first, "h")
+    by_print = met.filter(place != F.struct("keeper.k1", "keeper.k2", "keeper.start"))
+    # Stretches that the first occurrence doesn't have.
+    other = by_print.filter(F.col("around") != F.col("keeper.around")).withColumn("turn", F.explode(F.sequence(F.lit(1), F.length("around"))))
+    mark, kept = F.substring("around", F.col("turn"), F.lit(1)), F.substring("keeper.around", F.col("turn"), F.lit(1))
+    other = other.filter((mark != kept) & (mark != F.lit(b"\0"))).select("h", "turn", mark.alias("mark"), "k1", "k2", "size", "start")
+    holders = other.groupBy("h", "turn", "mark").agg(F.min(place).alias("keeper"), F.count("*").alias("many")).filter("many > 1").drop("many")
+    by_stretch = other.join(holders, ["h", "turn", "mark"]).filter(place != F.col("keeper"))
+    columns = ["k1", "k2", "size", "start"]
+    plain = by_print.select(*columns, F.struct("keeper.k1", "keeper.k2", "keeper.start").alias("keeper"))
+    return plain.unionAll(by_stretch.select(*columns, "keeper"))
+
+
 def dedup_lines(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``documents`` with repeated passages cut from ``text``, plus ``n_lines`` and ``n_removed`` (lines that lose something).
 
@@ -308,12 +283,12 @@ def dedup_lines(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int
         {f1: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))), f2: F.xxhash64(F.col("text"))}
     )
     rows = keyed.select(F.col(f1).alias("k1"), F.col(f2).alias("k2"), F.col("text").cast("string").alias("text"))
-    prints = saved(rows.mapInArrow(_print_rows(min_words), "k1 bigint, k2 bigint, size int, start int, period int, h bigint"), "prints")
+    prints = saved(rows.mapInArrow(tidy(_print_rows(min_words)), PRINT), "prints")
     again = prints.groupBy("h").agg(F.count("*").alias("many")).filter("many > 1").select("h")
     shared = saved(prints.join(again, "h"), "shared")
-    keepers = shared.groupBy("h").agg(F.min(F.struct("k1", "k2", "start")).alias("keeper"))
-    hits = shared.join(keepers, "h").filter(F.struct("k1", "k2", "start") != F.col("keeper"))
-    hits = hits.select(F.col("keeper.k1").alias(f1), F.col("keeper.k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "size", "start", (F.col("start") - F.col("keeper.start")).alias("shift"))
+    hits = _hits(shared).select(
+        F.col("keeper.k1").alias(f1), F.col("keeper.k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "size", "start", (F.col("start") - F.col("keeper.start")).alias("shift")
+    )
     inside = prints.filter("period > 0").select(
         F.col("k1").alias(f1), F.col("k2").alias(f2), F.col("k1").alias("r1"), F.col("k2").alias("r2"), "size", (F.col("start") + F.col("period")).alias("start"), F.col("period").alias("shift")
     )
@@ -325,10 +300,10 @@ def dedup_lines(documents: DataFrame, min_lines: int = MIN_LINES, min_words: int
     spread = pairs.join(many, [f1, f2]).withColumn("row", F.pmod(F.xxhash64("r1", "r2"), F.col("rows")))
     asked = spread.groupBy(f1, f2, "row").agg(F.collect_list(F.struct("r1", "r2", "size", "matches")).alias(asks)).drop("row")
     # Both joins move the same rows by the same key: Spark shuffles the texts once.
-    found = keyed.join(asked, [f1, f2]).mapInArrow(_segments(("text", asks, f1, f2)), SEGMENT)
+    found = keyed.join(asked, [f1, f2]).mapInArrow(tidy(_segments(("text", asks, f1, f2))), SEGMENT)
     own = found.groupBy(F.col("r1").alias(f1), F.col("r2").alias(f2)).agg(
         F.collect_set(F.struct("matches", "first", "words")).alias(segs)
     )
     joined = keyed.join(own, [f1, f2], "left").select(*documents.columns, segs)
     schema = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in documents.schema)
-    return joined.mapInArrow(_rewrite("text", segs, (n_lines, n_removed), min_lines, min_words), f"{schema}, {n_lines} int, {n_removed} int")
+    return joined.mapInArrow(tidy(_rewrite("text", segs, (n_lines, n_removed), min_lines, min_words)), f"{schema}, {n_lines} int, {n_removed} int")
