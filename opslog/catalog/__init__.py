@@ -8,7 +8,7 @@ from opslog.catalog.base import REGISTRY, Entry
 
 MODULES = [
     "uniques", "gauges", "pairs", "outcomes", "concurrent", "rollups", "dashboards", "ingests", "basics",
-    "jobs", "live",
+    "jobs", "live", "lake_jobs",
 ]
 
 
