@@ -12,15 +12,16 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from opslog.catalog.base import K, prop_k, query, table
+from opslog.catalog.base import K, mean_units, prop_k, query, table, units
+from opslog.catalog.concurrent import leveled_iv, sweep
 from opslog.catalog.ingests import SQL_MAC, STAMP, envelope, source
 from opslog.ingest.envelope import accepted
 from opslog.ingest.router import parse_route, parse_status
 from opslog.ingest.sessions import parse_probe, parse_session
-from opslog.ingest.web import parse_web
+from opslog.ingest.web import parse_router_web, parse_web
 from opslog.plans.lake import Lake
 from opslog.plans.rollups import ROLLUPS
-from opslog.plans.run import backfill, run_day, run_rollup
+from opslog.plans.run import backfill, publish_dashboard, run_day, run_rollup
 from opslog.session import scratch_dir
 from opslog.sinks.tables import save, save_snapshot
 from opslog.spec import DAY, HOUR, MINUTE, MONTH
@@ -367,3 +368,145 @@ def job_web(spark, sf_dir):
         )
     )
     return all_grains(new_lake(spark, sf_dir, web_log=parse_web(lines)), "web", "web")
+
+
+# ---- averages of averages, in whole units of 1e-12 ------------------------------
+
+ENT = """ent AS (SELECT 'server' AS level, * FROM dim UNION SELECT 'site', app_id, site_id, '*' FROM dim
+  UNION SELECT 'app', app_id, '*', '*' FROM dim)"""
+
+
+def chained(name: str, keys: str, minute: str = "CAST(a AS DOUBLE) / 1000000000000") -> str:
+    """Hours, days and months of CTE ``m(stat_key, keys, a, lo, hi)``; ``minute`` is the average its own rows show."""
+    step = f"{keys}, {mean_units('a')} AS a, min(lo) AS lo, max(hi) AS hi"
+    shown = f"{keys}, CAST(a AS DOUBLE) / 1000000000000 AS avg_{name}, lo AS min_{name}, hi AS max_{name}"
+    return f"""hourly AS (SELECT stat_key[1:10] AS stat_key, {step} FROM m GROUP BY stat_key[1:10], {keys}),
+daily AS (SELECT stat_key[1:8] AS stat_key, {step} FROM hourly GROUP BY stat_key[1:8], {keys})
+SELECT 'minute' AS grain, stat_key, {keys}, {minute} AS avg_{name}, lo AS min_{name}, hi AS max_{name} FROM m
+UNION ALL SELECT 'hour', stat_key, {shown} FROM hourly
+UNION ALL SELECT 'day', stat_key, {shown} FROM daily
+UNION ALL SELECT 'month', stat_key[1:6], {shown} FROM daily"""
+
+
+ID_KEYS = "level, app_id, site_id, server_ip"
+MINUTE_KEY = "strftime(bucket, '%Y%m%d%H%M')"
+
+
+@query(
+    "job_session",
+    f"""WITH {LINES},
+s AS (SELECT date_trunc('minute', t) AS bucket, server_ip, CAST(sum(k) AS DOUBLE) / count(*) AS a, min(k) AS lo, max(k) AS hi
+  FROM e WHERE k < 90 AND k % 3 > 0 AND event_type IN ('view', 'click') GROUP BY ALL),
+z AS ({filled("s", ["a", "lo", "hi"])}), g AS ({every_grain("z", ("minute",))}),
+m AS (SELECT * EXCLUDE (grain) FROM (SELECT {LEVELED}, {mean_units(units("a"))} AS a, min(lo) AS lo, max(hi) AS hi FROM g {SETS})),
+{chained("session", ID_KEYS)}""",
+)
+def job_session(spark, sf_dir):
+    """Users that open sessions report, averaged over servers, then over time."""
+    return all_grains(new_lake(spark, sf_dir, status_log=status_log(spark, sf_dir)), "session", "session")
+
+
+# Sessions as ``sweep`` reads them: its server column is called server_id.
+RUNNING = f"""ses AS (SELECT mac, app_id, site_id, server_ip AS server_id, epoch_us(s) // 1000000 AS s,
+    epoch_us(s) // 1000000 + k AS e
+  FROM (SELECT date_trunc('second', t) AS s, k, mac, dim.* FROM e JOIN dim USING (server_ip)
+        WHERE k < 90 AND event_type IN ('error', 'purchase')))"""
+CCU = f"""{ENT}, {RUNNING}, {sweep(60, leveled_iv("ses", "mac"))},
+m AS (SELECT strftime(cal.bucket, '%Y%m%d%H%M') AS stat_key, ent.*, coalesce(avg_ccu, 0) AS own,
+    coalesce({units("avg_ccu")}, 0) AS a, coalesce(min_ccu, 0) AS lo,
+    coalesce(max_ccu, 0) AS hi
+  FROM cal CROSS JOIN ent LEFT JOIN ccu ON ccu.bucket = cal.bucket AND ccu.level = ent.level
+    AND ccu.app_id = ent.app_id AND ccu.site_id = ent.site_id AND ccu.server_id = ent.server_ip)"""
+
+
+@query("job_ccu", f"WITH {LINES}, {CCU}, {chained('ccu', ID_KEYS, 'own')}")
+def job_ccu(spark, sf_dir):
+    """Concurrent users at every level; sessions that run over a window's border count on both sides."""
+    return all_grains(new_lake(spark, sf_dir, session_log=session_log(spark, sf_dir)), "ccu", "ccu")
+
+
+RATE = """CAST(sum(n) AS DOUBLE) / 60 AS a, CASE WHEN count(*) = 60 THEN min(n) ELSE 0 END AS lo, max(n) AS hi"""
+
+
+def rate_sql(entity: str, device: str, frame: str) -> str:
+    """CTE ``m``: requests per second of devices and, averaged, of their sites."""
+    return f"""p AS (SELECT date_trunc('second', t) AS sec, {entity} AS {device}, count(*) AS n FROM e WHERE k < 90 GROUP BY ALL),
+s AS (SELECT date_trunc('minute', sec) AS bucket, {device}, {RATE} FROM p GROUP BY ALL),
+z AS (SELECT {MINUTE_KEY} AS stat_key, site_id, {device}, coalesce(a, 0) AS a, coalesce(lo, 0) AS lo, coalesce(hi, 0) AS hi
+  FROM cal CROSS JOIN ({frame}) LEFT JOIN s USING (bucket, {device})),
+m AS (SELECT stat_key, CASE WHEN GROUPING({device}) = 1 THEN 'site' ELSE '{device.split("_")[0]}' END AS level, site_id,
+    coalesce({device}, '*') AS {device}, {mean_units(units("a"))} AS a, min(lo) AS lo, max(hi) AS hi
+  FROM z GROUP BY GROUPING SETS ((stat_key, site_id, {device}), (stat_key, site_id)))"""
+
+
+def hits(spark, sf_dir, host):
+    hit = F.format_string(
+        '192.0.2.%d - - [%s +0900] "GET / HTTP/1.1" 200 512', "k", F.date_format("ts", "dd/MMM/yyyy:HH:mm:ss")
+    )
+    text = F.when(F.col("k") >= 90, F.lit("no time here")).otherwise(hit)
+    return played(spark, sf_dir).select(
+        envelope(text, host=host, type=F.lit("csr: 8080"), css_ip=F.col("server"), ret_code=F.lit("200"), bytes=F.lit("1"))
+    )
+
+
+def rates(spark, sf_dir, name):
+    router = hits(spark, sf_dir, F.col("router"))
+    web = hits(spark, sf_dir, F.concat(F.lit("h"), (F.col("k") % 30).cast("string")))
+    lake = new_lake(spark, sf_dir, router_web_log=parse_router_web(router), web_log=parse_web(web))
+    return all_grains(lake, "tps", name)
+
+
+@query(
+    "job_tps_router",
+    f"""WITH {LINES}, {rate_sql("'R' || (user_id % 5)", "router_id",
+    "SELECT r_name AS site_id, 'R' || r_regionkey AS router_id FROM region")},
+{chained("tps", "level, site_id, router_id")}""",
+)
+def job_tps_router(spark, sf_dir):
+    """Requests per second of routers."""
+    return rates(spark, sf_dir, "tps_router")
+
+
+@query(
+    "job_tps_web",
+    f"""WITH {LINES}, {rate_sql("'H' || (k % 30)", "host_name",
+    "SELECT n_name AS site_id, 'H' || n_nationkey AS host_name FROM nation")},
+{chained("tps", "level, site_id, host_name")}""",
+)
+def job_tps_web(spark, sf_dir):
+    """Requests per second of web hosts."""
+    return rates(spark, sf_dir, "tps_web")
+
+
+@query(
+    "job_dashboard",
+    f"""WITH {LINES}, {CCU}, {OFFS},
+lst AS (SELECT max(bucket) AS bucket FROM cal),
+c AS (SELECT app_id, site_id, hi AS ccu FROM m, lst WHERE level = 'site' AND stat_key = strftime(bucket, '%Y%m%d%H%M')),
+v AS (SELECT app_id, site_id, count(DISTINCT mac) AS uv, count(*) AS pv FROM f JOIN dim USING (server_ip), lst
+  WHERE date_trunc('minute', s) = bucket GROUP BY ALL),
+b AS (SELECT app_id, site_id, CAST(floor(max({CENTS}) / 100.0) AS BIGINT) AS traffic FROM e JOIN dim USING (server_ip), lst
+  WHERE k < 90 AND event_type IN ('view', 'click') AND date_trunc('minute', t) = bucket GROUP BY ALL),
+snap AS (SELECT d.app_id, d.site_id, coalesce(ccu, 0) AS ccu, coalesce(uv, 0) AS uv, coalesce(pv, 0) AS pv,
+    coalesce(traffic, 0) AS traffic
+  FROM (SELECT DISTINCT app_id, site_id FROM dim) d LEFT JOIN c USING (app_id, site_id)
+  LEFT JOIN v USING (app_id, site_id) LEFT JOIN b USING (app_id, site_id))
+SELECT app_id || '_' || site_id AS id, CAST(ccu AS BIGINT) AS ccu, CAST(uv AS BIGINT) AS uv, CAST(pv AS BIGINT) AS pv,
+  CAST(traffic AS BIGINT) AS traffic FROM snap
+UNION ALL SELECT app_id, CAST(sum(ccu) AS BIGINT), CAST(sum(uv) AS BIGINT), CAST(sum(pv) AS BIGINT),
+  CAST(sum(traffic) AS BIGINT) FROM snap GROUP BY app_id""",
+)
+def job_dashboard(spark, sf_dir):
+    """The newest minute of three job tables side by side, published and read back."""
+    lake = new_lake(spark, sf_dir, session_log=session_log(spark, sf_dir))
+    for job in ("ccu", "uvpv", "bandwidth"):
+        backfill(lake, job, BEGIN, END, STEP)
+    path = scratch_dir(spark, "dashboard")
+    for hour in (22, 23):  # the second upserts the first
+        at = BEGIN + timedelta(hours=hour)
+        publish_dashboard(lake, at, at + timedelta(hours=1), path, at)
+    shown = spark.read.csv(
+        f"{path}/version={BEGIN + timedelta(hours=23):%Y%m%d%H%M%S}", sep="|",
+        schema="id STRING, ccu BIGINT, uv BIGINT, pv BIGINT, traffic BIGINT, chg_date TIMESTAMP",
+    )
+    return shown.drop("chg_date")
