@@ -63,3 +63,39 @@ def test_odd_rows_and_empty_table(spark):
     df = odd_cases(spark)
     assert lic.licenses(df).count() == 0
     assert lic.licenses(df.limit(0)).count() == 0
+
+
+def test_other_names_and_versions_are_no_match(spark):
+    texts = [
+        "Licensed under the Foobar License.", "Distributed under the Eclipse License.", "Licensed under CC BY-NC 6.0.",
+        "Released under the GNU General Public License, version 1.", "Released under the BSD 4-Clause License.",
+        "Licensed under CC BY-NC 2.0.", "Licensed under the Mozilla Public License, Version 2.0.",
+    ]
+    rows = lic.licenses(documents(spark, texts)).collect()
+    assert sorted((r["doc_id"], r["license"]) for r in rows) == [(4, "BSD-4-Clause"), (5, "CC-BY-NC-2.0"), (6, "MPL-2.0")]
+
+
+def test_places_equal_brute_force():
+    """Every window of every length, aligned in full, finds no license that the key words miss."""
+    rnd = random.Random(4)
+    known = lic.Templates(lic.named_templates())
+    notices = [(k, t) for k, (_, t) in enumerate(known.texts) if len(t) <= 10]
+    words = {n: w for w, n in known.numbers.items()}
+    for _ in range(60):
+        k, template = rnd.choice(notices)
+        text = [words[w] for w in template]
+        for _ in range(rnd.randint(0, 2)):
+            text[rnd.randrange(len(text))] = rnd.choice(["other", "the", "3.0"])
+        text = prose(rnd, 1).split() + text + prose(rnd, 1).split()
+        numbers = [known[w] for w in text]
+        want = set()
+        for key, t in known.texts:
+            j = next(i for i, (_, x) in enumerate(known.texts) if x is t)
+            if len(t) > len(text):
+                continue
+            pairs = lic.align(t, numbers)
+            if len(pairs) >= lic.COVERAGE * len(t) and known.required[j] <= {t[p] for p, _ in pairs}:
+                want.add(key)
+        got = {f[0] for f in known.find(" ".join(text), lic.COVERAGE)}
+        assert got <= want
+        assert bool(got) == bool(want)
