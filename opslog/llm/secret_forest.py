@@ -1,7 +1,9 @@
 """Secrets in text: candidates by pattern, false positives removed by a random forest.
 
 Everything runs on SQL functions and the forest of Spark's own machine-learning library, in the JVM.  A
-candidate is a run of at least ``SHORTEST`` key characters with a digit in it.  The forest sees its
+candidate is a run of at least ``SHORTEST`` key characters with a digit in it, or whatever follows the name of a
+secret and ``=`` or ``:``, of ``SHORTEST_NAMED`` characters or more, with or without digits and marks, in quotes or not
+(a quotation mark ends it).  The forest sees its
 length, how often its characters change class, how many are distinct, how much of it common words
 cover, whether it is part of a path or address, and what the words before and after it say.
 """
@@ -19,6 +21,17 @@ from opslog.llm.common import saved
 SHORTEST = 16
 RUN = rf"[A-Za-z0-9+/_=\-]{{{SHORTEST},}}"
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z+/_=\-]*[0-9]){RUN}"
+SHORTEST_NAMED = 6
+NAME = (
+    r"(?:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_-]?key)?|(?:auth[_-]?)?token|(?:api|access|private)[_-]?key|"
+    r"authorization|credentials?)"
+)
+QUOTE = r"[\"'`]"
+NAMED_TEXT = rf"(?i)(?<![A-Za-z]){NAME}{QUOTE}?\s*[:=]+\s*{QUOTE}?[^\s\"'`]{{{SHORTEST_NAMED}}}"
+NAMED_WORD = rf"(?i)(?<![A-Za-z]){NAME}{QUOTE}?[:=]+{QUOTE}?([^\s\"'`]{{{SHORTEST_NAMED},}})"
+NAME_BEFORE = rf"(?i)(?<![A-Za-z]){NAME}{QUOTE}?\s*[:=]+\s*{QUOTE}?$"
+VALUE_AFTER = rf"^{QUOTE}?([^\s\"'`]{{{SHORTEST_NAMED},}})"
+TAIL = r"[,;.)\]}>]+$"
 TREES, DEPTH = 24, 8
 MAX_FINDINGS = 2000
 THRESHOLD = 0.5
@@ -46,31 +59,40 @@ def candidates(documents: DataFrame, path: str | None = None) -> DataFrame:
     """Findings before any judgement: doc_id, word_no, value, and the words around it.
 
     ``path`` names a column that says where a row comes from.  Only texts with a candidate are
-    cut into words; null and empty texts have none.
+    cut into words; null and empty texts have none, very long ones are read whole, repeated rows count each.
+    Of a word, a named value comes first, then runs that it does not hold.
     """
     source = F.col(path).cast("string") if path else F.lit(None).cast("string")
     docs = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), source.alias("source")
-    ).filter(F.col("text").rlike(CANDIDATE))
+    ).filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(NAMED_TEXT))
     words = docs.select("doc_id", "source", F.split("text", r"\s+").alias("words"))
-    placed = words.select(
-        "doc_id",
-        "source",
-        F.explode(
-            F.expr(
-                f"filter(transform(words, (w, i) -> struct(i AS no, w AS word, "
-                f"array_join(slice(words, greatest(i - 3, 0) + 1, least(i, 3)), ' ') AS before, "
-                f"array_join(slice(words, i + 2, 2), ' ') AS after)), "
-                f"x -> length(x.word) >= {SHORTEST} AND x.word RLIKE r'{CANDIDATE}')"
-            )
-        ).alias("w"),
+    placed = words.select("doc_id", "source", F.explode(F.transform("words", _around)).alias("w")).select(
+        "doc_id", "source", F.col("w.no").alias("word_no"), "w.word", "w.before", "w.after"
+    )
+    said = F.regexp_extract("word", NAMED_WORD, 1)
+    after = F.when(F.col("before").rlike(NAME_BEFORE), F.regexp_extract("word", VALUE_AFTER, 1)).otherwise(F.lit(""))
+    named = F.regexp_replace(F.when(said != "", said).otherwise(after), TAIL, "")
+    # A name in front of a value joined by "=" belongs to the context, not to the value.
+    runs = F.transform(
+        F.regexp_extract_all("word", F.lit(f"({CANDIDATE})"), 1),
+        lambda run: F.regexp_replace(run, r"^[A-Za-z_\-]{1,24}=(?=.{8})", ""),
     )
-    return placed.select(
-        "doc_id", "source", F.col("w.no").alias("word_no"), F.col("w.word").alias("word"), F.col("w.before").alias("before"),
-        F.col("w.after").alias("after"), F.posexplode(F.regexp_extract_all("w.word", F.lit(f"({CANDIDATE})"), 1)).alias("part", "raw"),
-    ).withColumn(
-        # A name in front of a value joined by "=" belongs to the context, not to the value.
-        "value", F.regexp_replace("raw", r"^[A-Za-z_\-]{1,24}=(?=.{8})", ""),
+    long_enough = F.length("word") >= SHORTEST_NAMED
+    found = placed.filter(long_enough & (F.col("word").rlike(CANDIDATE) | (named != ""))).withColumn("_named", named)
+    bare = lambda run: F.regexp_replace(run, r"^[A-Za-z_\-]{1,24}=", "")
+    beside = F.filter(runs, lambda run: ~F.contains(F.col("_named"), bare(run)) & ~F.contains(run, F.nullif("_named", F.lit(""))))
+    values = F.when(F.col("_named") == "", runs).otherwise(F.concat(F.array("_named"), beside))
+    return found.select("doc_id", "source", "word_no", "word", "before", "after", F.posexplode(values).alias("part", "value"))
+
+
+def _around(word: Column, no: Column) -> Column:
+    """A word with its place, up to three words before it and two after it."""
+    words, first = F.col("words"), F.greatest(no - 3, F.lit(0)) + 1
+    return F.struct(
+        no.alias("no"), word.alias("word"),
+        F.array_join(F.slice(words, first, F.least(no, F.lit(3))), " ").alias("before"),
+        F.array_join(F.slice(words, no + 2, F.lit(2)), " ").alias("after"),
     )
 
 
@@ -144,7 +166,7 @@ def planted_findings(documents: DataFrame, most: int = MAX_FINDINGS) -> DataFram
     """Labelled findings where none are at hand: known secrets and known look-alikes put among words of the documents.
 
     Values come from digests of the row's id, so that none is a real one; contexts are three words of the
-    document.  At most ``most`` documents (smallest hash of the id) give one finding of every form.
+    document.  Equal ids give the same findings, an empty table none.  At most ``most`` documents (smallest hash of the id) give one finding of every form.
     """
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.filter(F.col("doc_id").isNotNull() & (F.length("text") > 20))
@@ -174,6 +196,18 @@ def planted_findings(documents: DataFrame, most: int = MAX_FINDINGS) -> DataFram
         (0, F.concat(secret_name, F.lit("="), chosen(31, "xxxxxxxxxxxxxxx1", "your_password_here_1", "change-this-value-123", "0000000000000000", "1234567890123456", "example_token_value_1")), pick(32)),
         (0, F.concat_ws("-", F.lit("2024"), F.lit("01"), name(33), name(34), name(35), F.lit("release")), pick(36)),
     ]
+    idle = ("required", "optional", "undefined", "getpass()", "os.environ", "${PASSWORD}", "changeme", "your_password", "********", "string;")
+    after_name = lambda k: F.concat_ws(" ", pick(k), F.concat(secret_name, chosen(k + 1, ":", "=", " =", " :")))
+    forms += [
+        (1, F.left("m", size(41, 8, 15)), after_name(42)),
+        (1, F.concat(F.left("m", F.lit(4)), F.lit("!"), F.left(hexed, F.lit(3)), F.lit(".@"), F.substring("m", 10, 5), F.lit("#"), F.right("m", F.lit(2))), after_name(44)),
+        (1, F.concat(secret_name, chosen(46, "=", ":"), name(47), name(48), name(49), name(50), name(51)), pick(52)),
+        (1, F.concat(secret_name, chosen(53, "=", ":"), name(54), F.substring(F.regexp_replace("d", "[a-f]", ""), 2, 3)), pick(55)),
+        (0, name(56), after_name(57)),
+        (0, chosen(59, *idle), after_name(60)),
+        (0, F.concat(secret_name, chosen(62, "=", ":"), chosen(63, *idle)), pick(64)),
+        (0, F.concat(secret_name, F.lit("="), name(65)), pick(66)),
+    ]
     planted = [F.struct(F.concat_ws(" ", before, word, pick(40)).alias("text"), F.lit(y).alias("label")) for y, word, before in forms]
     made = near.select("doc_id", F.explode(F.array(*planted)).alias("p")).select("doc_id", "p.text", "p.label")
     found = candidates(made.withColumn("doc_id", F.col("doc_id") * 2 + F.col("label")))

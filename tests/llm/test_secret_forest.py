@@ -43,3 +43,26 @@ def test_odd_rows_empty_table_and_no_labels(spark):
     assert sec.fit(found.withColumn("label", F.lit(1))) is None
     assert sec.fit(sec.planted_findings(df.limit(0))) is None
     assert [r["predicted"] for r in sec.judge(found, None).collect()] == [1]
+
+
+def test_named_values_of_any_form(spark):
+    texts = [
+        "password: hunter2hunter", "x password=correcthorsebatterystaple y", "my pwd = s3cr3tPass.", 'token="Zq9!x.7@pL&2vR#8mK"',
+        "the password is short: no", "password=abc", "compass: northwards", "DB_PASSWORD='abc,def.x', next",
+        "api-key\n: \n qwertyuiop", 'password=hunter2;other=ab12cd34ef56ab78cd90',
+    ]
+    rows = sec.candidates(documents(spark, texts)).collect()
+    assert sorted((r["doc_id"], r["part"], r["value"]) for r in rows) == [
+        (0, 0, "hunter2hunter"), (1, 0, "correcthorsebatterystaple"), (2, 0, "s3cr3tPass"), (3, 0, "Zq9!x.7@pL&2vR#8mK"),
+        (7, 0, "abc,def.x"), (8, 0, "qwertyuiop"), (9, 0, "hunter2;other=ab12cd34ef56ab78cd90"),
+    ]
+
+
+def test_forest_knows_named_secrets_from_plain_words(spark):
+    rnd = random.Random(2)
+    docs = documents(spark, [prose(rnd, 6) for _ in range(240)])
+    model = sec.fit(sec.planted_findings(docs))
+    texts = ["password: hunter2hunter", "password=correcthorsebatterystaple", "pwd = s3cr3tPass", 'token="Zq9!x.7@pL&2vR#8mK"']
+    plain = ["password: required", "token = undefined", "secret: changeme", "password=your_password"]
+    found = sec.judge(sec.candidates(documents(spark, texts + plain)), model)
+    assert {(r["doc_id"], r["predicted"]) for r in found.collect()} == {(i, int(i < 4)) for i in range(8)}
