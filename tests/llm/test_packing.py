@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 import numpy as np
 import pytest
 
-from opslog.llm import packing
+from opslog.llm import packing, tokens
 from opslog.llm.tokens import encoder
 from tests.llm.common import documents, odd_cases, prose
 
@@ -90,3 +90,33 @@ def test_odd_rows_and_empty_table(spark):
     check(rows, packing.SIZE)
     assert sum(r["piece"] == 0 for r in rows) == df.count()
     assert packing.pack(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_frequent_pieces_are_encoded_once(name, spaced, monkeypatch):
+    """A small memory keeps what comes again and again, whatever comes once; new pieces go to the tokenizer together."""
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 300)
+    own, rnd, given = tokens.Encoder(name, spaced), np.random.default_rng(3), []
+
+    class Recorder:
+        def __init__(self, model):
+            self.model = model
+
+        def __getattr__(self, key):
+            return getattr(self.model, key)
+
+        def encode_batch_fast(self, texts, **options):
+            given.append(list(texts))
+            return self.model.encode_batch_fast(texts, **options)
+
+    own.model = Recorder(own.model)
+    letters = list("abdeéß.,'S1²<é")
+    texts = []
+    for _ in range(60):
+        rare = ["".join(rnd.choice(letters, 9)) for _ in range(20)]
+        texts.append("start " + " ".join([*rare, "often", "again."]) + "\n next it's\t \x1c x")
+    for text in texts:
+        assert own.encode(text).tolist() == own.model.model.encode(text, add_special_tokens=False).ids
+    words = " ".join(t for call in given for t in call).split()
+    assert [words.count(w) for w in ("often", "again.", "next")] == [1, 1, 1]
+    assert sum(len(call) for call in given) < sum(len(set(t.split())) for t in texts) // 2
