@@ -89,10 +89,23 @@ def _runs(owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner[starts], np.diff(np.append(starts, len(owner)))
 
 
+def _narrow(counts) -> bytes:
+    """Counts in as few bytes each as the largest needs: one stands beside every class of every bucket."""
+    counts = np.asarray(counts, np.int64)
+    top = int(counts.max(initial=0))
+    return counts.astype("<u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+
+
+def _counted(row: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of a packed row and their counts."""
+    cls = np.frombuffer(row["cls"], np.uint64)
+    return cls, np.frombuffer(row["cnt"], f"<u{len(row['cnt']) // len(cls) if len(cls) else 1}").astype(np.int32)
+
+
 def _row(part: int, kind: int, cls=(), cnt=(), tok: bytes = b"", rank=(), ids=None) -> dict:
     return {
         "part": part, "kind": kind, "cls": np.asarray(cls, np.uint64).tobytes(),
-        "cnt": np.asarray(cnt, np.int32).tobytes(), "tok": tok, "rank": np.asarray(rank, np.uint8).tobytes(), "ids": ids,
+        "cnt": _narrow(cnt), "tok": tok, "rank": np.asarray(rank, np.uint8).tobytes(), "ids": ids,
     }
 
 
@@ -158,7 +171,7 @@ def _entries(table: pa.Table, kind: int) -> tuple[np.ndarray, np.ndarray, np.nda
     """(class, token, rank) of all packed rows of a kind."""
     own, tok, rank = [], [], []
     for row in table.filter(pa.compute.equal(table["kind"], kind)).select(["cls", "cnt", "tok", "rank"]).to_pylist():
-        own.append(np.repeat(np.frombuffer(row["cls"], np.uint64), np.frombuffer(row["cnt"], np.int32)))
+        own.append(np.repeat(*_counted(row)))
         tok.append(_unpack(row["tok"]))
         rank.append(np.frombuffer(row["rank"], np.uint8))
     empty = np.zeros(0, np.uint64)
@@ -204,7 +217,7 @@ def _prefixes(num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         sizes = {}
         for row in table.filter(pa.compute.equal(table["kind"], SIZES)).select(["cls", "cnt"]).to_pylist():
-            sizes.update(zip(np.frombuffer(row["cls"], np.uint64).tolist(), np.frombuffer(row["cnt"], np.int32).tolist()))
+            sizes.update(zip(*(x.tolist() for x in _counted(row))))
         own, tok, rank = _entries(table, TOKENS)
         order = np.lexsort((tok, own))
         own, tok, rank = own[order], tok[order], rank[order]
@@ -240,7 +253,7 @@ def _prefixes(num: int, den: int):
 def _members(table: pa.Table) -> pa.Table:
     out = [CLASS_ARROW.empty_table()]
     for row in table.filter(pa.compute.equal(table["kind"], MEMBERS)).select(["cls", "cnt", "ids"]).to_pylist():
-        cls, cnt = np.frombuffer(row["cls"], np.uint64), np.frombuffer(row["cnt"], np.int32)
+        cls, cnt = _counted(row)
         fixed = {
             "kind": pa.array(np.full(len(cls), MEMBERS, np.int8)), "doc_id": pa.array(row["ids"], pa.int64()),
             "cls": pa.array(cls.view(np.int64)), "n": pa.array(cnt),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 
 from opslog.llm import ngram_join, queries
 from opslog.llm.components import components
@@ -108,3 +110,16 @@ def test_query_equals_sql(spark, data):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
     want = con.execute(queries.SQL["op1_ngram_jaccard_join"]).fetchall()
     assert sorted(tuple(r) for r in df.collect()) == sorted(want)
+
+
+def test_counts_beside_classes_are_narrow():
+    """With many buckets a class has few tokens in each: the count beside it must not weigh as much as they do."""
+    rnd = np.random.default_rng(5)
+    texts = [" ".join(map(str, rnd.integers(0, 10**6, n))) for n in (70_000, 400, 300, 6, 3)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(5)), "text": texts})
+    rows = [r for out in ngram_join._packed_sets(5, 256)([batch]) for r in out.to_pylist()]
+    tokens = [r for r in rows if r["kind"] == ngram_join.TOKENS]
+    assert sum(len(r["cnt"]) for r in tokens) <= 2 * sum(len(r["cls"]) // 8 for r in tokens)
+    assert sum(int(ngram_join._counted(r)[1].sum()) for r in tokens) == sum(len(r["tok"]) // 7 for r in tokens) == 69_996 + 396 + 296 + 2 + 1
+    members = [r for r in rows if r["kind"] == ngram_join.MEMBERS]
+    assert ngram_join._counted(members[0])[1].tolist() == [69_996, 396, 296, 2, 1]
