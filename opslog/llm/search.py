@@ -296,8 +296,7 @@ def search(documents: DataFrame, queries: DataFrame, k: int = K, terms: int | No
     total = index.mapInArrow(_sizes, "docs bigint, words bigint").agg(F.sum("docs").alias("docs"), F.sum("words").alias("words")).first()
     many, average = total["docs"] or 0, (total["words"] or 0) / max(1, total["docs"] or 0)
     wanted = saved(asked.filter("query_id IS NOT NULL").mapInArrow(_query_terms, "query_id bigint, term bigint, tf bigint"), "terms")
-    df = index.mapInArrow(_frequencies, "term bigint, df bigint").join(wanted.select("term").distinct(), "term", "left_semi")
-    df = df.groupBy("term").agg(F.sum("df").alias("df"))
+    df = index.mapInArrow(_frequencies, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
     idf = F.log(1 + (F.lit(float(many)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     chosen = wanted.join(df, "term").select("query_id", "term", "df", idf.alias("weight"), (idf * F.col("tf") / (F.col("tf") + K1)).alias("rate"))
     if terms is not None:

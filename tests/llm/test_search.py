@@ -115,3 +115,24 @@ def test_all_words_of_a_text_are_its_query(spark):
         want = whole(texts, asked[q], 10)
         assert [d for d, _ in rows] == [d for d, _ in want]
         assert [round(s, 6) for _, s in rows] == [round(s, 6) for _, s in want]
+
+
+def test_counts_of_segments_are_summed_before_the_join(spark, monkeypatch):
+    """A term is joined to the queries once, not once for every segment that has it."""
+    plans, kept = [], search.saved
+
+    def saved(df, label):
+        if label == "queries":
+            plans.append(df._jdf.queryExecution().analyzed().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(search, "saved", saved)
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice(["often", "again", f"w{rnd.randrange(50)}"]) for _ in range(30))) for i in range(200)]
+    docs = documents(spark, rows)
+    asked = docs.filter("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
+    assert search.search(docs, asked, 3, segment_words=200).count() == 30
+    assert len(plans) == 1
+    assert "LeftSemi" not in plans[0]
+    below = plans[0][plans[0].index("Join Inner") :]
+    assert below.index("Aggregate") < below.index("MapInArrow")
