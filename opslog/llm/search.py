@@ -5,15 +5,18 @@ block of postings the largest frequency and the shortest document.  Document cou
 length are sums over all segments, so that every segment scores with the statistics of the whole table and
 the best of each segment merge into the exact best of all.  A query walks its lists in document order
 and skips a document, or all documents up to the next block border, where the sum of the
-bounds cannot reach the k-th best score.  A query of over ``SHORT`` terms, as whole texts are, goes term by term
-instead, the largest bounds first: once the bounds of the rest cannot reach the k-th best score, only
-documents met so far are followed, and fewer with every term.  The k-th best score of the segments a task has
+bounds cannot reach the k-th best score.  Queries of over ``SHORT`` terms, as whole texts are, are taken many at a
+time: the postings of rare terms are added up, and a document whose sum, with the bounds of its block for the
+frequent terms, cannot reach the k-th best score is done with.  Where few are left they are scored one by one; else
+the frequent terms of all these queries are added for all documents by one product of matrices in single precision, and what
+may be among the best within its error is scored again exactly.  The k-th best score of the segments a task has
 done is where the next one starts.
 """
 
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -24,11 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opslog.llm.common import WordHash, saved, strings
+from opslog.llm.common import WordHash, saved, strings, tidy
 
 K, K1, B = 10, 1.2, 0.75
 SHORT = 12  # terms up to which a query walks its lists
-STEPS = 16  # terms between two looks at the k-th best score
+OFTEN = 128  # of so many documents of a segment one holds a frequent term
+CELLS = 4_000_000  # frequent terms times documents of a segment
+DOCS_BLOCK = 64
+QUERIES_AT_ONCE = 256
+FEW = 64  # of so many documents one may reach the k-th best score: scored one by one
+ROUNDING = 2.0**-22  # a term: twice what two single-precision sums can differ by
 POSTINGS_BLOCK = 64
 SEGMENT_WORDS = 4_000_000
 QUERY_BLOCK, BLOCK_TERMS = 4096, 400_000
@@ -100,7 +108,6 @@ class Segment:
         sizes = -(-np.diff(self.starts) // POSTINGS_BLOCK)
         self.block_at = np.concatenate([[0], np.cumsum(sizes)])
         self.parts = self.part(self.post_tf, self.lengths[self.post_doc])
-        self.most = np.maximum.reduceat(self.parts, self.starts[:-1]) if len(self.terms) else self.parts
 
     def part(self, tf, length):
         """Share of a term's weight that a frequency in a document of some length earns."""
@@ -174,68 +181,92 @@ class Segment:
         return [(s, -d) for s, d, _ in heap]
 
 
-    def best_of_many(self, terms: np.ndarray, weights: np.ndarray, k: int, least: float) -> list[tuple[float, int]]:
-        """As ``best``, without documents that score under ``least``: all terms by falling bounds."""
+    def _prepare(self) -> None:
+        """What long queries need: frequent terms as rows over the documents with block maxima, and the terms of each document."""
+        many, self.many = np.diff(self.starts), len(self.docs)
+        often = np.flatnonzero(many * OFTEN >= self.many)
+        if len(often) * self.many > CELLS:
+            often = np.sort(often[np.argsort(-many[often], kind="stable")[: CELLS // self.many]])
+        self.row = np.full(len(self.terms), -1)
+        self.row[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), self.many), np.float32)
+        for row, (a, b) in zip(self.dense, zip(self.starts[often], self.starts[often + 1])):
+            row[self.post_doc[a:b]] = self.parts[a:b]
+        self.caps = np.maximum.reduceat(self.dense, np.arange(0, self.many, DOCS_BLOCK), axis=1)
+        order = np.argsort(self.post_doc.astype(np.uint16) if self.many <= 1 << 16 else self.post_doc, kind="stable")
+        self.own_term, self.own_part = np.repeat(np.arange(len(self.terms), dtype=np.int32), many)[order], self.parts[order]
+        self.own_at = np.append(0, np.cumsum(np.bincount(self.post_doc, minlength=self.many)))
+        self.value = np.zeros(len(self.terms))
+
+    def best_of_long(self, asked: list[tuple[np.ndarray, np.ndarray]], k: int, least: list[float]) -> Iterator[list[tuple[float, int]]]:
+        """As ``best`` for each of several queries of many terms, without documents that score under its ``least``."""
         if not len(self.terms):
-            return []
-        i = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
-        known = self.terms[i] == terms
-        i, weights = i[known], weights[known]
-        bounds = weights * self.most[i]
-        order = np.argsort(-bounds, kind="stable").tolist()
-        rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0.0).tolist()
-        starts, weigh = self.starts, weights.tolist()
-        slack = 1 + 1e-9  # sums in another order round apart
-        total = np.zeros(len(self.docs))
-
-        def kth(scores: np.ndarray) -> float:
-            return max(least, float(np.partition(scores, -k)[-k]) / slack) if len(scores) >= k else least
-
-        at = 0
-        while at < len(order) and rest[at] * slack >= kth(total):
-            for j in order[at : at + STEPS]:
-                a, b = starts[i[j]], starts[i[j] + 1]
-                total[self.post_doc[a:b]] += weigh[j] * self.parts[a:b]
-            at = min(at + STEPS, len(order))
-        some = np.flatnonzero(total)
-        total = total[some]
-
-        def met(j: int) -> tuple[np.ndarray, np.ndarray]:
-            a, b = starts[i[j]], starts[i[j] + 1]
-            place = np.searchsorted(self.post_doc[a:b], some)
-            place[place == b - a] = 0
-            here = np.flatnonzero(self.post_doc[a:b][place] == some)
-            return here, weigh[j] * self.parts[a:b][place[here]]
-
-        while True:
-            keep = (total + rest[at]) * slack >= kth(total)
-            some, total = some[keep], total[keep]
-            if at == len(order) or not len(some):
-                break
-            for j in order[at : at + STEPS]:
-                here, parts = met(j)
-                total[here] += parts
-            at = min(at + STEPS, len(order))
-        # The sum in order of terms is the same in every segment: equal texts have equal scores.
-        total[:] = 0
-        for j in range(len(i) if len(some) else 0):
-            here, parts = met(j)
-            total[here] += parts
+            yield from ([] for _ in asked)
+            return
+        self._prepare()
+        step = max(1, min(QUERIES_AT_ONCE, CELLS // self.many))
+        for lo in range(0, len(asked), step):
+            yield from self._best_of_some(asked[lo : lo + step], k, np.array(least[lo : lo + step]))
+
+    def _best_of_some(self, asked: list[tuple[np.ndarray, np.ndarray]], k: int, least: np.ndarray) -> Iterator[list[tuple[float, int]]]:
+        often = np.zeros((len(asked), len(self.dense)), np.float32)
+        scores = np.zeros((len(asked), self.many), np.float32)
+        known = []
+        for q, (terms, weights) in enumerate(asked):
+            i = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+            here = self.terms[i] == terms
+            i, weights = i[here], weights[here]
+            known.append((i, weights))
+            row = self.row[i]
+            often[q, row[row >= 0]] = weights[row >= 0]
+            i, weights = i[row < 0], weights[row < 0]
+            at, times = _ranges(self.starts[i], self.starts[i + 1])
+            scores[q] = np.bincount(self.post_doc[at], np.repeat(weights, times) * self.parts[at], self.many)
+        # Scores of the rare terms and block bounds of the frequent ones: documents that cannot reach the bar are done with.
+        bounds = scores + np.repeat(often @ self.caps, DOCS_BLOCK, axis=1)[:, : self.many]
+        slack = 1 + ROUNDING * np.array([len(i) + 16 for i, _ in known])
+        may = bounds * slack[:, None] >= least[:, None]
+        few = np.count_nonzero(may, axis=1) * FEW <= self.many
+        scores[~few] += often[~few] @ self.dense
+        for q, (i, weights) in enumerate(known):
+            if few[q]:
+                some = np.flatnonzero(may[q])
+            else:
+                some = np.flatnonzero((scores[q] * slack[q] >= least[q]) & (scores[q] > 0))
+                if len(some) > k:
+                    near = scores[q][some]
+                    some = some[near * slack[q] >= np.partition(near, -k)[-k]]
+            yield self._exact(some, i, weights, k)
+
+    def _exact(self, some: np.ndarray, i: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The best of some documents; each sum is in order of terms in every segment, so that equal texts have equal scores."""
+        at, times = _ranges(self.own_at[some], self.own_at[some + 1])
+        self.value[i] = weights
+        total = np.bincount(np.repeat(np.arange(len(some)), times), self.value[self.own_term[at]] * self.own_part[at], len(some))
+        self.value[i] = 0
         ids = self.docs[some]
-        return [(float(total[j]), int(ids[j])) for j in np.lexsort((ids, -total))[:k]]
+        return [(float(total[j]), int(ids[j])) for j in np.lexsort((ids, -total))[:k] if total[j] > 0]
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places from each start to its end, and how many each range has."""
+    times = ends - starts
+    before = np.cumsum(times) - times
+    return np.arange(int(times.sum())) + np.repeat(starts - before, times), times
 
 
 def _run(queries: list[tuple[int, np.ndarray, np.ndarray]], average: float, k: int):
     def run(batches):
         heaps: list[list[float]] = [[] for _ in queries]  # the k best scores of the task's segments
+        long = [n for n, (_, terms, _) in enumerate(queries) if len(terms) > SHORT]
+        short = [n for n, (_, terms, _) in enumerate(queries) if len(terms) <= SHORT]
         for batch in batches:
             for row in batch.to_pylist():
                 segment, found = Segment(row, average), []
-                for heap, (q, terms, weights) in zip(heaps, queries):
-                    if len(terms) <= SHORT:
-                        best = segment.best(list(zip(terms.tolist(), weights.tolist())), k)
-                    else:
-                        best = segment.best_of_many(terms, weights, k, heap[0] if len(heap) == k else 0.0)
+                walked = (segment.best(list(zip(*(x.tolist() for x in queries[n][1:]))), k) for n in short)
+                least = [heaps[n][0] if len(heaps[n]) == k else 0.0 for n in long]
+                for n, best in itertools.chain(zip(short, walked), zip(long, segment.best_of_long([queries[n][1:] for n in long], k, least))):
+                    q, heap = queries[n][0], heaps[n]
                     for s, d in best:
                         found.append((q, d, s))
                         (heapq.heappush if len(heap) < k else heapq.heappushpop)(heap, s)
@@ -243,7 +274,7 @@ def _run(queries: list[tuple[int, np.ndarray, np.ndarray]], average: float, k: i
                 names = ["query_id", "doc_id", "score"]
                 yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate(kinds)], names=names)
 
-    return run
+    return tidy(run)
 
 
 def _query_terms(batches):

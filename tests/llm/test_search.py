@@ -136,3 +136,63 @@ def test_counts_of_segments_are_summed_before_the_join(spark, monkeypatch):
     assert "LeftSemi" not in plans[0]
     below = plans[0][plans[0].index("Join Inner") :]
     assert below.index("Aggregate") < below.index("MapInArrow")
+
+
+def scored(texts, queries, weights, average, k, bars=1):
+    """What one task finds for queries of hashed words, and the Python calls it takes."""
+    import sys
+
+    import pyarrow as pa
+
+    size = -(-len(texts) // bars)
+    rows = [search._segment(list(range(lo, min(len(texts), lo + size))), texts[lo : lo + size]) for lo in range(0, len(texts), size)]
+    batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema([(n, pa.binary()) for n in search.NAMES]))
+    asked = [(n, q, np.array([weights[int(t)] for t in q])) for n, q in enumerate(queries)]
+    calls, found = [0], {}
+
+    def count(frame, event, arg):
+        calls[0] += event in ("call", "c_call")
+
+    run = search._run(asked, average, k)([batch])
+    sys.setprofile(count)
+    try:
+        parts = list(run)
+    finally:
+        sys.setprofile(None)
+    for part in parts:
+        for row in part.to_pylist():
+            found.setdefault(row["query_id"], []).append((-row["score"], row["doc_id"]))
+    return {q: [(d, -s) for s, d in sorted(v)[:k]] for q, v in found.items()}, calls[0]
+
+
+def test_long_queries_are_exact_whatever_the_segments():
+    """Frequent and rare words, copies, short and very long texts, one and many segments: the scores of all documents."""
+    rnd = np.random.default_rng(11)
+    for bars, n in ((1, 3), (1, 500), (7, 500), (40, 700), (1, 2000)):
+        texts = [(rnd.zipf(1.25, int(rnd.choice([0, 1, 30, 200, 900], p=[0.05, 0.1, 0.5, 0.3, 0.05]))) % 5000).astype(np.uint64) for _ in range(n)]
+        texts += [texts[i] for i in rnd.integers(0, n, n // 4)]
+        average = sum(map(len, texts)) / len(texts)
+        df = Counter(int(t) for x in texts for t in np.unique(x))
+        weights = {t: math.log(1 + (len(texts) - df[t] + 0.5) / (df[t] + 0.5)) for t in range(5000)}
+        queries = [np.unique(texts[i]) for i in rnd.integers(0, len(texts), 25)]
+        got, _ = scored(texts, queries, weights, average, 10, bars)
+        bags = [dict(zip(*np.unique(x, return_counts=True))) for x in texts]
+        for q, terms in enumerate(queries):
+            want = []
+            for d, bag in enumerate(bags):
+                long = search.K1 * (1 - search.B + search.B * len(texts[d]) / average)
+                parts = [weights[int(t)] * bag[t] * (search.K1 + 1) / (bag[t] + long) for t in terms if t in bag]
+                if parts:
+                    want.append((-math.fsum(parts), d))
+            want = sorted(want, key=lambda x: (round(x[0], 9), x[1]))[:10]
+            assert [d for d, _ in got.get(q, [])] == [d for _, d in want]
+            assert all(abs(s + t) < 1e-9 for (_, s), (t, _) in zip(got.get(q, []), want))
+
+
+def test_the_steps_of_a_long_query_dont_grow_with_its_terms():
+    rnd = np.random.default_rng(5)
+    texts = [rnd.choice(3000, 600, replace=False).astype(np.uint64) for _ in range(300)]
+    weights = dict.fromkeys(range(3000), 1.5)
+    _, some = scored(texts, [np.sort(t[:60]) for t in texts[:100]], weights, 600.0, 5)
+    _, many = scored(texts, [np.sort(t) for t in texts[:100]], weights, 600.0, 5)
+    assert many < 1.5 * some
