@@ -110,8 +110,8 @@ def _pieces(tokenizer: str, spaced: bool, size: int, end_id: int, with_ids: bool
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), strings(batch, "text")):
-                ids = np.concatenate([model.encode(text), end])
+            for doc, own in zip(batch.column(0).to_pylist(), model.encode_all(strings(batch, "text"))):
+                ids = np.concatenate([own, end])
                 cut = (len(ids) - 1) % size + 1
                 edges = [0, *range(cut, len(ids) + 1, size)]
                 for k, (a, b) in enumerate(zip(edges, edges[1:])):

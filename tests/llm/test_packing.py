@@ -120,3 +120,50 @@ def test_frequent_pieces_are_encoded_once(name, spaced, monkeypatch):
     words = " ".join(t for call in given for t in call).split()
     assert [words.count(w) for w in ("often", "again.", "next")] == [1, 1, 1]
     assert sum(len(call) for call in given) < sum(len(set(t.split())) for t in texts) // 2
+
+
+class _Counted:
+    """A tokenizer that says which texts it got."""
+
+    def __init__(self, model):
+        self.own, self.given = model, []
+
+    def __getattr__(self, key):
+        return getattr(self.own, key)
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += texts
+        return self.own.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_known_words_under_new_endings_need_no_tokenizer(name, spaced):
+    own = tokens.Encoder(name, spaced)
+    own.model = _Counted(own.model)
+    own.encode(" bandorest éléanti, it's! 12- Überan")
+    own.model.given.clear()
+    for text in (" bandorest, éléanti! it's", " bandorest! it's, 12!", " éléanti- bandorest- Überan,", *([] if spaced else [" BANDOREST, überan! IT'S-"])):
+        assert own.encode(text).tolist() == own.model.own.encode(text, add_special_tokens=False).ids
+    assert not own.model.given
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_proven_merges_give_the_tokenizers_ids(name, spaced, monkeypatch):
+    """New words of letters need no tokenizer once the merges alone had its ids; where they hadn't, all go to it."""
+    monkeypatch.setattr(tokens, "PROOF", 50)
+    rnd = np.random.default_rng(7)
+    letters, ends = list("abdeéßÀÿsztrnßZE"), ["", "", ",", ".", "'s", "'", ")!", "-x", "́", "ñ9", "İ", "Σ", "×"]
+    texts = [" ".join("".join(rnd.choice(letters, rnd.integers(1, 9))) + rnd.choice(ends) for _ in range(40)) for _ in range(120)]
+    plain = ["".join(rnd.choice(letters, 12)) for _ in range(300)]
+    for broken in (False, True):
+        own = tokens.Encoder(name, spaced)
+        if broken:
+            merges = own.merges
+            monkeypatch.setattr(own, "merges", lambda word, merges=merges: merges(word)[:-1])
+        own.model = _Counted(own.model)
+        for text, ids in zip(texts, own.encode_all(texts)):
+            assert ids.tolist() == own.model.own.encode(text, add_special_tokens=False).ids
+        own.model.given.clear()
+        text = " " + " ".join(plain)
+        assert own.encode(text).tolist() == own.model.own.encode(text, add_special_tokens=False).ids
+        assert bool(own.model.given) == broken
