@@ -56,7 +56,7 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> by
         chunks.append(rows)
         zeros.append(len(x) - before)
         if level:
-            x = np.concatenate([x[~ones], x[ones]])
+            x = np.concatenate([np.compress(~ones, x), np.compress(ones, x)])
     known = np.array([d is not None for d in doc_ids], bool)
     values = np.array([d or 0 for d in doc_ids], "<i8")
     docs = pack.compress(known.tobytes() + values.tobytes() + np.cumsum(lengths).astype("<i8").tobytes())
@@ -162,9 +162,10 @@ class WaveletFile:
         x = np.zeros(self.n, kind)
         for level in reversed(range(self.levels)):
             raw = np.concatenate([self._chunk(level, k) for k in range(len(self.chunks[level]))])
-            ones = np.unpackbits(raw, count=self.n, bitorder="little").astype(bool)
+            ones = np.unpackbits(raw, count=self.n, bitorder="little").view(bool)
             y = np.empty_like(x)
-            y[~ones], y[ones] = x[: self.zeros[level]], x[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
+            x[self.zeros[level] :] |= kind(1 << (self.levels - 1 - level))
+            y[np.flatnonzero(~ones)], y[np.flatnonzero(ones)] = x[: self.zeros[level]], x[self.zeros[level] :]
             x = y
         return x.astype("<u4")
 
@@ -199,8 +200,8 @@ def _write_shards(folder: str, tokenizer: str, spaced: bool, shard_tokens: int):
         task = TaskContext.get().partitionId()
         end = np.array([END_ID], "<u4")
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), strings(batch, "text")):
-                x = np.concatenate([model.encode(text), end])
+            for doc, own in zip(batch.column(0).to_pylist(), model.encode_all(strings(batch, "text"))):
+                x = np.concatenate([own, end])
                 ids.append(x)
                 docs.append(doc)
                 count += len(x)
