@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from opslog.llm import line_chunks
 from tests.llm.common import documents, odd_cases, prose, sentence, word
 
@@ -107,3 +110,35 @@ def test_an_earlier_part_of_a_passage_hides_none(spark):
     assert all(p in got[60 + k]["text"] for k, p in enumerate(passages))
     assert sum(p in got[120 + k]["text"] for k, p in enumerate(passages)) == 0
     assert all(got[120 + k]["text"].startswith(third[k].split(passages[k])[0].strip()[:-12]) for k in range(60))
+
+
+def test_words_are_hashed_as_split_parts_them():
+    rnd = random.Random(3)
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [None, "", "a" * 300_000 + " b", *("".join(rnd.choice([*spaces, *"abé€​⁰" * 4]) for _ in range(30)) for _ in range(300))]
+    hashes, counts = line_chunks.word_hashes(pa.array(texts, pa.string()).slice(1))
+    words = [(t or "").split() for t in texts[1:]]
+    assert counts.tolist() == [len(w) for w in words]
+    known = {}
+    assert all(known.setdefault(w, h) == h for w, h in zip((w for ws in words for w in ws), hashes.tolist()))
+    assert len(set(known.values())) == len(known)
+
+
+def test_few_fingerprints_hold_every_stretch():
+    texts = [np.random.default_rng(k).integers(0, 2**63, n).astype(np.uint64) for k, n in enumerate((20_000, 49, 50, 51, 3000))]
+    text, start, *_ = line_chunks.prints_of(texts)
+    for k, words in enumerate(texts):
+        places = np.sort(start[text == k])
+        assert len(places) <= 0.11 * len(words) + 1  # two in twelve words before
+        ends = np.concatenate([[-1], places, [max(-1, len(words) - 30 + 1)]])
+        assert np.diff(ends).max() <= 21 or len(words) < 50
+    assert not (text == 1).any() and (text == 2).sum() == 1
+
+
+def test_a_match_without_starts_counts_from_end_to_end():
+    words = [f"w{i}" for i in range(400)]
+    other = [*words[:150], "other", *words[151:340], "other", *words[341:]]
+    seg = {"words": " ".join(other), "first": 0, "matches": [{"shift": 0}]}
+    cuts, _, _ = line_chunks.removed_words(" ".join(words), [seg], 2, 50)
+    text = " ".join(words)
+    assert cuts == [(0, text.index("w150")), (text.index("w151"), text.index("w340")), (text.index("w341"), len(text))]
