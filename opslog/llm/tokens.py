@@ -28,7 +28,7 @@ import numpy as np
 
 from opslog.llm.common import held, tokenizer_path
 
-CACHE_PIECES = 800_000  # in two generations: pieces met in the younger one's time outlive the older one
+CACHE_PIECES = 1_400_000  # in two generations: pieces met in the younger one's time outlive the older one
 
 # Fixed: the white space of Unicode, without the four separators that Python adds to it.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -37,9 +37,9 @@ PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 # Pieces whose normal form has the bytes of their lower case.
 PLAIN = re.compile(r"[!-~\xc0-\xff]+")
-# A word and the marks after its last letter or digit.
-ENDED = re.compile(r"(.*[A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff])([!-/:-@\[-`{-~]+)", re.DOTALL)
-MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+# What a word may end in before the marks after it.
+ENDS = frozenset(c for c in map(chr, range(256)) if re.fullmatch(r"[A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff]", c))
 LETTERS = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 PROOF = 2000
 # The tokenizers' characters for the bytes of those.
@@ -63,6 +63,7 @@ class Encoder:
         self.proven = 0  # words of letters whose merges were the tokenizer's ids; below 0: not all
         self.merges = self.model.model.tokenize
         vocabulary, ending = self.model.get_vocab(), self.model.model.end_of_word_suffix or ""
+        self.packed = {i: struct.pack("<I", i) for i in vocabulary.values()}
         self.widths = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.widths[i] = len(token.removesuffix(ending))
@@ -108,8 +109,11 @@ class Encoder:
 
     def _word(self, piece: str) -> tuple[str, str]:
         """A piece's word, by which it is remembered, and the marks after it."""
-        found = ENDED.fullmatch(piece) if piece[-1] in MARKS else None
-        word, marks = found.groups() if found else (piece, "")
+        word, marks = piece, ""
+        if piece[-1] in MARKS:
+            end = len(piece.rstrip(MARKS))
+            if end and piece[end - 1] in ENDS:
+                word, marks = piece[:end], piece[end:]
         return (word.lower() if not self.spaced and PLAIN.fullmatch(word) else word), marks
 
     def _learn(self, new: list[str]) -> None:
@@ -120,6 +124,9 @@ class Encoder:
         rest: list[tuple[str, str, str]] = []
         proven = self.proven >= PROOF
         for p in new:
+            if proven and self.spaced and LETTERS.fullmatch(p):
+                known[p] = self._merged(p)
+                continue
             word, marks = (p, "") if self.spaced and p[-1] not in MARKS else self._word(p)
             ids = None if word == p else known.get(word) or older.get(word)
             if ids is None and proven and LETTERS.fullmatch(word):
@@ -148,8 +155,7 @@ class Encoder:
             word = "".join([BYTES[c] for c in word])
         elif word[0] == " ":
             word = BYTES[" "] + word[1:]
-        ids = [t.id for t in self.merges(word)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join([self.packed[t.id] for t in self.merges(word)])
 
     def _ask(self, asked: list[tuple[str, str, str]]) -> None:
         """Ids of pieces, of their words and of the marks after them, by the tokenizer."""

@@ -167,3 +167,16 @@ def test_proven_merges_give_the_tokenizers_ids(name, spaced, monkeypatch):
         text = " " + " ".join(plain)
         assert own.encode(text).tolist() == own.model.own.encode(text, add_special_tokens=False).ids
         assert bool(own.model.given) == broken
+
+
+def test_half_a_million_pieces_are_still_the_younger_ones():
+    own = tokens.Encoder("byte_bpe_50k.json", True)
+    own.known = dict.fromkeys(map(str, range(500_000)), b"")
+    assert own.encode("Some new words.").tolist() == own.model.encode("Some new words.", add_special_tokens=False).ids
+    assert "7" in own.known and not own.older
+
+
+def test_marks_after_a_letter_or_digit_are_parted():
+    own = tokens.Encoder("word_bpe_49k.json", False)
+    parted = {"Word.": ("word", "."), "É9...": ("é9", "..."), "a.b!": ("a.b", "!"), "...": ("...", ""), "×.": ("×.", ""), "ж.": ("ж.", ""), "a": ("a", "")}
+    assert {p: own._word(p) for p in parted} == parted
