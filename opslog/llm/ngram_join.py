@@ -141,10 +141,11 @@ def _packed_sets(size: int, parts: int):
                 tok, own = tok[order], own[order]
                 values, counts = _runs(tok)
                 hot = counts >= max(64, len(known) // 40)
-                is_hot = np.repeat(hot, counts)
-                if hot.any():
-                    for p in np.unique(values[hot] >> shift):
-                        some = values[hot & ((values >> shift) == p)]
+                is_hot, values = np.repeat(hot, counts), values[hot]
+                del order, counts, hot  # as large as the tokens, and not needed while the rows are made
+                if len(values):
+                    for p in np.unique(values >> shift):
+                        some = values[(values >> shift) == p]
                         out.append(_row(int(p), HOT_COUNTS, tok=_pack(some)))
                     out += _by_class(fresh[0] % parts, PASSED, own[is_hot], tok[is_hot])
                     tok, own = tok[~is_hot], own[~is_hot]

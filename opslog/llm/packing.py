@@ -100,13 +100,13 @@ def _plan(histogram: np.ndarray, size: int, passes: tuple[bool, ...], deep: int)
     return out
 
 
-def _pieces(tokenizer: str, spaced: bool, size: int, end_id: int, with_ids: bool):
+def _pieces(tokenizer: str, spaced: bool, size: int, end_id: int, with_ids: bool, remembered: int | None = None):
     names = [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * with_ids
 
     def run(batches):
         from pyspark import TaskContext
 
-        task, model, end = TaskContext.get().partitionId(), encoder(tokenizer, spaced), np.array([end_id], "<u4")
+        task, model, end = TaskContext.get().partitionId(), encoder(tokenizer, spaced, remembered), np.array([end_id], "<u4")
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
             rows = []
@@ -166,16 +166,17 @@ def pack(
     size: int = SIZE,
     end_id: int = END_ID,
     with_ids: bool = False,
+    remembered: int | None = None,
 ) -> DataFrame:
     """Pieces of all documents with their place: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its ids and ``end_id``; one longer than ``size`` is cut so that only its first
     piece is short.  A null or empty text is the end id alone.  Null and repeated ids keep a row
     for each row; an empty table gives no rows.  ``with_ids`` adds the piece's ids as
-    little-endian 32-bit integers.
+    little-endian 32-bit integers.  ``remembered`` bounds the pieces of text that a worker keeps, not what is packed.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = docs.mapInArrow(tidy(_pieces(tokenizer, spaced, size, end_id, with_ids), holds=True), PIECE + ", ids binary" * with_ids)
+    made = docs.mapInArrow(tidy(_pieces(tokenizer, spaced, size, end_id, with_ids, remembered), holds=True), PIECE + ", ids binary" * with_ids)
     pieces = saved(made, "pieces")
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("many"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -49,14 +49,18 @@ TOGETHER = 8000  # characters of texts whose new pieces go to the tokenizer at o
 
 
 class Encoder:
-    """``encode(text)`` gives little-endian 32-bit ids as an array; null is the empty text."""
+    """``encode(text)`` gives little-endian 32-bit ids as an array; null is the empty text.
 
-    def __init__(self, name: str, spaced: bool):
+    ``remembered`` pieces at most are kept (``CACHE_PIECES`` if not given); the ids don't depend on it.
+    """
+
+    def __init__(self, name: str, spaced: bool, remembered: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(tokenizer_path(name))
         self.spaced = spaced
+        self.remembered = remembered or CACHE_PIECES
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -94,7 +98,7 @@ class Encoder:
         met = set().union(*(pieces for pieces in cut if pieces))
         new = met.difference(self.known)
         if new:
-            if len(self.known) + len(new) > CACHE_PIECES // 2:
+            if len(self.known) + len(new) > self.remembered // 2:
                 self.known, self.older = {}, self.known
                 new = met
             old = [p for p in new if p in self.older]
@@ -196,6 +200,6 @@ class Encoder:
         return True
 
 
-def encoder(name: str, spaced: bool) -> Encoder:
+def encoder(name: str, spaced: bool, remembered: int | None = None) -> Encoder:
     """The worker process's encoder: its pieces are kept from task to task."""
-    return held(("encoder", name, spaced), lambda: Encoder(name, spaced))
+    return held(("encoder", name, spaced, remembered), lambda: Encoder(name, spaced, remembered))
