@@ -196,3 +196,79 @@ def test_the_steps_of_a_long_query_dont_grow_with_its_terms():
     _, some = scored(texts, [np.sort(t[:60]) for t in texts[:100]], weights, 600.0, 5)
     _, many = scored(texts, [np.sort(t) for t in texts[:100]], weights, 600.0, 5)
     assert many < 1.5 * some
+
+
+def test_many_short_queries_are_scored_together():
+    """A short query of many costs a few calls a segment, not a walk along its lists."""
+    rnd = np.random.default_rng(6)
+    texts = [rnd.choice(400, 80, replace=False).astype(np.uint64) for _ in range(600)]
+    texts += [rnd.choice(400, 8, replace=False).astype(np.uint64) for _ in range(200)]
+    average = sum(map(len, texts)) / len(texts)
+    weights = {t: 1.0 + t / 400 for t in range(400)}
+    queries = [np.sort(t) for t in texts[-200:]]
+    got, calls = scored(texts, queries, weights, average, 3)
+    assert calls < 300 * len(queries)
+    for q, terms in enumerate(queries):
+        own = sum(weights[int(t)] * (search.K1 + 1) / (1 + search.K1 * (1 - search.B + search.B * 8 / average)) for t in terms)
+        best = []
+        for d, text in enumerate(texts):
+            part = (search.K1 + 1) / (1 + search.K1 * (1 - search.B + search.B * len(text) / average))
+            best.append((-round(sum(weights[int(t)] * part for t in np.intersect1d(text, terms)), 9), d))
+        assert [d for d, _ in got[q]] == [d for _, d in sorted(best)[:3]]
+        assert abs(got[q][0][1] - own) < 1e-9
+
+
+def test_scores_of_the_first_segments_are_the_bar_of_the_others(spark, monkeypatch):
+    """What cannot be among the best isn't handed on: not ten rows a segment for every query."""
+    kept, handed = search.saved, []
+
+    def saved(df, label):
+        out = kept(df, label)
+        if label == "found":
+            handed.append(out.count())
+        return out
+
+    monkeypatch.setattr(search, "saved", saved)
+    rnd = random.Random(9)
+    same = [" ".join(f"common{j}" for j in rnd.sample(range(60), 25)) for _ in range(30)]
+    # Every segment of any partition has the same thirty texts and many that share a few words with them.
+    texts = [t for _ in range(24) for t in same + [" ".join(f"w{rnd.randrange(400)}" for _ in range(30)) + f" common{rnd.randrange(60)}" for _ in range(30)]]
+    df = documents(spark, texts).coalesce(1)
+    queries = spark.createDataFrame(list(enumerate(same)), "query_id bigint, text string")
+    got = search.search(df, queries, 5, segment_words=1600).orderBy("query_id", "rank").collect()
+    assert [r["doc_id"] for r in got if r["query_id"] == 3] == [3 + 60 * i for i in range(5)]
+    assert sum(handed) <= 2 * 5 * len(same)
+
+
+def test_scores_are_exact_however_terms_are_parted(monkeypatch):
+    """All terms by postings, all by the matrix, one query or many at once: the same documents."""
+    rnd = np.random.default_rng(12)
+    texts = [(rnd.zipf(1.3, int(rnd.choice([3, 40, 300]))) % 900).astype(np.uint64) for _ in range(300)]
+    texts += texts[:40]
+    average = sum(map(len, texts)) / len(texts)
+    weights = {t: 1.0 + (t * 7919 % 900) / 300 for t in range(900)}
+    queries = [np.unique(t) for t in texts[::5]]
+    want, _ = scored(texts, queries, weights, average, 10, 3)
+    assert want[3][0][0] in (15, 315)
+    for name, value in (("CELLS", 1), ("OFTEN", 0), ("OFTEN", 1 << 40), ("QUERIES_AT_ONCE", 1), ("POSTINGS", 1), ("LIKE", 1), ("DOCS_BLOCK", 1)):
+        with monkeypatch.context() as m:
+            m.setattr(search, name, value)
+            assert scored(texts, queries, weights, average, 10, 3)[0] == want
+
+
+def test_segments_hold_any_counts_in_few_bytes():
+    """Frequencies over 65,535, many documents, hashes that crowd: postings as counted one by one."""
+    rnd = np.random.default_rng(2)
+    crowd = np.arange(300, dtype=np.uint64)
+    wide = rnd.integers(0, 2**63, 500, dtype=np.uint64)
+    texts = [np.repeat(crowd[:1], 70_000), *(rnd.choice(np.concatenate([crowd, wide]), 6) for _ in range(300)), crowd[:0]]
+    row = search._segment(list(range(len(texts))), texts)
+    segment = search.Segment(row, 10.0)
+    found = {}
+    for term, a, b in zip(segment.terms.tolist(), segment.starts[:-1], segment.starts[1:]):
+        for doc, tf in zip(segment.post_doc[a:b], segment.post_tf[a:b]):
+            found[(int(segment.docs[doc]), term)] = int(tf)
+    assert found == {(d, int(t)): n for d, text in enumerate(texts) for t, n in Counter(text.tolist()).items()}
+    assert [int(segment.lengths[np.flatnonzero(segment.docs == d)[0]]) for d in range(len(texts))] == [len(t) for t in texts]
+    small = search._segment(list(range(300)), texts[1:301])
+    assert len(small["post_tf"]) * 2 == len(small["post_doc"])
