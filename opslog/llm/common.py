@@ -48,7 +48,7 @@ def held(key: Any, make: Callable[[], Any]) -> Any:
     return _HELD[key]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system; the allocators would keep it for the worker's next task."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -65,7 +65,7 @@ def tidy(run: Callable, holds: bool = False) -> Callable:
         try:
             yield from run(batches)
         finally:
-            _give_back()
+            give_back()
 
     return tidied
 
@@ -78,7 +78,7 @@ def tidy_group(run: Callable) -> Callable:
         try:
             return run(table)
         finally:
-            _give_back()
+            give_back()
 
     return tidied
 

@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from opslog.llm.common import WordHash, saved, strings, tidy
+from opslog.llm.common import WordHash, give_back, saved, strings, tidy
 
 K, K1, B = 10, 1.2, 0.75
 SHORT, WALKING = 12, 16  # terms and queries up to which queries walk their lists
 OFTEN = 400  # adding a posting takes the time of so many cells of a product of matrices
-CELLS = 6_000_000  # terms times documents, or queries times documents, held at once
+CELLS = 5_000_000  # terms times documents, or queries times documents, held at once
 POSTINGS, SUMS = 16_384, 8  # postings added up at once, and queries
 DOCS_BLOCK = 64
 QUERIES_AT_ONCE = 256
@@ -42,7 +42,7 @@ LEADS = 16  # of so many segments one is searched first
 ROUNDING = 2.0**-22  # a term: twice what two single-precision sums can differ by
 POSTINGS_BLOCK = 64
 SEGMENT_WORDS = 4_000_000
-QUERY_BLOCK, BLOCK_TERMS = 16_384, 4_000_000
+QUERY_BLOCK, BLOCK_TERMS = 16_384, 2_500_000
 NO_ID = -(2**63)
 MARKS = rb"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 PLAIN = bytes(32 if i in MARKS else i for i in range(256)).lower()
@@ -244,19 +244,18 @@ class Segment:
         place = np.minimum(np.searchsorted(self.terms, asked.terms), len(self.terms) - 1)
         here = self.terms[place] == asked.terms
         self.place = np.where(here, place, -1)
-        weight = np.zeros(len(self.terms))
-        weight[place[here]] = asked.weights[here]
-        earned = np.repeat(weight, self.times)
-        for lo in range(0, len(earned), POSTINGS):
-            some = slice(lo, lo + POSTINGS)
-            earned[some] *= self.part(self.post_tf[some], self.lengths[self.post_doc[some]])
+        self.weight = np.zeros(len(self.terms))
+        self.weight[place[here]] = asked.weights[here]
         # A document and its share side by side, so that one look finds both.
-        pairs = np.empty((len(earned), 2), np.int32)
+        post_term = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.times)
+        pairs = np.empty((len(post_term), 2), np.int32)
         pairs[:, 0] = self.post_doc
-        pairs[:, 1] = earned.astype(np.float32).view(np.int32)
-        self.pairs = pairs.view(np.int64)[:, 0]
+        self.pairs, self.cell, self.share = pairs.view(np.int64)[:, 0], pairs[:, 0], pairs[:, 1].view(np.float32)
+        for lo in range(0, len(pairs), POSTINGS):
+            some = slice(lo, lo + POSTINGS)
+            self.share[some] = self.weight[post_term[some]] * self.part(self.post_tf[some], self.lengths[self.post_doc[some]])
         order = np.argsort(self.post_doc, kind="stable")
-        self.own_term, self.own_earned = np.repeat(np.arange(len(self.terms), dtype=np.int32), self.times)[order], earned[order]
+        self.own_term, self.own_tf = post_term[order], self.post_tf[order]
         self.own_at = np.append(0, np.cumsum(np.bincount(self.post_doc, minlength=self.many)))
         self.asked = np.zeros(len(self.terms), np.int8)
 
@@ -286,9 +285,8 @@ class Segment:
         row = row[term]
         wanted = np.bincount(owner[row >= 0] * len(often) + row[row >= 0], minlength=size * len(often)).reshape(size, -1).astype(np.float32)
         dense = np.zeros((len(often), self.many), np.float32)
-        at, times = _ranges(self.starts[often], self.starts[often + 1])
-        pairs = self.pairs[at].view(np.int32)
-        dense[np.repeat(np.arange(len(often)), times), pairs[::2]] = pairs[1::2].view(np.float32)
+        for line, a, b in zip(dense, self.starts[often].tolist(), self.starts[often + 1].tolist()):
+            line[self.cell[a:b]] = self.share[a:b]
         # With the block bounds of the frequent terms, blocks that reach no query's bar are done with.
         scores = self._rare(term[row < 0], owner[row < 0], size)
         slack = 1 + ROUNDING * (np.diff(ends) + 16)
@@ -334,8 +332,11 @@ class Segment:
         """The best of some documents; each sum is in order of terms in every segment, so that equal texts have equal scores."""
         at, times = _ranges(self.own_at[some], self.own_at[some + 1])
         np.add.at(self.asked, terms, 1)
-        total = np.bincount(np.repeat(np.arange(len(some)), times), self.own_earned[at] * self.asked[self.own_term[at]], len(some))
+        known = self.asked[self.own_term[at]]
         self.asked[terms] = 0
+        doc, at = np.repeat(np.arange(len(some)), times)[known > 0], at[known > 0]
+        shares = self.weight[self.own_term[at]] * self.part(self.own_tf[at], self.lengths[some[doc]])
+        total = np.bincount(doc, shares * known[known > 0], len(some))
         ids = self.docs[some]
         return [(float(total[j]), int(ids[j])) for j in np.lexsort((ids, -total))[:k] if total[j] > 0]
 
@@ -392,8 +393,8 @@ def _run(queries: list[tuple[int, np.ndarray, np.ndarray]], average: float, k: i
         bars = start.copy()  # what the best of a query must reach
         heaps: list[list[tuple[float, int]]] = [[] for _ in asked.ids]  # the k best of the task's segments
         for batch in batches:
-            for n in range(batch.num_rows):
-                segment = Segment({name: batch.column(name)[n].as_buffer() for name in NAMES}, average)
+            for i in range(batch.num_rows):
+                segment = Segment({name: batch.column(name)[i].as_buffer() for name in NAMES}, average)
                 walked = ((n, segment.best(list(zip(*(x.tolist() for x in q[1:]))), k, bars[n])) for n, q in enumerate(asked.walking))
                 for n, best in walked if asked.walking else segment.best_of_many(asked, k, bars):
                     heap = heaps[n]
@@ -401,6 +402,8 @@ def _run(queries: list[tuple[int, np.ndarray, np.ndarray]], average: float, k: i
                         (heapq.heappush if len(heap) < k else heapq.heappushpop)(heap, (s, -d))
                     if len(heap) == k:
                         bars[n] = max(bars[n], heap[0][0])
+                del segment, walked
+                give_back()
         found = [(q, -d, s) for q, heap in zip(asked.ids, heaps) for s, d in heap]
         kinds = [pa.int64(), pa.int64(), pa.float64()]
         names = ["query_id", "doc_id", "score"]
